@@ -39,3 +39,336 @@ def q_movie_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("movie_summary_sparse", oracle.movie_summary_sql(f"category = {PROBE_CATEGORY}"))
 def q_movie_summary_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.movie_summary(ratings(spark, sf_dir).where(F.col("category") == PROBE_CATEGORY))
+
+
+# ---------------------------------------------------------------------------
+# parameters of the registered queries (fixed, data-independent)
+# ---------------------------------------------------------------------------
+
+K = 4                 # factors in oracle-checked model queries
+LR = 0.002            # batch learning rate (a batch step sums over an entity's ratings)
+REG = 0.002           # λ user = λ movie (reference constants)
+RATIO = 0.02          # bias learning ratio (reference constant)
+PY_LR, PY_REG = 0.0005, 0.001   # Python-trainer style rules (M5 / M6 re-aimed)
+CHUNK = 5000          # lines per chunk for the chunk writer on the fixture
+FIRST_N = 5000        # rows of the row-limited scan (the reference's n_entries)
+ORDER = ["user_id", "movie_id", "date", "rating", "category"]
+ORDER_SQL = ", ".join(ORDER)
+
+from ..operators import basic, model as M, positional, splits  # noqa: E402
+from ..schema import VALID_CATEGORY  # noqa: E402
+from .oracle import (  # noqa: E402
+    TRAIN_WHERE, dot_sql, model_ctes, model_long_sql, scored_cte, step_ctes, with_ratings,
+)
+
+R = "ratings"
+
+
+def _numbered(spark, sf_dir):
+    return positional.number_by(ratings(spark, sf_dir), ORDER)
+
+
+NUMBERED_SQL = f"d AS (SELECT *, row_number() OVER (ORDER BY {ORDER_SQL}) - 1 AS row_no FROM ratings)"
+
+
+# ---- splits -----------------------------------------------------------------
+
+@register("split_route", with_ratings() + """SELECT *, CASE WHEN category < 4 OR category = 6 THEN 'train'
+  WHEN category = 4 THEN 'probe' WHEN category = 5 THEN 'test' END AS split FROM ratings
+  WHERE category < 7""")
+def q_split_route(spark, sf_dir):
+    return splits.route(ratings(spark, sf_dir))
+
+
+def _short_index(spark, sf_dir):
+    """Data numbered by the total order; an index holding only the first 90 % of the categories."""
+    d = _numbered(spark, sf_dir)
+    n = d.select(F.count(F.lit(1))).scalar()
+    index = d.where(F.col("row_no") < (n * 9 - F.pmod(n * 9, F.lit(10))) / 10).select("row_no", "category")
+    return positional.positional_zip(d.drop("category"), index)
+
+
+SHORT_INDEX_SQL = [
+    NUMBERED_SQL,
+    "idx AS (SELECT row_no, category FROM d WHERE row_no < (SELECT count(*) FROM ratings) * 9 // 10)",
+    "z AS (SELECT d.row_no, user_id, movie_id, date, rating, coalesce(idx.category, 6) AS category "
+    "FROM d LEFT JOIN idx USING (row_no))",
+]
+
+
+@register("positional_zip", with_ratings(*SHORT_INDEX_SQL) + "SELECT * FROM z")
+def q_positional_zip(spark, sf_dir):
+    return _short_index(spark, sf_dir)
+
+
+REPORT_SQL = ", ".join(
+    [f"count(*) FILTER (WHERE category = {c}) AS {label}" for label, c in splits.REPORT_LABELS]
+    + ["count(*) FILTER (WHERE category < 1 OR category > 6) AS invalid"])
+
+
+@register("split_report", with_ratings(*SHORT_INDEX_SQL) + f"""SELECT source, count(*) AS entries, {REPORT_SQL}
+FROM (SELECT 'ratings' AS source, category FROM ratings UNION ALL SELECT 'short_index', category FROM z)
+GROUP BY source""")
+def q_split_report(spark, sf_dir):
+    return splits.split_report({"ratings": ratings(spark, sf_dir), "short_index": _short_index(spark, sf_dir)})
+
+
+@register("split_dump", with_ratings() + """SELECT split, concat_ws(' ', user_id, movie_id, date, rating, category) AS line
+FROM (SELECT 'train' AS split, * FROM ratings WHERE category < 4 OR category = 6
+      UNION ALL SELECT 'probe', * FROM ratings WHERE category = 4
+      UNION ALL SELECT 'test', * FROM ratings WHERE category = 5)""")
+def q_split_dump(spark, sf_dir):
+    routed = splits.route(ratings(spark, sf_dir))
+    return splits.split_dump({s: routed.where(F.col("split") == s) for s in ("train", "probe", "test")})
+
+
+@register("category_filter", with_ratings() + f"SELECT user_id, movie_id, rating FROM ratings WHERE category = {VALID_CATEGORY}")
+def q_category_filter(spark, sf_dir):
+    return splits.category_filter(ratings(spark, sf_dir), VALID_CATEGORY)
+
+
+ZERO_SQL = "rz AS (SELECT user_id, movie_id, date, CASE WHEN category = 5 THEN 0 ELSE rating END AS rating, category FROM ratings)"
+
+
+def _ratings_zero(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    return r.withColumn("rating", F.when(F.col("category") == 5, F.lit(0)).otherwise(F.col("rating")))
+
+
+@register("nonzero_filter", with_ratings(ZERO_SQL) + "SELECT * FROM rz WHERE rating <> 0")
+def q_nonzero_filter(spark, sf_dir):
+    return splits.nonzero(_ratings_zero(spark, sf_dir))
+
+
+# ---- projections / whole-table aggregates ----------------------------------------
+
+@register("global_mean", with_ratings() + "SELECT round(avg(rating), 9) AS mean_rating FROM ratings")
+def q_global_mean(spark, sf_dir):
+    return ratings(spark, sf_dir).agg(F.round(F.avg("rating"), 9).alias("mean_rating"))
+
+
+@register("row_count", with_ratings() + "SELECT count(*) AS entries FROM ratings")
+def q_row_count(spark, sf_dir):
+    return ratings(spark, sf_dir).agg(F.count(F.lit(1)).alias("entries"))
+
+
+@register("center_ratings", with_ratings() + """SELECT user_id - 1 AS user_id, movie_id - 1 AS movie_id, date, category,
+  round(rating - (SELECT avg(rating) FROM ratings), 6) AS r FROM ratings""")
+def q_center_ratings(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    c = basic.centered(basic.zero_based(r))
+    return c.select("user_id", "movie_id", "date", "category", F.round("r", 6).alias("r"))
+
+
+@register("merge_duplicates", with_ratings() + """SELECT user_id, movie_id, CAST(sum(rating) AS BIGINT) AS rating,
+  count(*) AS copies FROM ratings GROUP BY user_id, movie_id""")
+def q_merge_duplicates(spark, sf_dir):
+    return basic.merge_duplicates(ratings(spark, sf_dir))
+
+
+@register("seen_entities", with_ratings() + """SELECT DISTINCT 'user' AS side, user_id AS id FROM ratings
+UNION SELECT DISTINCT 'movie' AS side, CAST(movie_id AS BIGINT) AS id FROM ratings""")
+def q_seen_entities(spark, sf_dir):
+    r = ratings(spark, sf_dir)
+    u = basic.seen_entities(r, "user_id").select(F.lit("user").alias("side"), F.col("user_id").alias("id"))
+    m = basic.seen_entities(r, "movie_id").select(F.lit("movie").alias("side"), F.col("movie_id").cast("long").alias("id"))
+    return u.unionByName(m)
+
+
+# ---- positional ------------------------------------------------------------
+
+@register("chunk_assign", with_ratings(NUMBERED_SQL) + f"SELECT *, row_no // {CHUNK} AS chunk FROM d")
+def q_chunk_assign(spark, sf_dir):
+    d = _numbered(spark, sf_dir)
+    return d.withColumn("chunk", positional.chunk_of("row_no", CHUNK))
+
+
+@register("first_n", with_ratings(NUMBERED_SQL) + f"SELECT * FROM d WHERE row_no < {FIRST_N}")
+def q_first_n(spark, sf_dir):
+    return positional.first_n(_numbered(spark, sf_dir), FIRST_N)
+
+
+@register("run_groups", with_ratings(
+    NUMBERED_SQL,
+    "st AS (SELECT movie_id, row_no AS run_start FROM (SELECT movie_id, row_no, lag(movie_id) OVER (ORDER BY row_no) AS prev FROM d) "
+    "WHERE prev IS NULL OR prev <> movie_id)",
+    "ru AS (SELECT movie_id, run_start, coalesce(lead(run_start) OVER (ORDER BY run_start) - 1, (SELECT max(row_no) FROM d)) AS run_end FROM st)",
+) + "SELECT movie_id, run_start, run_end, run_end - run_start + 1 AS rows FROM ru")
+def q_run_groups(spark, sf_dir):
+    return basic.run_groups(_numbered(spark, sf_dir), "movie_id")
+
+
+# ---- model read path -------------------------------------------------------
+
+def _train_rows(spark, sf_dir):
+    return _train(spark, sf_dir).select("user_id", "movie_id", "rating")
+
+
+def _mu(train):
+    return basic.global_mean(train)
+
+
+def _init(spark, sf_dir):
+    return M.init_model(ratings(spark, sf_dir), K)
+
+
+def _one_epoch(spark, sf_dir):
+    tr = _train_rows(spark, sf_dir)
+    return M.epoch(tr, _init(spark, sf_dir), _mu(tr), M.rule_bias_model(LR, REG, REG, RATIO), K)
+
+
+M4_SQL = step_ctes("m0", "m1", K, LR, REG, REG, RATIO, True, True, False)
+
+
+@register("init_factors", with_ratings(*model_ctes(K)) + model_long_sql("m0", K))
+def q_init_factors(spark, sf_dir):
+    return M.model_long(_init(spark, sf_dir))
+
+
+@register("predict_dot", with_ratings(*model_ctes(K), scored_cte("s", "train", "m0", K, False))
+          + "SELECT user_id, movie_id, rating, round(pred, 10) AS pred FROM s")
+def q_predict_dot(spark, sf_dir):
+    tr = _train_rows(spark, sf_dir)
+    s = M.scored(tr, _init(spark, sf_dir), _mu(tr), use_bias=False)
+    # products of init values are multiples of 2.5e-9: 10 digits has no rounding ties
+    return s.select("user_id", "movie_id", "rating", F.round("pred", 10).alias("pred"))
+
+
+@register("predict_bias", with_ratings(*model_ctes(K), *M4_SQL, scored_cte("s", "train", "m1", K, True))
+          + "SELECT user_id, movie_id, rating, round((SELECT mu FROM mu) + pred, 6) AS prediction FROM s")
+def q_predict_bias(spark, sf_dir):
+    tr = _train_rows(spark, sf_dir)
+    mu = _mu(tr)
+    s = M.scored(tr, _one_epoch(spark, sf_dir), mu, use_bias=True)
+    return s.select("user_id", "movie_id", "rating", F.round(M.predicted_rating(s, mu), 6).alias("prediction"))
+
+
+@register("residuals", with_ratings(*model_ctes(K), *M4_SQL, scored_cte("s", "train", "m1", K, True))
+          + "SELECT user_id, movie_id, rating, round(e, 6) AS e FROM s")
+def q_residuals(spark, sf_dir):
+    tr = _train_rows(spark, sf_dir)
+    s = M.scored(tr, _one_epoch(spark, sf_dir), _mu(tr), use_bias=True)
+    return s.select("user_id", "movie_id", "rating", F.round("e", 6).alias("e"))
+
+
+def _holdout(spark, sf_dir, where):
+    return ratings(spark, sf_dir).where(where).select("user_id", "movie_id", "rating")
+
+
+RMSE_CASES = {
+    "rmse_factors": (False, "category IN (1, 2, 3, 6)", F.col("category").isin(1, 2, 3, 6), "m0"),
+    "rmse_bias": (True, "category = 2", F.col("category") == 2, "m1"),
+    "rmse_probe": (True, "category = 4", F.col("category") == 4, "m1"),
+}
+
+
+def _rmse_query(use_bias, cond, model_name):
+    def q(spark, sf_dir):
+        tr = _train_rows(spark, sf_dir)
+        model = _init(spark, sf_dir) if model_name == "m0" else _one_epoch(spark, sf_dir)
+        s = M.scored(_holdout(spark, sf_dir, cond), model, _mu(tr), use_bias)
+        return M.rmse(s).select(F.round("rmse", 6).alias("rmse"), "n")
+    return q
+
+
+for _name, (_ub, _where, _cond, _m) in RMSE_CASES.items():
+    _chain = [*model_ctes(K)] + (M4_SQL if _m == "m1" else []) + [
+        f"h AS (SELECT user_id, movie_id, rating FROM ratings WHERE {_where})",
+        scored_cte("s", "h", _m, K, _ub)]
+    register(_name, with_ratings(*_chain) + "SELECT round(sqrt(avg(e*e)), 6) AS rmse, count(*) AS n FROM s")(
+        _rmse_query(_ub, _cond, _m))
+
+
+@register("residual_by_user", with_ratings(*model_ctes(K), scored_cte("s", "train", "m0", K, True))
+          + "SELECT user_id, round(sum(e), 6) AS se, count(*) AS n FROM s GROUP BY user_id HAVING sum(e) <> 0")
+def q_residual_by_user(spark, sf_dir):
+    tr = _train_rows(spark, sf_dir)
+    s = M.scored(tr, _init(spark, sf_dir), _mu(tr))
+    return M.residual_sums(s, "user_id").where(F.col("se") != 0).select(
+        "user_id", F.round("se", 6).alias("se"), "n")
+
+
+@register("residual_by_movie", with_ratings(*model_ctes(K), scored_cte("s", "train", "m0", K, True))
+          + "SELECT movie_id, round(sum(e), 6) AS se, count(*) AS n FROM s GROUP BY movie_id HAVING sum(e) <> 0")
+def q_residual_by_movie(spark, sf_dir):
+    tr = _train_rows(spark, sf_dir)
+    s = M.scored(tr, _init(spark, sf_dir), _mu(tr))
+    return M.residual_sums(s, "movie_id").where(F.col("se") != 0).select(
+        "movie_id", F.round("se", 6).alias("se"), "n")
+
+
+def _gradient_query(side):
+    def q(spark, sf_dir):
+        tr = _train_rows(spark, sf_dir)
+        s = M.scored(tr, _init(spark, sf_dir), _mu(tr))
+        g = M.gradients(s, K).where(F.col("side") == side)
+        return g.select("id", F.posexplode("g").alias("k", "value")).select(
+            "id", F.col("k").cast("int").alias("k"), F.round("value", 6).alias("value"))
+    return q
+
+
+for _side, _key, _vec in (("user", "user_id", "q"), ("movie", "movie_id", "p")):
+    _cols = "\nUNION ALL ".join(
+        f"SELECT CAST({_key} AS BIGINT) AS id, {j} AS k, round(sum(e*{_vec}[{j + 1}]), 6) AS value FROM s GROUP BY {_key}"
+        for j in range(K))
+    register(f"gradient_{_side}", with_ratings(*model_ctes(K), scored_cte("s", "train", "m0", K, True)) + _cols)(
+        _gradient_query(_side))
+
+
+@register("factor_norm", with_ratings(*model_ctes(K), *M4_SQL) + "SELECT side, round(sum("
+          + " + ".join(f"f[{j + 1}]*f[{j + 1}]" for j in range(K)) + "), 6) AS norm FROM m1 GROUP BY side")
+def q_factor_norm(spark, sf_dir):
+    return M.factor_norm(_one_epoch(spark, sf_dir)).select("side", F.round("norm", 6).alias("norm"))
+
+
+_GRAM = ", ".join(f"sum(f[{i + 1}]*f[{j + 1}]) AS g_{i}_{j}" for i in range(K) for j in range(K))
+_GRAM_SUM = " + ".join(f"g_{i}_{j}*g_{i}_{j}" for i in range(K) for j in range(K))
+
+
+@register("gram_norm", with_ratings(*model_ctes(K), *M4_SQL, f"gr AS (SELECT side, {_GRAM} FROM m1 GROUP BY side)")
+          + f"SELECT side, round({_GRAM_SUM}, 4) AS gram_norm FROM gr")
+def q_gram_norm(spark, sf_dir):
+    return M.gram_norm(_one_epoch(spark, sf_dir), K).select("side", F.round("gram_norm", 4).alias("gram_norm"))
+
+
+# ---- one training step per rule ----------------------------------------------
+
+EPOCH_RULES = {
+    "epoch_bias_model": (M.rule_bias_model(LR, REG, REG, RATIO), (LR, REG, REG, RATIO, True, True, False)),
+    "epoch_factor_only": (M.rule_factor_only(LR, REG, REG), (LR, REG, REG, 0.0, False, True, False)),
+    "epoch_unregularised": (M.rule_unregularised(LR), (LR, 0.0, 0.0, 0.0, False, True, False)),
+    "epoch_full_batch": (M.rule_full_batch(PY_LR, PY_REG), (PY_LR, PY_REG, PY_REG, 1.0, True, False, True)),
+    "epoch_per_rating": (M.rule_per_rating(PY_LR, PY_REG), (PY_LR, PY_REG, PY_REG, 1.0, True, True, True)),
+}
+
+
+def _epoch_query(rule):
+    def q(spark, sf_dir):
+        tr = _train_rows(spark, sf_dir)
+        return M.model_long(M.epoch(tr, _init(spark, sf_dir), _mu(tr), rule, K))
+    return q
+
+
+for _name, (_rule, _args) in EPOCH_RULES.items():
+    register(_name, with_ratings(*model_ctes(K), *step_ctes("m0", "m1", K, *_args)) + model_long_sql("m1", K))(
+        _epoch_query(_rule))
+
+
+@register("cell_bias_update", with_ratings(
+    "c AS (SELECT user_id, movie_id, CAST(sum(rating) AS BIGINT) AS rating FROM ratings WHERE " + TRAIN_WHERE
+    + " GROUP BY user_id, movie_id)",
+    "mu AS (SELECT 0.0::DOUBLE AS mu)",
+    "m0 AS (SELECT 'user' AS side, user_id AS id, [" + ", ".join(["0.1::DOUBLE"] * K) + "] AS f, 0.0::DOUBLE AS b "
+    "FROM (SELECT DISTINCT user_id FROM ratings) UNION ALL SELECT 'movie', CAST(movie_id AS BIGINT), ["
+    + ", ".join(["0.1::DOUBLE"] * K) + "], 0.0::DOUBLE FROM (SELECT DISTINCT movie_id FROM ratings))",
+    "s AS (SELECT c.*, " + dot_sql("p", "q", K) + " AS pq FROM c "
+    "JOIN (SELECT id AS user_id, f AS p FROM m0 WHERE side = 'user') USING (user_id) "
+    "JOIN (SELECT CAST(id AS INTEGER) AS movie_id, f AS q FROM m0 WHERE side = 'movie') USING (movie_id))",
+) + f"SELECT user_id, movie_id, round(3.0 + {PY_LR!r}*((rating - (3.0 + pq)) - {PY_REG!r}*3.0), 6) AS b_ui FROM s")
+def q_cell_bias_update(spark, sf_dir):
+    """M7 with M1c init: cells of the merged train matrix, b_ui = 3, factors 0.1."""
+    cells = basic.merge_duplicates(_train_rows(spark, sf_dir)).select("user_id", "movie_id", "rating")
+    model = M.init_model(ratings(spark, sf_dir), K, constant=0.1)
+    s = M.scored(cells, model, 0.0, use_bias=False).withColumn("b_ui", F.lit(3.0))
+    s = s.withColumn("e", F.col("rating") - (F.col("b_ui") + F.col("pred")))
+    return M.cell_bias_update(s, PY_LR, PY_REG).select("user_id", "movie_id", F.round("b_ui", 6).alias("b_ui"))
