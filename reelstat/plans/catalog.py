@@ -372,3 +372,65 @@ def q_cell_bias_update(spark, sf_dir):
     s = M.scored(cells, model, 0.0, use_bias=False).withColumn("b_ui", F.lit(3.0))
     s = s.withColumn("e", F.col("rating") - (F.col("b_ui") + F.col("pred")))
     return M.cell_bias_update(s, PY_LR, PY_REG).select("user_id", "movie_id", F.round("b_ui", 6).alias("b_ui"))
+
+
+# ---- sources and sinks: round trips through files Spark writes from the tables ----
+
+import uuid as _uuid  # noqa: E402
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import binary as B, text as TX  # noqa: E402
+
+
+def _scratch(spark, what):
+    return scratch_path(spark, "reelstat-scratch", f"{what}-{_uuid.uuid4().hex}")
+
+
+@register("binary_roundtrip", with_ratings() + """SELECT split, count(*) AS entries, CAST(sum(user_id) AS BIGINT) AS user_sum,
+  CAST(sum(movie_id) AS BIGINT) AS movie_sum, CAST(sum(rating) AS BIGINT) AS rating_sum,
+  min(date) AS first_date, max(date) AS last_date
+FROM (SELECT *, CASE WHEN category < 4 OR category = 6 THEN 'train' WHEN category = 4 THEN 'probe'
+                     WHEN category = 5 THEN 'test' END AS split FROM ratings) GROUP BY split""")
+def q_binary_roundtrip(spark, sf_dir):
+    """K1 (bytes) + A3 + A6 + U1: write each split as 10-byte records, read the three back."""
+    base = _scratch(spark, "bin")
+    routed = splits.route(ratings(spark, sf_dir))
+    for s in ("train", "probe", "test"):
+        B.write_ratings_bin(routed.where(F.col("split") == s), f"{base}/{s}")
+    back = None
+    for s in ("train", "probe", "test"):
+        part = B.read_ratings_bin(spark, f"{base}/{s}").withColumn("split", F.lit(s))
+        back = part if back is None else back.unionByName(part)
+    return back.groupBy("split").agg(
+        F.count(F.lit(1)).alias("entries"), F.sum("user_id").alias("user_sum"),
+        F.sum("movie_id").cast("long").alias("movie_sum"), F.sum("rating").cast("long").alias("rating_sum"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@register("text_roundtrip", with_ratings(*SHORT_INDEX_SQL) + "SELECT * FROM z")
+def q_text_roundtrip(spark, sf_dir):
+    """A1 + A2 + J1 + P6: write the numbered view as rating lines and a 90 % index, scan them back."""
+    base = _scratch(spark, "txt")
+    d = _numbered(spark, sf_dir)
+    n = d.select(F.count(F.lit(1))).scalar()
+    TX.write_rating_text(d, f"{base}/data")
+    idx = d.where(F.col("row_no") < (n * 9 - F.pmod(n * 9, F.lit(10))) / 10)
+    idx.orderBy("row_no").select(F.col("category").cast("string").alias("value")).write.text(f"{base}/index")
+    z = TX.read_split_input(spark, f"{base}/data", f"{base}/index")
+    return z.select("row_no", "user_id", "movie_id", "date", "rating", "category")
+
+
+@register("score_clamped", with_ratings(NUMBERED_SQL, *model_ctes(K), *M4_SQL,
+                                        scored_cte("s", "(SELECT * FROM d WHERE category = 5)", "m1", K, True))
+          + "SELECT row_no, printf('%.5f', least(5.0, greatest(1.0, (SELECT mu FROM mu) + pred))) AS line FROM s")
+def q_score_clamped(spark, sf_dir):
+    """M13 + K4 + A8 + P10 + P8 + K7: save the model, load it, score test rows in input order."""
+    base = _scratch(spark, "model")
+    tr = _train_rows(spark, sf_dir)
+    mu = _mu(tr)
+    _one_epoch(spark, sf_dir).write.parquet(f"{base}/factors")
+    model = spark.read.parquet(f"{base}/factors")
+    test = _numbered(spark, sf_dir).where(F.col("category") == 5)
+    s = M.scored(test, model, mu, use_bias=True)
+    s = s.withColumn("prediction", M.predicted_rating(s, mu, (1.0, 5.0)))
+    return TX.prediction_lines(s)
