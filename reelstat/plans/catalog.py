@@ -434,3 +434,160 @@ def q_score_clamped(spark, sf_dir):
     s = M.scored(test, model, mu, use_bias=True)
     s = s.withColumn("prediction", M.predicted_rating(s, mu, (1.0, 5.0)))
     return TX.prediction_lines(s)
+
+
+# ---- bias fitter (sparse re-aim) --------------------------------------------------
+
+from ..functions.expressions import DRAW_MOD  # noqa: E402
+from ..operators import bias_fit as BF  # noqa: E402
+
+BIAS_LR, BIAS_REG, BIAS_BATCH = 0.1, 0.5, 3   # reference call: (0.01, 100, 3, 0.1, 0.5)
+
+
+def _draw_sql(key: str, partner: str, step_code: int) -> str:
+    x = (f"(CAST({key} AS BIGINT)*1103515245 + CAST({partner} AS BIGINT)*12345 + CAST(date AS BIGINT)*"
+         f"{2654435761 % DRAW_MOD} + CAST(rating AS BIGINT)*40503 + CAST({step_code} AS BIGINT)*69069) % {DRAW_MOD}")
+    return f"((({x}) * ({x}) + ({x})) % {DRAW_MOD})"
+
+
+def _bias_step_sql(step_no: int = 1) -> list[str]:
+    ud = " UNION ALL ".join(
+        f"SELECT user_id, arg_min(struct_pack(partner := movie_id, rating := rating), "
+        f"({_draw_sql('user_id', 'movie_id', step_no * 16 + d)}, movie_id, date, rating)) AS dr FROM bt GROUP BY user_id"
+        for d in range(1, BIAS_BATCH + 1))
+    md = " UNION ALL ".join(
+        f"SELECT movie_id, arg_min(struct_pack(partner := user_id, rating := rating), "
+        f"({_draw_sql('movie_id', 'user_id', step_no * 16 + d)}, user_id, date, rating)) AS dr FROM bt GROUP BY movie_id"
+        for d in range(1, BIAS_BATCH + 1))
+    return [
+        f"bt AS (SELECT user_id, movie_id, date, rating FROM ratings WHERE {TRAIN_WHERE})",
+        "bmu AS (SELECT avg(rating) AS mu FROM bt)",
+        "bu0 AS (SELECT DISTINCT user_id, 0.1::DOUBLE AS bu FROM bt)",
+        "bm0 AS (SELECT DISTINCT movie_id, 0.1::DOUBLE AS bm FROM bt)",
+        f"ud AS (SELECT user_id, dr.partner AS movie_id, dr.rating AS rating FROM ({ud}))",
+        "us AS (SELECT user_id, sum(rating - (SELECT mu FROM bmu) - bu - bm) AS s FROM ud JOIN bm0 USING (movie_id) "
+        "JOIN bu0 USING (user_id) GROUP BY user_id)",
+        f"bu1 AS (SELECT user_id, CASE WHEN s IS NULL THEN bu ELSE bu - {BIAS_LR!r}*({BIAS_REG!r}*2*bu - 2*s) END AS bu "
+        "FROM bu0 LEFT JOIN us USING (user_id))",
+        f"md AS (SELECT movie_id, dr.partner AS user_id, dr.rating AS rating FROM ({md}))",
+        "ms AS (SELECT movie_id, sum(rating - (SELECT mu FROM bmu) - bu - bm) AS s FROM md JOIN bu1 USING (user_id) "
+        "JOIN bm0 USING (movie_id) GROUP BY movie_id)",
+        f"bm1 AS (SELECT movie_id, CASE WHEN s IS NULL THEN bm ELSE bm - {BIAS_LR!r}*({BIAS_REG!r}*2*bm - 2*s) END AS bm "
+        "FROM bm0 LEFT JOIN ms USING (movie_id))",
+    ]
+
+
+def _bias_rows(spark, sf_dir):
+    return _train(spark, sf_dir).select("user_id", "movie_id", "date", "rating")
+
+
+@register("bias_objective", with_ratings(*_bias_step_sql()) + f"""SELECT round(sum((rating - (SELECT mu FROM bmu) - bu - bm)
+  * (rating - (SELECT mu FROM bmu) - bu - bm)) + {BIAS_REG!r} * sum(bm*bm)
+  + (SELECT {BIAS_REG!r} * sum(bu*bu) FROM bu0), 4) AS objective
+FROM bt JOIN bu0 USING (user_id) JOIN bm0 USING (movie_id)""")
+def q_bias_objective(spark, sf_dir):
+    rows = _bias_rows(spark, sf_dir)
+    bu, bm = BF.init_biases(rows)
+    return BF.objective(rows, bu, bm, basic.global_mean(rows), BIAS_REG).select(
+        F.round("objective", 4).alias("objective"))
+
+
+@register("bias_minibatch_step", with_ratings(*_bias_step_sql())
+          + """SELECT 'user' AS side, user_id AS id, round(bu, 6) AS bias FROM bu1
+UNION ALL SELECT 'movie' AS side, CAST(movie_id AS BIGINT) AS id, round(bm, 6) AS bias FROM bm1""")
+def q_bias_minibatch_step(spark, sf_dir):
+    rows = _bias_rows(spark, sf_dir)
+    bu, bm = BF.init_biases(rows)
+    bu1, bm1 = BF.step(rows, bu, bm, basic.global_mean(rows), 1, BIAS_BATCH, BIAS_LR, BIAS_REG)
+    return bu1.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), F.round("bu", 6).alias("bias")).unionByName(
+        bm1.select(F.lit("movie").alias("side"), F.col("movie_id").cast("long").alias("id"), F.round("bm", 6).alias("bias")))
+
+
+# ---- learning-rate probe (M10 G12) -------------------------------------------------
+
+_CANDS = (("up", LR * 1.5), ("down", LR / 1.5), ("same", LR))
+
+
+def _rate_probe_sql():
+    ctes = [*model_ctes(K), f"v AS (SELECT user_id, movie_id, rating FROM ratings WHERE category = {VALID_CATEGORY})"]
+    sel = []
+    for label, rate in _CANDS:
+        ctes += step_ctes("m0", f"m_{label}", K, rate, REG, REG, RATIO, True, True, False)
+        ctes.append(scored_cte(f"sv_{label}", "v", f"m_{label}", K, True))
+        sel.append(f"SELECT '{label}' AS candidate, {rate!r}::DOUBLE AS learning_rate, sqrt(avg(e*e)) AS rmse FROM sv_{label}")
+    ctes.append("c AS (" + " UNION ALL ".join(sel) + ")")
+    return with_ratings(*ctes) + """SELECT candidate, learning_rate, round(rmse, 6) AS valid_rmse,
+  CASE WHEN candidate = 'same' THEN NOT (
+        ((SELECT rmse FROM c WHERE candidate = 'up') < (SELECT rmse FROM c WHERE candidate = 'down')
+          AND (SELECT rmse FROM c WHERE candidate = 'up') < (SELECT rmse FROM c WHERE candidate = 'same'))
+     OR ((SELECT rmse FROM c WHERE candidate = 'down') < (SELECT rmse FROM c WHERE candidate = 'up')
+          AND (SELECT rmse FROM c WHERE candidate = 'down') < (SELECT rmse FROM c WHERE candidate = 'same')))
+  ELSE rmse < (SELECT min(rmse) FROM c x WHERE x.candidate <> c.candidate) END AS chosen
+FROM c"""
+
+
+@register("rate_probe", _rate_probe_sql())
+def q_rate_probe(spark, sf_dir):
+    """Three steps from one snapshot; the candidate strictly better than both others wins, else 'same'."""
+    tr = _train_rows(spark, sf_dir)
+    mu = _mu(tr)
+    m0 = _init(spark, sf_dir)
+    valid = _holdout(spark, sf_dir, F.col("category") == VALID_CATEGORY)
+    c = None
+    for label, rate in _CANDS:
+        m = M.epoch(tr, m0, mu, M.rule_bias_model(rate, REG, REG, RATIO), K)
+        row = M.rmse(M.scored(valid, m, mu)).select(
+            F.lit(label).alias("candidate"), F.lit(rate).alias("learning_rate"), "rmse")
+        c = row if c is None else c.unionByName(row)
+    # three rows: a bounded frame, so an unpartitioned window is fine here
+    from pyspark.sql import Window
+    w = Window.partitionBy()
+    up = F.max(F.when(F.col("candidate") == "up", F.col("rmse"))).over(w)
+    down = F.max(F.when(F.col("candidate") == "down", F.col("rmse"))).over(w)
+    same = F.max(F.when(F.col("candidate") == "same", F.col("rmse"))).over(w)
+    win_up = (up < down) & (up < same)
+    win_down = (down < up) & (down < same)
+    chosen = (F.when(F.col("candidate") == "up", win_up).when(F.col("candidate") == "down", win_down)
+              .otherwise(~(win_up | win_down)))
+    return c.select("candidate", "learning_rate", F.round("rmse", 6).alias("valid_rmse"), chosen.alias("chosen"))
+
+
+# ---- iterative fits (no SQL form: rows-only check) -----------------------------------
+
+from . import fit as FIT  # noqa: E402
+
+
+@register("fit_adaptive")
+def q_fit_adaptive(spark, sf_dir):
+    """M8 + M11 + M12 + W6: guarded batch epochs, run_log with RMSE deltas."""
+    cfg = FIT.FitConfig(run="fit_adaptive", k=10, iterations=10, lr=LR)
+    res = FIT.fit_adaptive(spark, ratings(spark, sf_dir), cfg)
+    return FIT.rmse_changes(res.run_log)
+
+
+@register("fit_threshold")
+def q_fit_threshold(spark, sf_dir):
+    """M12 Python variant: per-rating rule, stop at |ΔRMSE| < 1e-4 (≤ 29 steps)."""
+    log, _ = FIT.fit_threshold(spark, _train(spark, sf_dir), k=10, lr=PY_LR, reg=PY_REG)
+    return log
+
+
+@register("bias_fit")
+def q_bias_fit(spark, sf_dir):
+    """M9 loop with the reference call's parameters (threshold 0.01, ≤ 100 steps, B = 3, η = 0.1, λ = 0.5)."""
+    log, _ = FIT.fit_bias_sgd(spark, _bias_rows(spark, sf_dir), 0.01, 100, BIAS_BATCH, BIAS_LR, BIAS_REG)
+    return log
+
+
+@register("run_params")
+def q_run_params(spark, sf_dir):
+    """K5 + F5 + F12: parameter rows plus data-derived values in basis points and the run stamp."""
+    from ..functions.expressions import basis_points
+    cfg = FIT.FitConfig(run="run10")
+    tr = _train_rows(spark, sf_dir)
+    base = FIT.params_frame(spark, cfg)
+    mu_row = tr.agg(basis_points(F.avg("rating")).cast("string").alias("value")).select(
+        F.lit(cfg.run).alias("run"), F.lit("mu_bips").alias("key"), "value")
+    stamp = spark.range(1).select(F.lit(cfg.run).alias("run"), F.lit("stamp").alias("key"),
+                                  F.date_format(F.current_timestamp(), "MMdd-HHmm").alias("value"))
+    return base.unionByName(mu_row).unionByName(stamp)
