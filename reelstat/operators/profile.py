@@ -16,7 +16,7 @@ row is ever sorted. Ranks are resolved by refining histograms:
    come from this level alone, as do the rating-decile prefix sums at every
    boundary that falls on a block edge.
 2. At most 9 boundaries per movie fall inside a date block. Only rows of those
-   blocks are read again (semi-join) into a ``(movie, date, user, rating)``
+   blocks are read again (join with the cut blocks) into a ``(movie, date, user, rating)``
    histogram, which is rolled up to user buckets (user_id div 65,536) to find
    the bucket holding each boundary, then resolved inside that one bucket.
 
@@ -61,8 +61,13 @@ def _inside(lo: Column, width: Column, k: Column) -> Column:
     return (lo <= k) & (k < lo + width)
 
 
-def movie_summary(ratings: DataFrame) -> DataFrame:
-    """Summary rows for every movie of ``ratings`` (columns movie_id, date, user_id, rating)."""
+def movie_summary(ratings: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """Summary rows for every movie of ``ratings`` (columns movie_id, date, user_id, rating).
+
+    The level-1 histogram (one row per movie and date) is checkpointed once to
+    the session's checkpoint folder: three consumers read it, and without the
+    cut each would re-run the raw scan and aggregation.
+    """
     r = ratings.select("movie_id", "date", "user_id", "rating")
 
     # ---- level 1: date blocks -------------------------------------------------
@@ -83,9 +88,11 @@ def movie_summary(ratings: DataFrame) -> DataFrame:
     bounds = {i: _bound(n, i) for i in range(1, DECILES)}
     # offset of boundary i inside this block (null when the block does not hold it)
     h1 = h1.select(
-        "*",
+        "movie_id", "date", "c", "s", "s2", "n", "first", "c0", "s0",
         *[F.when(_inside(c0, c, b), b - c0).alias(f"m{i}") for i, b in bounds.items()],
     )
+    if checkpoint:
+        h1 = h1.checkpoint(eager=True)
 
     per_movie = h1.groupBy("movie_id").agg(
         F.first("n").alias("ratings"),
@@ -102,20 +109,19 @@ def movie_summary(ratings: DataFrame) -> DataFrame:
     )
 
     # ---- levels 2-3: only blocks cut by a boundary ------------------------------
-    cut = h1.where(F.greatest(*[F.col(f"m{i}") for i in bounds]) > 0).select(
-        "movie_id", "date", *[F.when(F.col(f"m{i}") > 0, F.col(f"m{i}")).alias(f"m{i}") for i in bounds]
+    ms = [f"m{i}" for i in bounds]
+    cut = h1.where(F.greatest(*[F.col(m) for m in ms]) > 0).select(
+        "movie_id", "date", *[F.when(F.col(m) > 0, F.col(m)).alias(m) for m in ms]
     )
+    # raw rows of cut blocks only (cut has at most 9 rows per movie: AQE broadcasts it when small)
     h3 = (
-        r.join(cut.select("movie_id", "date"), ["movie_id", "date"], "left_semi")
+        r.join(cut, ["movie_id", "date"])
         .groupBy("movie_id", "date", "user_id", "rating")
-        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.count(F.lit(1)).alias("c"), *[F.max(m).alias(m) for m in ms])
         .withColumn("ub", F.shiftright(F.col("user_id"), USER_BUCKET_BITS))
     )
-    h2 = (
-        h3.groupBy("movie_id", "date", "ub")
-        .agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("rating")).alias("s"))
-        .join(cut, ["movie_id", "date"])
-    )
+    h2 = h3.groupBy("movie_id", "date", "ub").agg(
+        F.sum("c").alias("c"), F.sum(F.col("c") * F.col("rating")).alias("s"), *[F.max(m).alias(m) for m in ms])
     by_bucket = Window.partitionBy("movie_id", "date").orderBy("ub")
     h2 = h2.withColumn("c0", F.sum("c").over(by_bucket) - F.col("c")).withColumn(
         "s0", F.sum("s").over(by_bucket) - F.col("s"))
@@ -127,7 +133,7 @@ def movie_summary(ratings: DataFrame) -> DataFrame:
     )
     by_key = Window.partitionBy("movie_id", "date", "ub").orderBy("user_id", "rating")
     h3 = (
-        h3.join(buckets, ["movie_id", "date", "ub"])
+        h3.drop(*ms).join(buckets, ["movie_id", "date", "ub"])
         .withColumn("c0", F.sum("c").over(by_key) - F.col("c"))
         .withColumn("s0", F.sum(F.col("c") * F.col("rating")).over(by_key) - F.col("c") * F.col("rating"))
     )

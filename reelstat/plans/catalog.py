@@ -256,9 +256,9 @@ def _holdout(spark, sf_dir, where):
 
 
 RMSE_CASES = {
-    "rmse_factors": (False, "category IN (1, 2, 3, 6)", F.col("category").isin(1, 2, 3, 6), "m0"),
-    "rmse_bias": (True, "category = 2", F.col("category") == 2, "m1"),
-    "rmse_probe": (True, "category = 4", F.col("category") == 4, "m1"),
+    "rmse_factors": (False, "category IN (1, 2, 3, 6)", lambda: F.col("category").isin(1, 2, 3, 6), "m0"),
+    "rmse_bias": (True, "category = 2", lambda: F.col("category") == 2, "m1"),
+    "rmse_probe": (True, "category = 4", lambda: F.col("category") == 4, "m1"),
 }
 
 
@@ -266,7 +266,7 @@ def _rmse_query(use_bias, cond, model_name):
     def q(spark, sf_dir):
         tr = _train_rows(spark, sf_dir)
         model = _init(spark, sf_dir) if model_name == "m0" else _one_epoch(spark, sf_dir)
-        s = M.scored(_holdout(spark, sf_dir, cond), model, _mu(tr), use_bias)
+        s = M.scored(_holdout(spark, sf_dir, cond()), model, _mu(tr), use_bias)
         return M.rmse(s).select(F.round("rmse", 6).alias("rmse"), "n")
     return q
 
