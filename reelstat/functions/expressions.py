@@ -10,8 +10,19 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dot(a: str | Column, b: str | Column) -> Column:
-    """Dot product of two equal-length double arrays (F2)."""
+def dot(a: str | Column, b: str | Column, k: int | None = None) -> Column:
+    """Dot product of two equal-length double arrays (F2).
+
+    With a known length ``k`` the sum is unrolled into plain arithmetic, which
+    whole-stage codegen compiles (higher-order array functions are evaluated
+    interpreted); the summation order is the same left fold either way.
+    """
+    if k is not None:
+        x, y = col(a), col(b)
+        acc = x[0] * y[0]
+        for j in range(1, k):
+            acc = acc + x[j] * y[j]
+        return acc
     return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 

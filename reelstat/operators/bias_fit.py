@@ -19,22 +19,32 @@ a partially aggregated ``groupBy`` that collapses a hot entity map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import draw_key
 
 
-def _draws(ratings: DataFrame, key: str, partner: str, step: int, batch: int) -> DataFrame:
-    """(key, d, partner, rating): ``batch`` draws with replacement from each key's ratings."""
+def _draws(ratings: DataFrame, step: int, batch: int) -> DataFrame:
+    """(side, id, partner, rating): ``batch`` draws with replacement from each user's and movie's ratings.
+
+    Every rating is emitted once per side (``inline``), then one partially
+    aggregated ``groupBy(side, id)`` picks, per draw d, the rating with the
+    smallest key (id, partner, date, rating, step, d).
+    """
+    two = ratings.select(F.inline(F.array(
+        F.struct(F.lit("user").alias("side"), F.col("user_id").cast("long").alias("id"),
+                 F.col("movie_id").cast("long").alias("partner"), "date", "rating"),
+        F.struct(F.lit("movie").alias("side"), F.col("movie_id").cast("long").alias("id"),
+                 F.col("user_id").cast("long").alias("partner"), "date", "rating"),
+    )))
     aggs = []
     for d in range(1, batch + 1):
-        h = draw_key(F.col(key), F.col(partner), F.col("date"), F.col("rating"), F.lit(step * 16 + d))
-        aggs.append(F.min_by(F.struct(F.col(partner).alias("partner"), "rating"),
-                             F.struct(h, F.col(partner), "date", "rating")).alias(f"d{d}"))
-    picked = ratings.groupBy(key).agg(*aggs)
-    return picked.select(key, F.inline(F.array(*[
-        F.struct(F.lit(d).alias("d"), F.col(f"d{d}.partner").alias(partner), F.col(f"d{d}.rating").alias("rating"))
+        h = draw_key(F.col("id"), F.col("partner"), F.col("date"), F.col("rating"), F.lit(step * 16 + d))
+        aggs.append(F.min_by(F.struct("partner", "rating"), F.struct(h, "partner", "date", "rating")).alias(f"d{d}"))
+    picked = two.groupBy("side", "id").agg(*aggs)
+    return picked.select("side", "id", F.inline(F.array(*[
+        F.struct(F.col(f"d{d}.partner").alias("partner"), F.col(f"d{d}.rating").alias("rating"))
         for d in range(1, batch + 1)])))
 
 
@@ -54,22 +64,30 @@ def objective(ratings: DataFrame, bu: DataFrame, bm: DataFrame, mu, reg: float)
     return cells.agg((F.sum(e * e) + F.lit(reg) * F.sum(F.col("bm") * F.col("bm")) + per_user).alias("objective"))
 
 
+def _update(b: Column, total: Column, batch: int, lr: float, reg: float) -> Column:
+    """b − η·(2λ·b − 2Σ), with Σ = Σ_draws (r − μ − b_partner) − B·b."""
+    sm = total - F.lit(float(batch)) * b
+    return F.when(total.isNull(), b).otherwise(b - F.lit(lr) * (F.lit(reg) * 2 * b - 2 * sm))
+
+
 def step(ratings: DataFrame, bu: DataFrame, bm: DataFrame, mu, step_no: int, batch: int, lr: float,
          reg: float) -> tuple[DataFrame, DataFrame]:
-    """One user pass then one movie pass; returns the new (bu, bm)."""
-    mu = mu if isinstance(mu, F.Column) else F.lit(float(mu))
-    ud = _draws(ratings, "user_id", "movie_id", step_no, batch).join(bm, "movie_id").join(bu, "user_id")
-    us = ud.groupBy("user_id").agg(F.sum(F.col("rating") - mu - F.col("bu") - F.col("bm")).alias("s"))
-    bu_new = bu.join(us, "user_id", "left").select(
-        "user_id",
-        F.when(F.col("s").isNull(), F.col("bu")).otherwise(
-            F.col("bu") - F.lit(lr) * (F.lit(reg) * 2 * F.col("bu") - 2 * F.col("s"))).alias("bu"))
-    md = _draws(ratings, "movie_id", "user_id", step_no, batch).join(bu_new, "user_id").join(bm, "movie_id")
-    ms = md.groupBy("movie_id").agg(F.sum(F.col("rating") - mu - F.col("bu") - F.col("bm")).alias("s"))
-    bm_new = bm.join(ms, "movie_id", "left").select(
-        "movie_id",
-        F.when(F.col("s").isNull(), F.col("bm")).otherwise(
-            F.col("bm") - F.lit(lr) * (F.lit(reg) * 2 * F.col("bm") - 2 * F.col("s"))).alias("bm"))
+    """One user pass then one movie pass; returns the new (bu, bm).
+
+    Draws for both sides come from one aggregation; each side then joins only
+    its partners' biases (a table with one row per entity), sums per entity
+    (already grouped by it), and updates with a left join on its own biases.
+    """
+    mu = mu if isinstance(mu, Column) else F.lit(float(mu))
+    draws = _draws(ratings, step_no, batch)
+    ud = draws.where(F.col("side") == "user").select(F.col("id").alias("user_id"), F.col("partner").cast("int").alias(
+        "movie_id"), "rating").join(bm, "movie_id")
+    us = ud.groupBy("user_id").agg(F.sum(F.col("rating") - mu - F.col("bm")).alias("t"))
+    bu_new = bu.join(us, "user_id", "left").select("user_id", _update(F.col("bu"), F.col("t"), batch, lr, reg).alias("bu"))
+    md = draws.where(F.col("side") == "movie").select(F.col("id").cast("int").alias("movie_id"),
+                                                      F.col("partner").alias("user_id"), "rating").join(bu_new, "user_id")
+    ms = md.groupBy("movie_id").agg(F.sum(F.col("rating") - mu - F.col("bu")).alias("t"))
+    bm_new = bm.join(ms, "movie_id", "left").select("movie_id", _update(F.col("bm"), F.col("t"), batch, lr, reg).alias("bm"))
     return bu_new, bm_new
 
 

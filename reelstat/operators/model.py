@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import axpy, clamp, const_vector, dot, init_vector, sum_squares
+from ..functions.expressions import clamp, const_vector, dot, init_vector, sum_squares
 
 USER, MOVIE = "user", "movie"
 
@@ -79,15 +79,18 @@ def model_long(model: DataFrame, digits: int = 6) -> DataFrame:
 # prediction and residuals
 # ---------------------------------------------------------------------------
 
-def scored(ratings: DataFrame, model: DataFrame, mu: float | Column = 0.0, use_bias: bool = True) -> DataFrame:
+def scored(ratings: DataFrame, model: DataFrame, mu: float | Column = 0.0, use_bias: bool = True,
+           k: int | None = None) -> DataFrame:
     """Ratings with p, q, biases, prediction ``pred`` (centred) and residual ``e``.
 
-    ``pred = p·q (+ bu + bm)``; ``e = (rating − μ) − pred``. Entities missing
-    from the model score with zero factors (left join + coalesce, J4).
+    ``pred = p·q (+ bu + bm)``; ``e = (rating − μ) − pred``. Inner joins: build
+    the model over the ids of all splits (``init_model`` on the whole table,
+    J4) so every rated id has a row, as the reference preallocates all ids.
+    Pass ``k`` to unroll the dot product into codegen'd arithmetic.
     """
     mu = mu if isinstance(mu, Column) else F.lit(float(mu))
     s = ratings.join(user_factors(model), "user_id").join(movie_factors(model), "movie_id")
-    pred = dot("p", "q")
+    pred = dot("p", "q", k)
     if use_bias:
         pred = pred + F.col("bu") + F.col("bm")
     return s.withColumn("pred", pred).withColumn("e", (F.col("rating") - mu) - F.col("pred"))
@@ -216,7 +219,7 @@ def apply_gradients(model: DataFrame, grads: DataFrame, rule: StepRule) -> DataF
 
 def epoch(train: DataFrame, model: DataFrame, mu: float | Column, rule: StepRule, k: int) -> DataFrame:
     """One batch step over ``train`` (simultaneous p/q update)."""
-    s = scored(train, model, mu, rule.use_bias)
+    s = scored(train, model, mu, rule.use_bias, k)
     return apply_gradients(model, gradients(s, k), rule)
 
 

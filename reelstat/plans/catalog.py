@@ -229,7 +229,7 @@ def q_init_factors(spark, sf_dir):
           + "SELECT user_id, movie_id, rating, round(pred, 10) AS pred FROM s")
 def q_predict_dot(spark, sf_dir):
     tr = _train_rows(spark, sf_dir)
-    s = M.scored(tr, _init(spark, sf_dir), _mu(tr), use_bias=False)
+    s = M.scored(tr, _init(spark, sf_dir), _mu(tr), use_bias=False, k=K)
     # products of init values are multiples of 2.5e-9: 10 digits has no rounding ties
     return s.select("user_id", "movie_id", "rating", F.round("pred", 10).alias("pred"))
 
@@ -239,7 +239,7 @@ def q_predict_dot(spark, sf_dir):
 def q_predict_bias(spark, sf_dir):
     tr = _train_rows(spark, sf_dir)
     mu = _mu(tr)
-    s = M.scored(tr, _one_epoch(spark, sf_dir), mu, use_bias=True)
+    s = M.scored(tr, _one_epoch(spark, sf_dir), mu, use_bias=True, k=K)
     return s.select("user_id", "movie_id", "rating", F.round(M.predicted_rating(s, mu), 6).alias("prediction"))
 
 
@@ -247,7 +247,7 @@ def q_predict_bias(spark, sf_dir):
           + "SELECT user_id, movie_id, rating, round(e, 6) AS e FROM s")
 def q_residuals(spark, sf_dir):
     tr = _train_rows(spark, sf_dir)
-    s = M.scored(tr, _one_epoch(spark, sf_dir), _mu(tr), use_bias=True)
+    s = M.scored(tr, _one_epoch(spark, sf_dir), _mu(tr), use_bias=True, k=K)
     return s.select("user_id", "movie_id", "rating", F.round("e", 6).alias("e"))
 
 
@@ -266,7 +266,7 @@ def _rmse_query(use_bias, cond, model_name):
     def q(spark, sf_dir):
         tr = _train_rows(spark, sf_dir)
         model = _init(spark, sf_dir) if model_name == "m0" else _one_epoch(spark, sf_dir)
-        s = M.scored(_holdout(spark, sf_dir, cond()), model, _mu(tr), use_bias)
+        s = M.scored(_holdout(spark, sf_dir, cond()), model, _mu(tr), use_bias, K)
         return M.rmse(s).select(F.round("rmse", 6).alias("rmse"), "n")
     return q
 
@@ -283,7 +283,7 @@ for _name, (_ub, _where, _cond, _m) in RMSE_CASES.items():
           + "SELECT user_id, round(sum(e), 6) AS se, count(*) AS n FROM s GROUP BY user_id HAVING sum(e) <> 0")
 def q_residual_by_user(spark, sf_dir):
     tr = _train_rows(spark, sf_dir)
-    s = M.scored(tr, _init(spark, sf_dir), _mu(tr))
+    s = M.scored(tr, _init(spark, sf_dir), _mu(tr), k=K)
     return M.residual_sums(s, "user_id").where(F.col("se") != 0).select(
         "user_id", F.round("se", 6).alias("se"), "n")
 
@@ -292,7 +292,7 @@ def q_residual_by_user(spark, sf_dir):
           + "SELECT movie_id, round(sum(e), 6) AS se, count(*) AS n FROM s GROUP BY movie_id HAVING sum(e) <> 0")
 def q_residual_by_movie(spark, sf_dir):
     tr = _train_rows(spark, sf_dir)
-    s = M.scored(tr, _init(spark, sf_dir), _mu(tr))
+    s = M.scored(tr, _init(spark, sf_dir), _mu(tr), k=K)
     return M.residual_sums(s, "movie_id").where(F.col("se") != 0).select(
         "movie_id", F.round("se", 6).alias("se"), "n")
 
@@ -300,7 +300,7 @@ def q_residual_by_movie(spark, sf_dir):
 def _gradient_query(side):
     def q(spark, sf_dir):
         tr = _train_rows(spark, sf_dir)
-        s = M.scored(tr, _init(spark, sf_dir), _mu(tr))
+        s = M.scored(tr, _init(spark, sf_dir), _mu(tr), k=K)
         g = M.gradients(s, K).where(F.col("side") == side)
         return g.select("id", F.posexplode("g").alias("k", "value")).select(
             "id", F.col("k").cast("int").alias("k"), F.round("value", 6).alias("value"))
@@ -369,7 +369,7 @@ def q_cell_bias_update(spark, sf_dir):
     """M7 with M1c init: cells of the merged train matrix, b_ui = 3, factors 0.1."""
     cells = basic.merge_duplicates(_train_rows(spark, sf_dir)).select("user_id", "movie_id", "rating")
     model = M.init_model(ratings(spark, sf_dir), K, constant=0.1)
-    s = M.scored(cells, model, 0.0, use_bias=False).withColumn("b_ui", F.lit(3.0))
+    s = M.scored(cells, model, 0.0, use_bias=False, k=K).withColumn("b_ui", F.lit(3.0))
     s = s.withColumn("e", F.col("rating") - (F.col("b_ui") + F.col("pred")))
     return M.cell_bias_update(s, PY_LR, PY_REG).select("user_id", "movie_id", F.round("b_ui", 6).alias("b_ui"))
 
@@ -431,7 +431,7 @@ def q_score_clamped(spark, sf_dir):
     _one_epoch(spark, sf_dir).write.parquet(f"{base}/factors")
     model = spark.read.parquet(f"{base}/factors")
     test = _numbered(spark, sf_dir).where(F.col("category") == 5)
-    s = M.scored(test, model, mu, use_bias=True)
+    s = M.scored(test, model, mu, use_bias=True, k=K)
     s = s.withColumn("prediction", M.predicted_rating(s, mu, (1.0, 5.0)))
     return TX.prediction_lines(s)
 
@@ -536,7 +536,7 @@ def q_rate_probe(spark, sf_dir):
     c = None
     for label, rate in _CANDS:
         m = M.epoch(tr, m0, mu, M.rule_bias_model(rate, REG, REG, RATIO), K)
-        row = M.rmse(M.scored(valid, m, mu)).select(
+        row = M.rmse(M.scored(valid, m, mu, k=K)).select(
             F.lit(label).alias("candidate"), F.lit(rate).alias("learning_rate"), "rmse")
         c = row if c is None else c.unionByName(row)
     # three rows: a bounded frame, so an unpartitioned window is fine here

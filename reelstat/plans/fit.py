@@ -98,9 +98,9 @@ def materialize_rows(spark: SparkSession, rows: DataFrame, store: _Store, name:
     return spark.table(table)
 
 
-def holdout_rmse(rows: DataFrame, model: DataFrame, mu: float, use_bias: bool = True) -> float:
+def holdout_rmse(rows: DataFrame, model: DataFrame, mu: float, use_bias: bool = True, k: int | None = None) -> float:
     """RMSE of the model on a holdout set (unclamped)."""
-    return M.rmse_value(M.scored(rows, model, mu, use_bias))
+    return M.rmse_value(M.scored(rows, model, mu, use_bias, k))
 
 
 def params_frame(spark: SparkSession, cfg: FitConfig, extra: dict[str, str] | None = None) -> DataFrame:
@@ -130,7 +130,7 @@ def choose_rate(train: DataFrame, valid: DataFrame, model: DataFrame, mu: float,
     cands = []
     for label, rate in (("up", lr * cfg.up), ("down", lr / cfg.down), ("same", lr)):
         trial = M.epoch(train, model, mu, cfg.step_rule(rate), cfg.k)
-        cands.append((label, rate, holdout_rmse(valid, trial, mu, cfg.step_rule(rate).use_bias)))
+        cands.append((label, rate, holdout_rmse(valid, trial, mu, cfg.step_rule(rate).use_bias, cfg.k)))
     (_, _, r_up), (_, _, r_down), (_, _, r_same) = cands
     if r_up < r_down and r_up < r_same:
         lr = lr * cfg.up
@@ -162,14 +162,14 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     path = store.save(M.init_model(ratings, cfg.k, cfg.init_range), "epoch=0")
     model = store.load(path)
     lr = cfg.lr
-    last = holdout_rmse(valid, model, mu, use_bias)
+    last = holdout_rmse(valid, model, mu, use_bias, cfg.k)
     best_rmse, best_path = math.inf, None
     log = []
     for i in range(cfg.iterations):
         lr_used = lr
         new_path = store.save(M.epoch(train, model, mu, cfg.step_rule(lr), cfg.k), f"epoch={i + 1}")
         new_model = store.load(new_path)
-        new = holdout_rmse(valid, new_model, mu, use_bias)
+        new = holdout_rmse(valid, new_model, mu, use_bias, cfg.k)
         if new > last or math.isnan(new):          # M8: roll back, slow down (F8: NaN test)
             accepted = False
             lr *= cfg.dec                          # the kept model's RMSE is still `last`
@@ -181,7 +181,7 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
             model, path = new_model, new_path
             if gain < cfg.threshold:               # the stopping step is not logged
                 break
-        p = holdout_rmse(probe, model, mu, use_bias)
+        p = holdout_rmse(probe, model, mu, use_bias, cfg.k)
         log.append((cfg.run, i + 1, lr_used, last, p, accepted))
         if p < best_rmse:                          # M11 / G13: strict <, earliest best kept
             best_rmse, best_path = p, path
@@ -214,11 +214,11 @@ def fit_threshold(spark: SparkSession, ratings: DataFrame, k: int = 10, lr: floa
     model = store.load(path)
     rule = M.rule_per_rating(lr, reg)
     log = []
-    old = M.rmse_value(M.scored(train, model, mu))
+    old = M.rmse_value(M.scored(train, model, mu, k=k))
     for i in range(1, max_loops):
         path = store.save(M.epoch(train, model, mu, rule, k), f"epoch={i}")
         model = store.load(path)
-        new = M.rmse_value(M.scored(train, model, mu))
+        new = M.rmse_value(M.scored(train, model, mu, k=k))
         log.append((run, i, old, new))
         if abs(old - new) < stop:
             break
