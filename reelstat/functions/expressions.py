@@ -10,20 +10,27 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Longest dot product unrolled into plain arithmetic. Measured on a full epoch
+# (sf0.1, local[8]): unrolled is ~1.5-2x faster than the array fold at K = 10,
+# 16 and 24, but ~2x slower at K = 40, where the generated stage outgrows the
+# JIT's method-size limit and runs interpreted.
+UNROLL_MAX = 24
+
+
 def dot(a: str | Column, b: str | Column, k: int | None = None) -> Column:
-    """Dot product of two equal-length double arrays (F2).
+    """Dot product of two equal-length double arrays (F2), as a left fold.
 
-    With a known length ``k`` the sum is unrolled into plain arithmetic, which
-    whole-stage codegen compiles (higher-order array functions are evaluated
-    interpreted); the summation order is the same left fold either way.
+    With a known length ``k ≤ UNROLL_MAX`` the sum is plain arithmetic that
+    whole-stage codegen compiles; otherwise ``aggregate(zip_with(...))``. Both
+    sum in the same order, so results are identical.
     """
-    if k is not None:
-        x, y = col(a), col(b)
-        acc = x[0] * y[0]
-        for j in range(1, k):
-            acc = acc + x[j] * y[j]
-        return acc
-    return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    x, y = col(a), col(b)
+    if k is None or k > UNROLL_MAX:
+        return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda s, t: s + t)
+    acc = x[0] * y[0]
+    for j in range(1, k):
+        acc = acc + x[j] * y[j]
+    return acc
 
 
 def sum_squares(a: str | Column) -> Column:

@@ -30,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Fixed values of the decile rule: ten slices.
 DECILES = 10
 # Users per bucket at the middle refinement level.
@@ -64,9 +66,9 @@ def _inside(lo: Column, width: Column, k: Column) -> Column:
 def movie_summary(ratings: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Summary rows for every movie of ``ratings`` (columns movie_id, date, user_id, rating).
 
-    The level-1 histogram (one row per movie and date) is checkpointed once to
-    the session's checkpoint folder: three consumers read it, and without the
-    cut each would re-run the raw scan and aggregation.
+    The level-1 histogram (one row per movie and date) is written once to the
+    session's checkpoint folder: three consumers read it, and without the cut
+    each would re-run the raw scan and aggregation.
     """
     r = ratings.select("movie_id", "date", "user_id", "rating")
 
@@ -92,7 +94,7 @@ def movie_summary(ratings: DataFrame, checkpoint: bool = True) -> DataFrame:
         *[F.when(_inside(c0, c, b), b - c0).alias(f"m{i}") for i, b in bounds.items()],
     )
     if checkpoint:
-        h1 = h1.checkpoint(eager=True)
+        h1 = materialize(h1, "movie-date-histogram")
 
     per_movie = h1.groupBy("movie_id").agg(
         F.first("n").alias("ratings"),

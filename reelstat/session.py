@@ -51,3 +51,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as parquet under the checkpoint folder and reading it back.
+
+    One job (``DataFrame.checkpoint`` computes its input twice unless cached),
+    columnar and prunable on read, and on shared storage so a lost executor
+    does not replay the plan that built it.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "reelstat-tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
