@@ -276,3 +276,16 @@ def fit_bias_sgd(spark: SparkSession, ratings: DataFrame, threshold: float = 0.0
         before = after
     frame = spark.createDataFrame(log, "run string, step int, objective_before double, objective_after double")
     return frame, path
+
+
+def run_log_lines(run_log: DataFrame) -> DataFrame:
+    """K6 body: ``%d, %.7f, %.7f`` (iteration, valid RMSE, probe RMSE) per logged step."""
+    return run_log.select(
+        "run", "iteration",
+        F.format_string("%d, %.7f, %.7f", "iteration", "valid_rmse", "probe_rmse").alias("line"))
+
+
+def write_run_log_csv(run_log: DataFrame, path: str) -> None:
+    """K6: the iteration log as text lines, appended, ordered by iteration at the sink."""
+    run_log_lines(run_log).orderBy("run", "iteration").select(F.col("line").alias("value")).coalesce(1).write.mode(
+        "append").text(path)

@@ -24,7 +24,13 @@ from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
     DataSourceReader,
+    EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
     InputPartition,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 
@@ -64,9 +70,21 @@ class _Range(InputPartition):
         self.uri, self.path, self.first, self.count, self.row0 = uri, path, first, count, row0
 
 
-def decode(buf: bytes | memoryview, row0: int = 0) -> pa.RecordBatch:
-    """Records → Arrow batch (F1: little-endian u32/u16/u16/u8/u8)."""
+FIELDS = {"user_id": "user", "movie_id": "movie", "date": "date", "rating": "rating", "category": "category"}
+
+
+def decode(buf: bytes | memoryview, row0: int = 0, keep: dict | None = None) -> pa.RecordBatch:
+    """Records → Arrow batch (F1: little-endian u32/u16/u16/u8/u8).
+
+    ``keep`` maps a column to the set of values to keep (pushed-down filters).
+    """
     rec = np.frombuffer(buf, dtype=DTYPE)
+    row_no = np.arange(row0, row0 + len(rec), dtype=np.int64)
+    if keep:
+        mask = np.ones(len(rec), dtype=bool)
+        for column, values in keep.items():
+            mask &= np.isin(rec[FIELDS[column]], np.array(sorted(values)))
+        rec, row_no = rec[mask], row_no[mask]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(rec["user"].astype(np.int64)),
@@ -74,7 +92,7 @@ def decode(buf: bytes | memoryview, row0: int = 0) -> pa.RecordBatch:
             pa.array(rec["date"].astype(np.int32)),
             pa.array(rec["rating"].astype(np.int32)),
             pa.array(rec["category"].astype(np.int32)),
-            pa.array(np.arange(row0, row0 + len(rec), dtype=np.int64)),
+            pa.array(row_no),
         ],
         names=["user_id", "movie_id", "date", "rating", "category", "row_no"],
     )
@@ -96,6 +114,26 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.split_records = max(1, int(options.get("splitBytes", DEFAULT_SPLIT_BYTES)) // RECORD_BYTES)
+        self.lo, self.hi = 0, None   # row_no range [lo, hi) from pushed filters
+        self.keep: dict = {}         # column -> allowed values from pushed filters
+
+    def pushFilters(self, filters):
+        """Row-position ranges cut whole byte ranges; equality / IN on fields mask in the task."""
+        for f in filters:
+            col = f.attribute[0] if len(f.attribute) == 1 else None
+            if col == "row_no" and isinstance(f, (LessThan, LessThanOrEqual, GreaterThan, GreaterThanOrEqual, EqualTo)):
+                v = int(f.value)
+                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+                    cap = v if isinstance(f, LessThan) else v + 1
+                    self.hi = cap if self.hi is None else min(self.hi, cap)
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    self.lo = max(self.lo, v + 1 if isinstance(f, GreaterThan) else v)
+            elif col in FIELDS and isinstance(f, (EqualTo, In)):
+                vals = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                vals = {int(x) for x in vals if x is not None}
+                self.keep[col] = self.keep.get(col, vals) & vals
+            else:
+                yield f
 
     def partitions(self):
         parts, row0 = [], 0
@@ -103,7 +141,11 @@ class _Reader(DataSourceReader):
             n = size // RECORD_BYTES  # a partial trailing record is ignored
             for first in range(0, n, self.split_records):
                 count = min(self.split_records, n - first)
-                parts.append(_Range(self.path, path, first, count, row0 + first))
+                a, b = max(row0 + first, self.lo), row0 + first + count
+                if self.hi is not None:
+                    b = min(b, self.hi)
+                if a < b:
+                    parts.append(_Range(self.path, path, a - row0, b - a, a))
             row0 += n
         return parts or [_Range(self.path, "", 0, 0, 0)]
 
@@ -116,7 +158,7 @@ class _Reader(DataSourceReader):
             while done < partition.count:
                 n = min(BATCH_RECORDS, partition.count - done)
                 buf = f.read_at(n * RECORD_BYTES, (partition.first + done) * RECORD_BYTES)
-                yield decode(buf, partition.row0 + done)
+                yield decode(buf, partition.row0 + done, self.keep)
                 done += n
 
 
@@ -183,6 +225,9 @@ class RatingsBinary(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(RatingsBinary)
+    # let the source see filters (positions prune byte ranges; field filters mask in the task)
+    if spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") != "true":
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
 def read_ratings_bin(spark, path: str, category: int | None = None, split_bytes: int | None = None):

@@ -52,3 +52,22 @@ def user_factors(spark: SparkSession, model_dir: str) -> DataFrame:
 
 def movie_factors(spark: SparkSession, model_dir: str) -> DataFrame:
     return spark.read.parquet(f"{model_dir.rstrip('/')}/movie_factors")
+
+
+def write_ordered(ratings: DataFrame, path: str, order=("movie_id", "user_id", "date"), fmt: str = "parquet",
+                  partitions: int | None = None) -> None:
+    """Store the table in one physical order (movie-major ``mu`` or user-major ``um``).
+
+    A range-partitioned sort: part files follow each other in key order, each
+    sorted inside, so a later scan meets rows movie by movie (or user by user)
+    without a global sort on one task. ``fmt`` is ``parquet`` or ``ratings_bin``.
+    """
+    cols = list(order)
+    n = partitions or int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = ratings.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    if fmt == "ratings_bin":
+        from .binary import write_ratings_bin
+
+        write_ratings_bin(s, path)
+    else:
+        s.write.mode("overwrite").parquet(path)

@@ -94,3 +94,31 @@ def test_gram_and_norm(spark):
     assert M.factor_norm(m).collect()[0].norm == 30.0
     # Gram = [[10, 14], [14, 20]] → 100 + 196 + 196 + 400
     assert M.gram_norm(m, 2).collect()[0].gram_norm == 892.0
+
+
+def test_run_log_csv_format(spark, tmpdir_fresh):
+    log = spark.createDataFrame([("r", 2, 0.1, 0.95, 0.97, True), ("r", 1, 0.1, 0.96, 0.98, True)], fit.S.RUN_LOG)
+    fit.write_run_log_csv(log, f"{tmpdir_fresh}/log")
+    import glob
+    lines = open(glob.glob(f"{tmpdir_fresh}/log/part-*")[0]).read().splitlines()
+    assert lines == ["1, 0.9600000, 0.9800000", "2, 0.9500000, 0.9700000"]
+
+
+def test_als_crosscheck(spark):
+    from reelstat.plans.als import als_fit, als_rmse
+
+    r = ratings(spark, SF_SMALL)
+    model, mu = als_fit(r.where("category in (1,2,3,6)"), k=4, iterations=5)
+    got = als_rmse(model, r.where("category = 4"), mu).collect()[0]
+    assert got.n > 0 and 0 < got.rmse < 3
+
+
+def test_write_ordered_movie_major(spark, tmpdir_fresh):
+    from reelstat.sources.tables import write_ordered
+    from reelstat.sources import binary
+
+    r = ratings(spark, SF_SMALL)
+    write_ordered(r, f"{tmpdir_fresh}/mu", fmt="ratings_bin", partitions=4)
+    back = sorted(binary.read_ratings_bin(spark, f"{tmpdir_fresh}/mu").collect(), key=lambda x: x.row_no)
+    keys = [(x.movie_id, x.user_id, x.date) for x in back]
+    assert keys == sorted(keys) and len(keys) == 6000

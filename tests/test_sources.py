@@ -89,3 +89,16 @@ def test_prediction_lines_clamp(spark):
     df = spark.createDataFrame([(0, 5.7), (1, 0.2), (2, 3.123456)], "row_no long, x double")
     got = [r.line for r in text.prediction_lines(df.withColumn("prediction", clamp("x"))).orderBy("row_no").collect()]
     assert got == ["5.00000", "1.00000", "3.12346"]
+
+
+def test_binary_pushdown_positions_and_category(spark, tmpdir_fresh):
+    recs = [(i + 1, i % 50 + 1, i, i % 5 + 1, i % 6 + 1) for i in range(1000)]
+    _write_bin(f"{tmpdir_fresh}/p.bin", recs)
+    df = binary.read_ratings_bin(spark, f"{tmpdir_fresh}/p.bin", split_bytes=1000)
+    first = df.where("row_no < 250")
+    assert first.rdd.getNumPartitions() == 3          # only the byte ranges holding rows 0..249
+    assert sorted(r.row_no for r in first.collect()) == list(range(250))
+    mid = df.where("row_no >= 400 and row_no <= 402 and category = 5")
+    assert [(r.row_no, r.category) for r in mid.collect()] == [(react, 5) for react in range(400, 403) if react % 6 + 1 == 5]
+    cats = df.where("category in (2, 4)")
+    assert cats.count() == sum(1 for r in recs if r[4] in (2, 4))
