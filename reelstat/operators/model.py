@@ -96,6 +96,16 @@ def scored(ratings: DataFrame, model: DataFrame, mu: float | Column = 0.0, use_b
     return s.withColumn("pred", pred).withColumn("e", (F.col("rating") - mu) - F.col("pred"))
 
 
+def first_biases(model: DataFrame, n: int = 10) -> DataFrame:
+    """S3: the biases of the first ``n`` ids per side (a top-n report: the limit is the feature)."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("side").orderBy("id")
+    # per side a top-n: Spark plans a per-partition limit before the shuffle
+    return model.select("side", "id", "b").withColumn("_r", F.row_number().over(w)).where(
+        F.col("_r") <= n).drop("_r")
+
+
 def predicted_rating(s: DataFrame, mu: float | Column, clamp_range: tuple[float, float] | None = None) -> Column:
     """P10 (+ P8): μ + prediction, optionally clamped to [1, 5]."""
     mu = mu if isinstance(mu, Column) else F.lit(float(mu))

@@ -591,3 +591,22 @@ def q_run_params(spark, sf_dir):
     stamp = spark.range(1).select(F.lit(cfg.run).alias("run"), F.lit("stamp").alias("key"),
                                   F.date_format(F.current_timestamp(), "MMdd-HHmm").alias("value"))
     return base.unionByName(mu_row).unionByName(stamp)
+
+
+# ---- S3 and A7 ---------------------------------------------------------------
+
+@register("first_biases", with_ratings(*model_ctes(K), *M4_SQL) + """SELECT side, id, round(b, 6) AS b FROM (
+  SELECT side, id, b, row_number() OVER (PARTITION BY side ORDER BY id) AS rn FROM m1) WHERE rn <= 10""")
+def q_first_biases(spark, sf_dir):
+    """S3: first ten user and movie biases after one bias-model step."""
+    return M.first_biases(_one_epoch(spark, sf_dir), 10).select("side", "id", F.round("b", 6).alias("b"))
+
+
+@register("binary_movie_summary", oracle.movie_summary_sql("category IN (1, 2, 3, 6)"))
+def q_binary_movie_summary(spark, sf_dir):
+    """A11 + K1 + A7: the train split stored movie-major as 10-byte records, scanned back into the summary."""
+    from ..sources.tables import write_ordered
+
+    base = _scratch(spark, "mu")
+    write_ordered(_train(spark, sf_dir), f"{base}/all.train", fmt="ratings_bin")
+    return profile.movie_summary(B.read_ratings_bin(spark, f"{base}/all.train"))

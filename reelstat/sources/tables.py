@@ -24,6 +24,21 @@ def category_expr(h: F.Column) -> F.Column:
     return expr.otherwise(F.lit(MISSING_CATEGORY)).cast("int")
 
 
+def day_number(ts: str, schema) -> F.Column:
+    """Whole days since 1995-01-01, independent of the session time zone.
+
+    A wall-clock (``TIMESTAMP_NTZ``) or ``DATE`` column is diffed directly; an
+    instant (``TIMESTAMP``) column is taken in UTC via its epoch seconds.
+    """
+    from pyspark.sql import types as T
+
+    dtype = schema[ts].dataType
+    if isinstance(dtype, T.TimestampType):
+        epoch_days = F.floor(F.unix_timestamp(F.col(ts)) / 86400)
+        return epoch_days - F.datediff(F.lit(DAY_ZERO).cast("date"), F.lit("1970-01-01").cast("date"))
+    return F.datediff(F.col(ts), F.lit(DAY_ZERO).cast("date"))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ratings(user_id, movie_id, date, rating, category)`` over lineitem ⋈ orders.
 
@@ -39,7 +54,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.col("o_custkey").cast("long").alias("user_id"),
             F.col("l_partkey").cast("int").alias("movie_id"),
-            F.datediff(F.col("l_shipdate"), F.lit(DAY_ZERO).cast("date")).cast("int").alias("date"),
+            day_number("l_shipdate", li.schema).cast("int").alias("date"),
             (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("int").alias("rating"),
             category_expr(h).alias("category"),
         )
