@@ -192,9 +192,18 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     final = store.save(model, "final")
     if best_path is not None:
         store.save(store.load(best_path), "best")
-    extra = {"seconds": f"{time.time() - t_start:.0f}"}
-    params.unionByName(spark.createDataFrame([(cfg.run, k, v) for k, v in extra.items()], S.RUN_PARAMS)).write.mode(
-        "append").parquet(f"{store.base}/run_params_end")
+    # What the reference encodes in model file names, as rows
+    extra = {
+        "stamp": file_stamp(t_start),
+        "seconds": f"{time.time() - t_start:.0f}",
+        "mu_bips": str(math.floor(mu * 10000)),
+        "valid_rmse_bips": str(math.floor(last * 10000)) if not math.isnan(last) else "nan",
+        "best_probe_rmse_bips": str(math.floor(best_rmse * 10000)) if best_path else "",
+        "final_model": final,
+        "best_model": f"{store.base}/best" if best_path else "",
+    }
+    params = params.unionByName(spark.createDataFrame([(cfg.run, k, v) for k, v in extra.items()], S.RUN_PARAMS))
+    params.write.mode("overwrite").parquet(f"{store.base}/run_params")
     return FitResult(run_log, params, final, best_path, None if best_path is None else best_rmse, mu, log)
 
 

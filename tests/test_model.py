@@ -122,3 +122,17 @@ def test_write_ordered_movie_major(spark, tmpdir_fresh):
     back = sorted(binary.read_ratings_bin(spark, f"{tmpdir_fresh}/mu").collect(), key=lambda x: x.row_no)
     keys = [(x.movie_id, x.user_id, x.date) for x in back]
     assert keys == sorted(keys) and len(keys) == 6000
+
+
+def test_rate_probe_inside_fit_loop(spark):
+    """tune_freq = 1: after every logged step the rate is probed (×1.5, ÷1.5, ×1) and the best kept."""
+    r = ratings(spark, SF_SMALL)
+    cfg = fit.FitConfig(run="tune", k=3, iterations=2, lr=0.001, tune_freq=1)
+    res = fit.fit_adaptive(spark, r, cfg)
+    rates = [row[2] for row in res.log_rows]
+    assert len(rates) == 2
+    # the second step's rate is the first ×1.005 (accepted) and then ×1.5, ÷1.5 or unchanged
+    base = rates[0] * 1.005
+    assert any(abs(rates[1] - x) < 1e-12 for x in (base * 1.5, base / 1.5, base))
+    kv = {x.key: x.value for x in res.run_params.collect()}
+    assert kv["mu_bips"] == str(int(res.mu * 10000)) and len(kv["stamp"]) == 9
