@@ -44,125 +44,107 @@ SUMMARY_COLUMNS = (
 )
 
 
-def _idiv(x: Column, k: int) -> Column:
-    """Integer division of a non-negative long by a constant (SQL ``div``)."""
-    return ((x - F.pmod(x, F.lit(k))) / k).cast("long")
+# The rank arithmetic is written as SQL expression text: one JVM call per
+# expression instead of one per operator node when the plan is built.
 
-
-def _view_rank(n: Column, i: int) -> Column:
-    """Rank whose date is viewdate[i-1]: n·i > 10 ? n·i div 10 − 1 : 0."""
-    return F.when(n * i > DECILES, _idiv(n * i, DECILES) - 1).otherwise(F.lit(0).cast("long"))
+def _bound(n: str, i: int) -> str:
+    """Rank boundary n·i div 10."""
+    return f"(({n}) * {i}) div {DECILES}"
 
 
-def _bound(n: Column, i: int) -> Column:
-    """Rank boundary n·i div 10."""
-    return _idiv(n * i, DECILES)
+def _view_rank(n: str, i: int) -> str:
+    """Rank whose date is viewdate[i-1]: n·i > 10 ? n·i div 10 − 1 : 0."""
+    return f"(CASE WHEN ({n}) * {i} > {DECILES} THEN {_bound(n, i)} - 1 ELSE 0 END)"
 
 
-def _inside(lo: Column, width: Column, k: Column) -> Column:
-    return (lo <= k) & (k < lo + width)
+def _inside(lo: str, width: str, k: str) -> str:
+    """Rank k falls in the block [lo, lo + width)."""
+    return f"(({lo}) <= ({k}) AND ({k}) < ({lo}) + ({width}))"
 
 
 def movie_summary(ratings: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Summary rows for every movie of ``ratings`` (columns movie_id, date, user_id, rating).
 
-    The level-1 histogram (one row per movie and date) is written once to the
-    session's checkpoint folder: three consumers read it, and without the cut
-    each would re-run the raw scan and aggregation.
+    The per-movie row (with the ≤ 9 cut blocks collected into it) is written
+    once to the session's checkpoint folder: it is read twice (final row, cut
+    blocks), and without the cut each read would re-run the histogram.
     """
     r = ratings.select("movie_id", "date", "user_id", "rating")
+    bounds = list(range(1, DECILES))
+    ms = [f"m{i}" for i in bounds]
+    E = F.expr
 
-    # ---- level 1: date blocks -------------------------------------------------
+    # ---- level 1: date blocks (one ordered window spec, one sort) ---------------
+    w_all = "(PARTITION BY movie_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    w_before = "(PARTITION BY movie_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     h1 = r.groupBy("movie_id", "date").agg(
         F.count(F.lit(1)).alias("c"),
         F.sum(F.col("rating").cast("long")).alias("s"),
         F.sum((F.col("rating") * F.col("rating")).cast("long")).alias("s2"),
+    ).selectExpr(
+        "*",
+        f"sum(c) OVER {w_all} AS n",
+        f"min(date) OVER {w_all} AS first",
+        f"coalesce(sum(c) OVER {w_before}, 0) AS c0",
+        f"coalesce(sum(s) OVER {w_before}, 0) AS s0",
     )
-    by_movie = Window.partitionBy("movie_id")
-    by_date = by_movie.orderBy("date")
-    h1 = (
-        h1.withColumn("n", F.sum("c").over(by_movie))
-        .withColumn("first", F.min("date").over(by_movie))
-        .withColumn("c0", F.sum("c").over(by_date) - F.col("c"))
-        .withColumn("s0", F.sum("s").over(by_date) - F.col("s"))
-    )
-    n, c, c0 = F.col("n"), F.col("c"), F.col("c0")
-    bounds = {i: _bound(n, i) for i in range(1, DECILES)}
     # offset of boundary i inside this block (null when the block does not hold it)
-    h1 = h1.select(
-        "movie_id", "date", "c", "s", "s2", "n", "first", "c0", "s0",
-        *[F.when(_inside(c0, c, b), b - c0).alias(f"m{i}") for i, b in bounds.items()],
-    )
-    if checkpoint:
-        h1 = materialize(h1, "movie-date-histogram")
-
+    h1 = h1.selectExpr(
+        "*", *[f"CASE WHEN {_inside('c0', 'c', _bound('n', i))} THEN {_bound('n', i)} - c0 END AS m{i}" for i in bounds])
+    cut_struct = "named_struct('date', date, " + ", ".join(
+        f"'m{i}', CASE WHEN m{i} > 0 THEN m{i} END" for i in bounds) + ")"
     per_movie = h1.groupBy("movie_id").agg(
-        F.first("n").alias("ratings"),
-        F.sum("s").alias("rsum"),
-        F.sum("s2").alias("r2sum"),
-        F.min("date").alias("first_rating"),
-        F.max("date").alias("last_rating"),
-        *[
-            F.max(F.when(_inside(c0, c, _view_rank(n, i)), F.col("date") - F.col("first"))).alias(f"viewdate{i - 1}")
-            for i in range(1, DECILES + 1)
-        ],
+        E("first(n) AS ratings"),
+        E("sum(s) AS rsum"),
+        E("sum(s2) AS r2sum"),
+        E("min(date) AS first_rating"),
+        E("max(date) AS last_rating"),
+        *[E(f"max(CASE WHEN {_inside('c0', 'c', _view_rank('n', i))} THEN date - first END) AS viewdate{i - 1}")
+          for i in range(1, DECILES + 1)],
         # prefix sum of whole blocks before boundary i
-        *[F.max(F.when(F.col(f"m{i}").isNotNull(), F.col("s0"))).alias(f"full{i}") for i in bounds],
+        *[E(f"max(CASE WHEN m{i} IS NOT NULL THEN s0 END) AS full{i}") for i in bounds],
+        # the blocks a boundary cuts: at most 9 per movie (nulls are not collected)
+        E(f"collect_list(CASE WHEN greatest({', '.join(ms)}) > 0 THEN {cut_struct} END) AS cuts"),
     )
+    if checkpoint:
+        # one row per movie, read twice below: written once instead of re-running the histogram
+        per_movie = materialize(per_movie, "movie-profile")
 
     # ---- levels 2-3: only blocks cut by a boundary ------------------------------
-    ms = [f"m{i}" for i in bounds]
-    cut = h1.where(F.greatest(*[F.col(m) for m in ms]) > 0).select(
-        "movie_id", "date", *[F.when(F.col(m) > 0, F.col(m)).alias(m) for m in ms]
-    )
+    cut = per_movie.select("movie_id", F.inline("cuts"))
     # raw rows of cut blocks only (cut has at most 9 rows per movie: AQE broadcasts it when small)
-    h3 = (
-        r.join(cut, ["movie_id", "date"])
-        .groupBy("movie_id", "date", "user_id", "rating")
-        .agg(F.count(F.lit(1)).alias("c"), *[F.max(m).alias(m) for m in ms])
-        .withColumn("ub", F.shiftright(F.col("user_id"), USER_BUCKET_BITS))
-    )
+    h3 = r.join(cut, ["movie_id", "date"]).groupBy(
+        "movie_id", "date", "user_id", "rating", F.shiftright(F.col("user_id"), USER_BUCKET_BITS).alias("ub")
+    ).agg(F.count(F.lit(1)).alias("c"), *[F.max(x).alias(x) for x in ms])
+    w_bucket = "(PARTITION BY movie_id, date ORDER BY ub ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     h2 = h3.groupBy("movie_id", "date", "ub").agg(
-        F.sum("c").alias("c"), F.sum(F.col("c") * F.col("rating")).alias("s"), *[F.max(m).alias(m) for m in ms])
-    by_bucket = Window.partitionBy("movie_id", "date").orderBy("ub")
-    h2 = h2.withColumn("c0", F.sum("c").over(by_bucket) - F.col("c")).withColumn(
-        "s0", F.sum("s").over(by_bucket) - F.col("s"))
-    hits2 = [_inside(F.col("c0"), F.col("c"), F.col(f"m{i}")) for i in bounds]
-    buckets = h2.where(F.greatest(*[h.cast("int") for h in hits2]) == 1).select(
+        F.sum("c").alias("c"), F.sum(F.col("c") * F.col("rating")).alias("s"), *[F.max(x).alias(x) for x in ms]
+    ).selectExpr("*", f"coalesce(sum(c) OVER {w_bucket}, 0) AS c0", f"coalesce(sum(s) OVER {w_bucket}, 0) AS s0")
+    hit = {i: _inside("c0", "c", f"m{i}") for i in bounds}
+    buckets = h2.where(" OR ".join(f"coalesce({h}, false)" for h in hit.values())).selectExpr(
         "movie_id", "date", "ub",
-        *[F.when(h, F.col(f"m{i}") - F.col("c0")).alias(f"k{i}") for i, h in zip(bounds, hits2)],
-        *[F.when(h, F.col("s0")).alias(f"t{i}") for i, h in zip(bounds, hits2)],
-    )
-    by_key = Window.partitionBy("movie_id", "date", "ub").orderBy("user_id", "rating")
-    h3 = (
-        h3.drop(*ms).join(buckets, ["movie_id", "date", "ub"])
-        .withColumn("c0", F.sum("c").over(by_key) - F.col("c"))
-        .withColumn("s0", F.sum(F.col("c") * F.col("rating")).over(by_key) - F.col("c") * F.col("rating"))
+        *[f"CASE WHEN {h} THEN m{i} - c0 END AS k{i}" for i, h in hit.items()],
+        *[f"CASE WHEN {h} THEN s0 END AS t{i}" for i, h in hit.items()],
     )
+    w_key = "(PARTITION BY movie_id, date, ub ORDER BY user_id, rating ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    h3 = h3.drop(*ms).join(buckets, ["movie_id", "date", "ub"]).selectExpr(
+        "*", f"coalesce(sum(c) OVER {w_key}, 0) AS c0", f"coalesce(sum(c * rating) OVER {w_key}, 0) AS s0")
     partial = h3.groupBy("movie_id").agg(*[
-        F.max(F.when(
-            _inside(F.col("c0"), F.col("c"), F.col(f"k{i}")),
-            F.col(f"t{i}") + F.col("s0") + (F.col(f"k{i}") - F.col("c0")) * F.col("rating"),
-        )).alias(f"part{i}")
+        E(f"max(CASE WHEN {_inside('c0', 'c', f'k{i}')} THEN t{i} + s0 + (k{i} - c0) * rating END) AS part{i}")
         for i in bounds
     ])
 
     # ---- assemble ---------------------------------------------------------------
-    out = per_movie.join(partial, "movie_id", "left")
-    n = F.col("ratings")
-    prefix = [F.lit(0).cast("long")] + [
-        F.col(f"full{i}") + F.coalesce(F.col(f"part{i}"), F.lit(0).cast("long")) for i in bounds
-    ] + [F.col("rsum")]
-    mean = F.col("rsum") / n
-    return out.select(
+    prefix = ["CAST(0 AS BIGINT)"] + [f"(full{i} + coalesce(part{i}, CAST(0 AS BIGINT)))" for i in bounds] + ["rsum"]
+    return per_movie.join(partial, "movie_id", "left").selectExpr(
         "movie_id",
-        n.alias("ratings"),
-        mean.alias("rating_mean"),
-        (F.col("r2sum") / n - mean * mean).alias("rating_var"),
+        "ratings",
+        "rsum / ratings AS rating_mean",
+        "r2sum / ratings - (rsum / ratings) * (rsum / ratings) AS rating_var",
         "first_rating",
         "last_rating",
-        *[F.col(f"viewdate{i}").cast("int").alias(f"viewdate{i}") for i in range(DECILES)],
-        *[((prefix[i + 1] - prefix[i]) / n * DECILES).alias(f"ratingdate{i}") for i in range(DECILES)],
+        *[f"CAST(viewdate{i} AS INT) AS viewdate{i}" for i in range(DECILES)],
+        *[f"({prefix[i + 1]} - {prefix[i]}) / ratings * {DECILES} AS ratingdate{i}" for i in range(DECILES)],
     )
 
 
