@@ -224,6 +224,12 @@ class RatingsBinary(DataSource):
 
 
 def register(spark) -> None:
+    """Register the source; its classes travel to executors by value (no package install there)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(RatingsBinary)
     # let the source see filters (positions prune byte ranges; field filters mask in the task)
     if spark.conf.get("spark.sql.python.filterPushdown.enabled", "false") != "true":
