@@ -7,7 +7,7 @@ best-model keeping is "remember the best path". The training rows are written
 once, bucketed by ``user_id``, so the per-epoch join on users shuffles only the
 (small) model side; the movie side is joined by Catalyst/AQE, broadcast only
 when its measured size is under the threshold. Each epoch costs one training
-job plus one RMSE action per holdout set.
+job plus one RMSE job for both holdout sets.
 """
 
 from __future__ import annotations
@@ -103,6 +103,19 @@ def holdout_rmse(rows: DataFrame, model: DataFrame, mu: float, use_bias: bool =
     return M.rmse_value(M.scored(rows, model, mu, use_bias, k))
 
 
+def holdout_rmses(sets: dict[str, DataFrame], model: DataFrame, mu: float, use_bias: bool = True,
+                  k: int | None = None) -> dict[str, float]:
+    """M14 for several holdout sets in one job: labelled union, one scoring join, one grouped RMSE."""
+    u = None
+    for name, rows in sets.items():
+        part = rows.select(F.lit(name).alias("_set"), "user_id", "movie_id", "rating")
+        u = part if u is None else u.unionByName(part)
+    s = M.scored(u, model, mu, use_bias, k)
+    got = {r["_set"]: r["rmse"] for r in s.groupBy("_set").agg(F.sqrt(F.avg(F.col("e") * F.col("e"))).alias(
+        "rmse")).collect()}
+    return {name: float(got[name]) if got.get(name) is not None else float("nan") for name in sets}
+
+
 def params_frame(spark: SparkSession, cfg: FitConfig, extra: dict[str, str] | None = None) -> DataFrame:
     """K5: ``run_params`` rows (run, key, value), written before training."""
     kv = {
@@ -162,26 +175,29 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     path = store.save(M.init_model(ratings, cfg.k, cfg.init_range), "epoch=0")
     model = store.load(path)
     lr = cfg.lr
-    last = holdout_rmse(valid, model, mu, use_bias, cfg.k)
+    holdouts = {"valid": valid, "probe": probe}
+    r0 = holdout_rmses(holdouts, model, mu, use_bias, cfg.k)
+    last, kept_probe = r0["valid"], r0["probe"]
     best_rmse, best_path = math.inf, None
     log = []
     for i in range(cfg.iterations):
         lr_used = lr
         new_path = store.save(M.epoch(train, model, mu, cfg.step_rule(lr), cfg.k), f"epoch={i + 1}")
         new_model = store.load(new_path)
-        new = holdout_rmse(valid, new_model, mu, use_bias, cfg.k)
+        rn = holdout_rmses(holdouts, new_model, mu, use_bias, cfg.k)   # one job: valid and probe
+        new = rn["valid"]
         if new > last or math.isnan(new):          # M8: roll back, slow down (F8: NaN test)
             accepted = False
-            lr *= cfg.dec                          # the kept model's RMSE is still `last`
+            lr *= cfg.dec                          # the kept model's RMSEs are still `last`, `kept_probe`
         else:
             accepted = True
             lr *= cfg.inc
             gain = last - new
-            last = new
+            last, kept_probe = new, rn["probe"]
             model, path = new_model, new_path
             if gain < cfg.threshold:               # the stopping step is not logged
                 break
-        p = holdout_rmse(probe, model, mu, use_bias, cfg.k)
+        p = kept_probe
         log.append((cfg.run, i + 1, lr_used, last, p, accepted))
         if p < best_rmse:                          # M11 / G13: strict <, earliest best kept
             best_rmse, best_path = p, path
