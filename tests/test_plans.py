@@ -62,3 +62,37 @@ def test_no_forced_broadcast_of_growing_tables():
             if "F.broadcast(" in line:
                 hits.append((p.name, line.strip()))
     assert hits and all(name == "positional.py" and "offsets" in line for name, line in hits), hits
+
+
+def test_bucketed_train_is_not_shuffled_for_the_user_join(spark):
+    """With broadcasting off (as at scale), the bucketed train scan feeds the user join without an Exchange."""
+    from reelstat.plans import fit
+
+    r = ratings(spark, SF_SMALL)
+    store = fit._Store(spark, "plan-check")
+    train = fit.materialize_rows(spark, r.where("category in (1,2,3,6)"), store, "train", 4)
+    model = M.init_model(r, 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(M.scored(train, model, 3.0, True, 4))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "reelstat_train_" in line)
+    # walk up from the train scan to the first join: no Exchange in between
+    above = []
+    indent = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
+    for line in reversed(lines[:scan]):
+        ind = len(line) - len(line.lstrip(" :+-"))
+        if ind < indent:
+            node = re.sub(r"^\*\(\d+\) ", "", line.strip(" :+-"))   # drop the codegen stage prefix
+            above.append(node)
+            indent = ind
+            if node.startswith("SortMergeJoin"):
+                break
+    assert above and above[-1].startswith("SortMergeJoin"), above
+    assert not any(x.startswith("Exchange") for x in above), above
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
