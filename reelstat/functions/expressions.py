@@ -43,17 +43,6 @@ def clamp(x: str | Column, lo: float = 1.0, hi: float = 5.0) -> Column:
     return F.least(F.lit(hi), F.greatest(F.lit(lo), col(x)))
 
 
-def axpy(a: Column | float, x: str | Column, y: str | Column) -> Column:
-    """Element-wise a·x + y over two arrays."""
-    a = a if isinstance(a, Column) else F.lit(a)
-    return F.zip_with(col(x), col(y), lambda u, v: a * u + v)
-
-
-def scale(a: Column | float, x: str | Column) -> Column:
-    a = a if isinstance(a, Column) else F.lit(a)
-    return F.transform(col(x), lambda u: a * u)
-
-
 def init_vector(id_col: str | Column, k: int, init_range: float = 0.05) -> Column:
     """Repeatable factor init (M1): init_range · ((id·31 + j·17) mod 1000) / 1000, j = 0..k-1.
 

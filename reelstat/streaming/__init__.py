@@ -1 +1 @@
-"""streaming."""
+"""Holdout routing on a `readStream` rating source."""
