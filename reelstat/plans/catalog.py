@@ -431,9 +431,8 @@ def q_score_clamped(spark, sf_dir):
     _one_epoch(spark, sf_dir).write.parquet(f"{base}/factors")
     model = spark.read.parquet(f"{base}/factors")
     test = _numbered(spark, sf_dir).where(F.col("category") == 5)
-    s = M.scored(test, model, mu, use_bias=True, k=K)
-    s = s.withColumn("prediction", M.predicted_rating(s, mu, (1.0, 5.0)))
-    return TX.prediction_lines(s)
+    from .scoring import prediction_text
+    return prediction_text(test, model, mu, K)
 
 
 # ---- bias fitter (sparse re-aim) --------------------------------------------------

@@ -42,3 +42,25 @@ def test_prediction_file_in_input_order(spark, tmpdir_fresh):
     for f in sorted(glob.glob(f"{out}/part-*")):
         lines += open(f).read().splitlines()
     assert lines == ["1.25000", "5.00000", "4.00000"]
+
+
+def test_score_file_job(spark, tmpdir_fresh):
+    from reelstat.operators import model as M
+    from reelstat.plans.scoring import score_file, true_rating_file
+
+    r = ratings(spark, SF_SMALL)
+    model_path = f"{tmpdir_fresh}/model"
+    M.init_model(r, 3).write.parquet(model_path)
+    ids = r.select("user_id", "movie_id").limit(2).collect()
+    rows = spark.createDataFrame([(i, x.user_id, x.movie_id, 3) for i, x in enumerate(ids)],
+                                 "row_no long, user_id long, movie_id int, rating int")
+    score_file(spark, model_path, rows, 3.0, f"{tmpdir_fresh}/pred", k=3)
+    lines = []
+    for f in sorted(glob.glob(f"{tmpdir_fresh}/pred/part-*")):
+        lines += open(f).read().splitlines()
+    assert len(lines) == 2 and all(1.0 <= float(x) <= 5.0 and len(x.split(".")[1]) == 5 for x in lines)
+    true_rating_file(rows, f"{tmpdir_fresh}/true")
+    got = []
+    for f in sorted(glob.glob(f"{tmpdir_fresh}/true/part-*")):
+        got += open(f).read().splitlines()
+    assert got == ["3.00000", "3.00000"]
