@@ -66,14 +66,23 @@ def const_vector(value: float, k: int) -> Column:
 DRAW_MOD = 2147483647
 
 
+DRAW_MULTS = (1103515245, 12345, 2654435761 % DRAW_MOD, 40503, 69069)
+
+
+def draw_key_sql(*parts: str) -> str:
+    """``draw_key`` as SQL expression text over column names / literals (one JVM call to build)."""
+    acc = " + ".join(f"CAST({p} AS BIGINT) * {m}" for p, m in zip(parts, DRAW_MULTS))
+    x = f"pmod({acc}, {DRAW_MOD})"
+    return f"pmod({x} * {x} + {x}, {DRAW_MOD})"
+
+
 def draw_key(*parts: Column) -> Column:
     """Pseudo-random non-negative key from integer columns (F9/F10 re-aimed).
 
     x = (Σ partᵢ·cᵢ) mod M, then (x² + x) mod M — plain BIGINT arithmetic.
     """
-    mults = (1103515245, 12345, 2654435761 % DRAW_MOD, 40503, 69069)
     acc = F.lit(0).cast("long")
-    for p, m in zip(parts, mults):
+    for p, m in zip(parts, DRAW_MULTS):
         acc = acc + p.cast("long") * F.lit(m).cast("long")
     x = F.pmod(acc, F.lit(DRAW_MOD).cast("long"))
     return F.pmod(x * x + x, F.lit(DRAW_MOD).cast("long"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import draw_key
+from ..functions.expressions import draw_key_sql
 
 
 def _draws(ratings: DataFrame, step: int, batch: int) -> DataFrame:
@@ -38,14 +38,15 @@ def _draws(ratings: DataFrame, step: int, batch: int) -> DataFrame:
         F.struct(F.lit("movie").alias("side"), F.col("movie_id").cast("long").alias("id"),
                  F.col("user_id").cast("long").alias("partner"), "date", "rating"),
     )))
-    aggs = []
-    for d in range(1, batch + 1):
-        h = draw_key(F.col("id"), F.col("partner"), F.col("date"), F.col("rating"), F.lit(step * 16 + d))
-        aggs.append(F.min_by(F.struct("partner", "rating"), F.struct(h, "partner", "date", "rating")).alias(f"d{d}"))
+    aggs = [
+        F.expr(f"min_by(named_struct('partner', partner, 'rating', rating), named_struct('h', "
+               f"{draw_key_sql('id', 'partner', 'date', 'rating', str(step * 16 + d))}, "
+               f"'partner', partner, 'date', date, 'rating', rating)) AS d{d}")
+        for d in range(1, batch + 1)
+    ]
     picked = two.groupBy("side", "id").agg(*aggs)
-    return picked.select("side", "id", F.inline(F.array(*[
-        F.struct(F.col(f"d{d}.partner").alias("partner"), F.col(f"d{d}.rating").alias("rating"))
-        for d in range(1, batch + 1)])))
+    return picked.selectExpr("side", "id", "inline(array(" + ", ".join(
+        f"named_struct('partner', d{d}.partner, 'rating', d{d}.rating)" for d in range(1, batch + 1)) + "))")
 
 
 def init_biases(ratings: DataFrame, value: float = 0.1) -> tuple[DataFrame, DataFrame]:
