@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 
 FAST = ["movie_summary", "movie_summary_sparse", "split_route", "split_report", "positional_zip", "split_dump",
         "center_ratings", "merge_duplicates", "run_groups", "epoch_bias_model", "epoch_full_batch",
-        "rmse_probe", "gradient_user", "bias_minibatch_step", "score_clamped", "text_roundtrip"]
+        "rmse_probe", "gradient_user", "bias_minibatch_step", "score_clamped", "text_roundtrip", "first_biases"]
 
 
 def _norm(v):
