@@ -29,18 +29,19 @@ def read_rating_text(spark: SparkSession, path: str) -> DataFrame:
     stop = ln.where(F.length("value") < 1).select(F.min("row_no")).scalar()
     kept = ln.where(stop.isNull() | (F.col("row_no") < stop))
     f = F.split(F.regexp_replace(F.col("value"), r"^[ \t]+|[ \t\r]+$", ""), WS)
+    # try_cast: a malformed field is NULL instead of failing a whole scan (ANSI casts raise)
     return kept.select(
         "row_no",
-        f.getItem(0).cast("long").alias("user_id"),
-        f.getItem(1).cast("int").alias("movie_id"),
-        f.getItem(2).cast("int").alias("date"),
-        f.getItem(3).cast("int").alias("rating"),
+        f.getItem(0).try_cast("long").alias("user_id"),
+        f.getItem(1).try_cast("int").alias("movie_id"),
+        f.getItem(2).try_cast("int").alias("date"),
+        f.getItem(3).try_cast("int").alias("rating"),
     )
 
 
 def read_index_text(spark: SparkSession, path: str) -> DataFrame:
     """A2: one category per line ``(row_no, category)``."""
-    return lines(spark, path).select("row_no", F.trim(F.col("value")).cast("int").alias("category"))
+    return lines(spark, path).select("row_no", F.trim(F.col("value")).try_cast("int").alias("category"))
 
 
 def read_split_input(spark: SparkSession, data_path: str, index_path: str) -> DataFrame:

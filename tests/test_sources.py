@@ -102,3 +102,11 @@ def test_binary_pushdown_positions_and_category(spark, tmpdir_fresh):
     assert [(r.row_no, r.category) for r in mid.collect()] == [(react, 5) for react in range(400, 403) if react % 6 + 1 == 5]
     cats = df.where("category in (2, 4)")
     assert cats.count() == sum(1 for r in recs if r[4] in (2, 4))
+
+
+def test_malformed_line_is_null_not_failure(spark, tmpdir_fresh):
+    p = f"{tmpdir_fresh}/bad.txt"
+    with open(p, "w") as f:
+        f.write("1 2 3 4\nx 2 3 4\n5 6 7 8\n")
+    got = [(r.user_id, r.rating) for r in text.read_rating_text(spark, p).orderBy("row_no").collect()]
+    assert got == [(1, 4), (None, 4), (5, 8)]
