@@ -17,3 +17,16 @@ def test_stream_routing_equals_batch(spark, tmpdir_fresh):
     out = spark.read.parquet(f"{tmpdir_fresh}/out")
     got = {x.split: x["count"] for x in out.groupBy("split").count().collect()}
     assert got == {"train": 5251 + 181 + 188 + 53, "probe": 134, "test": 193}
+
+
+def test_stream_category_counts(spark, tmpdir_fresh):
+    src = f"{tmpdir_fresh}/in2"
+    r = ratings(spark, SF_SMALL)
+    r.write.parquet(src)
+    name = f"counts_{tmpdir_fresh.split('-')[-1]}"
+    q = (routing.category_counts(routing.rating_stream(spark, src)).writeStream.format("memory").queryName(name)
+         .outputMode("complete").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {x.category: x.entries for x in spark.table(name).collect()}
+    want = {x.category: x["count"] for x in r.groupBy("category").count().collect()}
+    assert got == want
