@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile, splits
 from ..schema import SPLITS
+from ..session import scratch_path
 from ..sources import binary, text
 from . import fit, scoring
 
@@ -42,9 +44,14 @@ def split_job(spark: SparkSession, pairs: Sequence[tuple[str, str]], out: str, r
     if fmt == "parquet":
         routed.write.mode("overwrite").partitionBy("pair", "split").parquet(out)
     else:
+        # route once into a table partitioned by (pair, split) in the checkpoint folder; each
+        # record file then reads only its own partition instead of re-scanning the text
+        staged = scratch_path(spark, "reelstat-tables", f"routed-{uuid.uuid4().hex}")
+        routed.write.partitionBy("pair", "split").parquet(staged)
+        table = spark.read.parquet(staged)
         for n in range(len(pairs)):
             for s in SPLITS:
-                rows = routed.where((F.col("pair") == n) & (F.col("split") == s)).orderBy("row_no")
+                rows = table.where((F.col("pair") == n) & (F.col("split") == s)).orderBy("row_no")
                 binary.write_ratings_bin(rows, f"{out}/{n}.{s}")
     rep = splits.split_report({str(d): part for (d, _), part in zip(pairs, parts)})
     splits.write_report(rep, report)
