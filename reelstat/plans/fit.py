@@ -74,6 +74,13 @@ class _Store:
     def __init__(self, spark: SparkSession, run: str):
         self.spark = spark
         self.base = scratch_path(spark, "reelstat-runs", f"{run}-{uuid.uuid4().hex[:8]}")
+        self.tables: list[str] = []
+
+    def close(self) -> None:
+        """Unregister the catalog tables of this run (external: their files stay in the run folder)."""
+        for t in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
+        self.tables.clear()
 
     def save(self, model: DataFrame, name: str) -> str:
         path = f"{self.base}/{name}"
@@ -95,6 +102,7 @@ def materialize_rows(spark: SparkSession, rows: DataFrame, store: _Store, name:
         .option("path", f"{store.base}/{name}")
         .saveAsTable(table)
     )
+    store.tables.append(table)
     return spark.table(table)
 
 
@@ -220,6 +228,7 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     }
     params = params.unionByName(spark.createDataFrame([(cfg.run, k, v) for k, v in extra.items()], S.RUN_PARAMS))
     params.write.mode("overwrite").parquet(f"{store.base}/run_params")
+    store.close()
     return FitResult(run_log, params, final, best_path, None if best_path is None else best_rmse, mu, log)
 
 
@@ -249,6 +258,7 @@ def fit_threshold(spark: SparkSession, ratings: DataFrame, k: int = 10, lr: floa
             break
         old = new
     frame = spark.createDataFrame(log, "run string, iteration int, rmse_before double, rmse_after double")
+    store.close()
     return frame, path
 
 
