@@ -93,17 +93,31 @@ class _Store:
 
 def materialize_rows(spark: SparkSession, rows: DataFrame, store: _Store, name: str, buckets: int) -> DataFrame:
     """Write training rows once, bucketed and sorted by user_id (co-located user joins every epoch)."""
+    return materialize_sets(spark, rows, store, name, buckets, {name: F.lit(True)})[name]
+
+
+def materialize_sets(spark: SparkSession, rows: DataFrame, store: _Store, name: str, buckets: int,
+                     sets: dict[str, "F.Column"]) -> dict[str, DataFrame]:
+    """Several row sets in one pass: one table partitioned by set and bucketed by user_id.
+
+    A row belonging to several sets (validation rows are also trained on) is
+    written once per set. Each returned frame prunes to its partition and keeps
+    the bucketing, so its user join needs no shuffle of the rows.
+    """
     table = f"reelstat_{name}_{uuid.uuid4().hex[:8]}"
+    labels = F.filter(F.array(*[F.when(cond, F.lit(label)) for label, cond in sets.items()]), lambda x: x.isNotNull())
     (
-        rows.select("user_id", "movie_id", "rating")
+        rows.select(F.explode(labels).alias("set"), "user_id", "movie_id", "rating")
         .write.mode("overwrite")
+        .partitionBy("set")
         .bucketBy(buckets, "user_id")
         .sortBy("user_id")
         .option("path", f"{store.base}/{name}")
         .saveAsTable(table)
     )
     store.tables.append(table)
-    return spark.table(table)
+    t = spark.table(table)
+    return {label: t.where(F.col("set") == label).drop("set") for label in sets}
 
 
 def holdout_rmse(rows: DataFrame, model: DataFrame, mu: float, use_bias: bool = True, k: int | None = None) -> float:
@@ -171,9 +185,10 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     store = _Store(spark, cfg.run)
     buckets = cfg.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     train_cats = [c for c in S.TRAIN_CATEGORIES if cfg.include_valid or c != S.VALID_CATEGORY]
-    train = materialize_rows(spark, ratings.where(F.col("category").isin(*train_cats)), store, "train", buckets)
-    valid = materialize_rows(spark, ratings.where(F.col("category") == S.VALID_CATEGORY), store, "valid", buckets)
-    probe = materialize_rows(spark, ratings.where(F.col("category") == S.PROBE_CATEGORY), store, "probe", buckets)
+    cat = F.col("category")
+    sets = materialize_sets(spark, ratings, store, "rows", buckets, {
+        "train": cat.isin(*train_cats), "valid": cat == S.VALID_CATEGORY, "probe": cat == S.PROBE_CATEGORY})
+    train, valid, probe = sets["train"], sets["valid"], sets["probe"]
     mu = cfg.mu if cfg.mu is not None else float(train.agg(F.avg("rating")).first()[0])
     use_bias = cfg.step_rule(cfg.lr).use_bias
 
