@@ -66,3 +66,29 @@ def materialize(df, name: str):
     path = scratch_path(spark, "reelstat-tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+# Folders this library creates under the checkpoint folder (scratch: safe to remove between jobs).
+SCRATCH_FOLDERS = ("reelstat-tables", "reelstat-scratch", "reelstat-runs", "reelstat-streams")
+
+
+def clear_scratch(spark, root: str | None = None, keep_runs: bool = True) -> list[str]:
+    """Remove this library's scratch folders under the checkpoint folder (or ``root``).
+
+    Fit runs (``reelstat-runs``: saved models, logs) are kept unless
+    ``keep_runs`` is False. Call it between jobs, never while a job still
+    reads a written table. Returns the folders removed.
+    """
+    from pyarrow import fs as pafs
+
+    base = (root or checkpoint_dir(spark)).rstrip("/")
+    filesystem, path = (pafs.FileSystem.from_uri(base) if "://" in base else (pafs.LocalFileSystem(), base))
+    removed = []
+    for name in SCRATCH_FOLDERS:
+        if keep_runs and name == "reelstat-runs":
+            continue
+        target = f"{path}/{name}"
+        if filesystem.get_file_info(target).type == pafs.FileType.Directory:
+            filesystem.delete_dir(target)
+            removed.append(target)
+    return removed

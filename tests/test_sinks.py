@@ -64,3 +64,15 @@ def test_score_file_job(spark, tmpdir_fresh):
     for f in sorted(glob.glob(f"{tmpdir_fresh}/true/part-*")):
         got += open(f).read().splitlines()
     assert got == ["3.00000", "3.00000"]
+
+
+def test_clear_scratch_only_touches_own_folders(spark, tmpdir_fresh):
+    import os
+
+    from reelstat.session import clear_scratch
+
+    for name in ("reelstat-tables", "reelstat-runs", "other-job"):
+        os.makedirs(f"{tmpdir_fresh}/{name}/x")
+    removed = clear_scratch(spark, root=tmpdir_fresh)
+    assert removed == [f"{tmpdir_fresh}/reelstat-tables"]
+    assert sorted(os.listdir(tmpdir_fresh)) == ["other-job", "reelstat-runs"]
