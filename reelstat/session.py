@@ -32,9 +32,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and model tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir). Only a local-mode session without one gets a fresh scratch folder;
-    a cluster must name a shared folder itself.
+    ``spark.checkpoint.dir`` of the session (Spark names its context's checkpoint
+    folder from it), else the folder set on the context. Only a local-mode
+    session with neither gets a fresh scratch folder, set on the context alone:
+    the setting itself cannot change in a running session.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -42,7 +43,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         path = tempfile.mkdtemp(prefix="reelstat-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path.rstrip("/")

@@ -17,7 +17,7 @@ def spark():
     s = local_session(cores=4, shuffle_partitions=4, app="reelstat-tests")
     # tests name their own checkpoint folder only when the session has none
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="reelstat-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reelstat-test-ckpt-"))
     yield s
 
 
