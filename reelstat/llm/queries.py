@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import sentencepiece_codec
+from reelstat.llm import langid, quality_zstd, sentencepiece_codec
 from reelstat.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -30,8 +30,28 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, compression ratios and the verdict of every document."""
+    return quality_zstd.score_quality(table(spark, sf_dir, "documents"))
+
+
+def held_out(modulus: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; learned from rows whose id hash does not mark them as held out."""
+    docs = table(spark, sf_dir, "documents")
+    models = langid.learn(docs.where(~held_out(5, 0)))
+    return langid.predict(docs, models).select(
+        "doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score", "bits", "rejected"
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op5_quality": op5_quality,
+    "op9_langid": op9_langid,
 }
 
 ORACLES: dict[str, str] = {}
