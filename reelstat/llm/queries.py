@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import langid, quality_zstd, sentencepiece_codec
+from reelstat.llm import langid, license_scan, quality_zstd, sentencepiece_codec
 from reelstat.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -30,6 +30,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, template labels and scores of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, compression ratios and the verdict of every document."""
     return quality_zstd.score_quality(table(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
     "op9_langid": op9_langid,
 }
