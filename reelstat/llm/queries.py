@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import langid, license_scan, quality_zstd, sentencepiece_codec
+from reelstat.llm import html_extract, langid, license_scan, quality_zstd, sentencepiece_codec, warc
 from reelstat.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -40,6 +40,13 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_zstd.score_quality(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back, in the order of the capture histories."""
+    return warc.capture_histories(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "timestamp", "shard", "position"
+    )
+
+
 def held_out(modulus: int, remainder: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
 
@@ -53,11 +60,18 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
+    "op8_warc": op8_warc,
     "op9_langid": op9_langid,
+    "op10_html": op10_html,
 }
 
 ORACLES: dict[str, str] = {}
