@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import html_extract, langid, license_scan, quality_zstd, sentencepiece_codec, warc
+from reelstat.llm import bag_minhash, html_extract, langid, license_scan, quality_zstd, sentencepiece_codec, warc
 from reelstat.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -40,6 +40,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_zstd.score_quality(table(spark, sf_dir, "documents"))
 
 
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back, in the order of the capture histories."""
     return warc.capture_histories(table(spark, sf_dir, "pages")).select(
@@ -69,6 +74,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
+    "op6_near_dups": op6_near_dups,
     "op8_warc": op8_warc,
     "op9_langid": op9_langid,
     "op10_html": op10_html,
