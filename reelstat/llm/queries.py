@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import bag_minhash, html_extract, langid, license_scan, line_dedup, quality_zstd, sentencepiece_codec, warc
+from reelstat.llm import bag_minhash, decontaminate, html_extract, langid, license_scan, line_dedup, quality_zstd, sentencepiece_codec, warc
 from reelstat.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -50,6 +50,11 @@ def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, with the most similar window."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back, in the order of the capture histories."""
     return warc.capture_histories(table(spark, sf_dir, "pages")).select(
@@ -81,6 +86,7 @@ QUERIES = {
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
     "op6_near_dups": op6_near_dups,
+    "op7_decontaminate": op7_decontaminate,
     "op8_warc": op8_warc,
     "op9_langid": op9_langid,
     "op10_html": op10_html,
