@@ -153,3 +153,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return signed.select("doc_id", "digest").join(placed, "digest").select(
         "doc_id", "class_id", F.col("links").cast("long").alias("links"), (F.col("doc_id") == F.col("class_id")).alias("kept")
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each near-duplicate class, with all their columns.
+
+    The least id of a class stays; of rows that repeat its id one stays.
+    """
+    classes = written(near_duplicates(docs, id_col, text_col).select("doc_id", "kept"), "near-classes")
+    gone = written(classes.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
+    again = written(classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")), "repeated-ids")
+    left = docs.join(small(gone), docs[id_col] == F.col("gone"), "left_anti")
+    if again.isEmpty():
+        return left
+    repeated = left.join(small(again), left[id_col] == F.col("again"), "left_semi").dropDuplicates([id_col])
+    return left.join(small(again), left[id_col] == F.col("again"), "left_anti").unionByName(repeated)

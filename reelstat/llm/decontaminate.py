@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import docs_of, written
+from reelstat.llm.linking import small
 from reelstat.llm.shingles import WORDS, mix, shingles, word_numbers
 
 SIMILARITY = 0.8
@@ -245,3 +246,9 @@ def contaminated(
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "m.similarity", (-F.col("m.first")).alias("first_word"), "m.n_words"
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item is found, with all their columns."""
+    found = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("found")).distinct()
+    return docs.join(small(written(found, "contaminated")), docs[id_col] == F.col("found"), "left_anti")

@@ -292,3 +292,16 @@ def predict(docs: DataFrame, models: Models | None, id_col: str = "doc_id", text
             )
 
     return source.mapInArrow(judge, "doc_id long, lang_pred string, score double, bits double, rejected boolean")
+
+
+def drop_rejected(docs: DataFrame, models: Models | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, with all their columns. Without models every row is rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array) -> pa.Array:
+        if shared.value is None:
+            return pa.array([False] * len(texts), pa.bool_())
+        return pa.array(~shared.value.judge([characters(t.as_py() or "") for t in texts])[3], pa.bool_())
+
+    return docs.where(accepted(F.col(text_col)))
