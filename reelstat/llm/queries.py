@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstat.llm import bag_minhash, decontaminate, html_extract, langid, license_scan, line_dedup, quality_zstd, sentencepiece_codec, warc
+from reelstat.llm import bag_minhash, decontaminate, html_extract, katz_lm, langid, license_scan, line_dedup, quality_zstd, sentencepiece_codec, warc
 from reelstat.llm.common import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -35,6 +35,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every document; learned from those that are not held out."""
+    return katz_lm.score(table(spark, sf_dir, "documents"), held_out(7, 2))
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases, template labels and scores of every document."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -83,6 +88,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
+    "op3_katz": op3_katz,
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
     "op6_near_dups": op6_near_dups,
