@@ -66,7 +66,7 @@ def const_vector(value: float, k: int) -> Column:
 DRAW_MOD = 2147483647
 
 
-DRAW_MULTS = (1103515245, 12345, 2654435761 % DRAW_MOD, 40503, 69069)
+DRAW_MULTS = (1103515245, 12345, 2654435761 % DRAW_MOD, 40503, 69069, 69621)
 
 
 def draw_key_sql(*parts: str) -> str:
@@ -76,28 +76,6 @@ def draw_key_sql(*parts: str) -> str:
     return f"pmod({x} * {x} + {x}, {DRAW_MOD})"
 
 
-def draw_key(*parts: Column) -> Column:
-    """Pseudo-random non-negative key from integer columns (F9/F10 re-aimed).
-
-    x = (Σ partᵢ·cᵢ) mod M, then (x² + x) mod M — plain BIGINT arithmetic.
-    """
-    acc = F.lit(0).cast("long")
-    for p, m in zip(parts, DRAW_MULTS):
-        acc = acc + p.cast("long") * F.lit(m).cast("long")
-    x = F.pmod(acc, F.lit(DRAW_MOD).cast("long"))
-    return F.pmod(x * x + x, F.lit(DRAW_MOD).cast("long"))
-
-
-def fixed(x: str | Column, digits: int) -> Column:
-    """printf-style fixed-point text, e.g. ``%.5f``."""
-    return F.format_string(f"%.{digits}f", col(x))
-
-
 def basis_points(x: str | Column) -> Column:
     """floor(x·10000) as an integer."""
     return F.floor(col(x) * 10000).cast("long")
-
-
-def u8(x: str | Column) -> Column:
-    """Narrowing cast u16 → u8."""
-    return F.pmod(col(x), F.lit(256)).cast("int")

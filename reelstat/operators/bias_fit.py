@@ -11,10 +11,12 @@ Rule per step (η learning rate, λ regularisation, B draws per entity):
 
 The reference draws partners uniformly from a dense matrix (every cell rated)
 and builds that matrix with a cross product; here the cells are the ratings
-and no pair of entities is ever enumerated. Draw d of entity x is the rating
-with the smallest integer hash key (x, partner, date, rating, step, d): an
-independent, repeatable uniform pick from x's ratings, found by ``min_by`` —
-a partially aggregated ``groupBy`` that collapses a hot entity map-side.
+and no pair of entities is ever enumerated. Draw d of entity x in a step is the rating
+with the smallest integer key (hash of x, partner, date, rating, step and d; then partner, then rating): an
+independent, repeatable uniform pick from x's ratings. The key is one long that
+carries partner and rating, so a plain ``min`` finds the pick, with hash aggregates that
+collapse a hot entity map-side. Draws do not depend on the biases: those of several steps
+come from one pass over the ratings. A cell rated twice with equal date and rating counts once in draws.
 """
 
 from __future__ import annotations
@@ -24,29 +26,33 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import draw_key_sql
 
+PARTNERS, RATINGS = 1 << 32, 1 << 8  # bounds of what a draw's key carries: the ranges of the record file
 
-def _draws(ratings: DataFrame, step: int, batch: int) -> DataFrame:
-    """(side, id, partner, rating): ``batch`` draws with replacement from each user's and movie's ratings.
+
+def _pick_sql(step: int, d: int) -> str:
+    h = draw_key_sql("id", "partner", "date", "rating", str(step), str(d))
+    return f"min(({h} div 256) * {PARTNERS * RATINGS} + partner * {RATINGS} + rating)"
+
+
+def draws(ratings: DataFrame, steps: list[int], batch: int) -> DataFrame:
+    """(step, side, id, partner, rating): ``batch`` draws with replacement per step from each user's and movie's ratings.
 
     Every rating is emitted once per side (``inline``), then one partially
-    aggregated ``groupBy(side, id)`` picks, per draw d, the rating with the
-    smallest key (id, partner, date, rating, step, d).
+    aggregated ``groupBy(side, id)`` picks all draws of all ``steps``.
     """
     two = ratings.select(F.inline(F.array(
         F.struct(F.lit("user").alias("side"), F.col("user_id").cast("long").alias("id"),
-                 F.col("movie_id").cast("long").alias("partner"), "date", "rating"),
+                 F.col("movie_id").cast("long").alias("partner"), F.col("date"), F.col("rating").cast("long").alias("rating")),
         F.struct(F.lit("movie").alias("side"), F.col("movie_id").cast("long").alias("id"),
-                 F.col("user_id").cast("long").alias("partner"), "date", "rating"),
+                 F.col("user_id").cast("long").alias("partner"), F.col("date"), F.col("rating").cast("long").alias("rating")),
     )))
-    aggs = [
-        F.expr(f"min_by(named_struct('partner', partner, 'rating', rating), named_struct('h', "
-               f"{draw_key_sql('id', 'partner', 'date', 'rating', str(step * 16 + d))}, "
-               f"'partner', partner, 'date', date, 'rating', rating)) AS d{d}")
-        for d in range(1, batch + 1)
-    ]
-    picked = two.groupBy("side", "id").agg(*aggs)
-    return picked.selectExpr("side", "id", "inline(array(" + ", ".join(
-        f"named_struct('partner', d{d}.partner, 'rating', d{d}.rating)" for d in range(1, batch + 1)) + "))")
+    names = [(s, d, f"s{s}_{d}") for s in steps for d in range(1, batch + 1)]
+    picked = two.groupBy("side", "id").agg(*[F.expr(f"{_pick_sql(s, d)} AS {n}") for s, d, n in names])
+    flat = F.expr("inline(array(" + ", ".join(f"named_struct('step', {s}, 'key', {n})" for s, _, n in names) + "))")
+    return picked.select("side", "id", flat).select(
+        "step", "side", "id",
+        F.expr(f"(key div {RATINGS}) % {PARTNERS}").alias("partner"),
+        F.expr(f"key % {RATINGS}").cast("int").alias("rating"))
 
 
 def init_biases(ratings: DataFrame, value: float = 0.1) -> tuple[DataFrame, DataFrame]:
@@ -71,21 +77,18 @@ def _update(b: Column, total: Column, batch: int, lr: float, reg: float) -> Colu
     return F.when(total.isNull(), b).otherwise(b - F.lit(lr) * (F.lit(reg) * 2 * b - 2 * sm))
 
 
-def step(ratings: DataFrame, bu: DataFrame, bm: DataFrame, mu, step_no: int, batch: int, lr: float,
-         reg: float) -> tuple[DataFrame, DataFrame]:
-    """One user pass then one movie pass; returns the new (bu, bm).
+def step(drawn: DataFrame, bu: DataFrame, bm: DataFrame, mu, batch: int, lr: float, reg: float) -> tuple[DataFrame, DataFrame]:
+    """One user pass then one movie pass over one step's draws; returns the new (bu, bm).
 
-    Draws for both sides come from one aggregation; each side then joins only
-    its partners' biases (a table with one row per entity), sums per entity
-    (already grouped by it), and updates with a left join on its own biases.
+    Each side joins only its partners' biases (a table with one row per entity), sums its ``batch`` draws per
+    entity, and updates with a left join on its own biases: nothing here is as large as the ratings.
     """
     mu = mu if isinstance(mu, Column) else F.lit(float(mu))
-    draws = _draws(ratings, step_no, batch)
-    ud = draws.where(F.col("side") == "user").select(F.col("id").alias("user_id"), F.col("partner").cast("int").alias(
+    ud = drawn.where(F.col("side") == "user").select(F.col("id").alias("user_id"), F.col("partner").cast("int").alias(
         "movie_id"), "rating").join(bm, "movie_id")
     us = ud.groupBy("user_id").agg(F.sum(F.col("rating") - mu - F.col("bm")).alias("t"))
     bu_new = bu.join(us, "user_id", "left").select("user_id", _update(F.col("bu"), F.col("t"), batch, lr, reg).alias("bu"))
-    md = draws.where(F.col("side") == "movie").select(F.col("id").cast("int").alias("movie_id"),
+    md = drawn.where(F.col("side") == "movie").select(F.col("id").cast("int").alias("movie_id"),
                                                       F.col("partner").alias("user_id"), "rating").join(bu_new, "user_id")
     ms = md.groupBy("movie_id").agg(F.sum(F.col("rating") - mu - F.col("bu")).alias("t"))
     bm_new = bm.join(ms, "movie_id", "left").select("movie_id", _update(F.col("bm"), F.col("t"), batch, lr, reg).alias("bm"))

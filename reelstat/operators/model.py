@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import INIT_RANGE
 from ..functions.expressions import clamp, const_vector, dot, init_vector, sum_squares
 
 USER, MOVIE = "user", "movie"
@@ -96,6 +97,36 @@ def scored(ratings: DataFrame, model: DataFrame, mu: float | Column = 0.0, use_b
     return s.withColumn("pred", pred).withColumn("e", (F.col("rating") - mu) - F.col("pred"))
 
 
+def width(model: DataFrame) -> int:
+    """K, read from the model itself."""
+    row = model.select(F.size("f").alias("k")).first()
+    if row is None:
+        raise ValueError("the model has no rows")
+    return row["k"]
+
+
+def scored_all(ratings: DataFrame, model: DataFrame, mu: float | Column = 0.0, use_bias: bool = True, k: int | None = None,
+               init_range: float = INIT_RANGE) -> DataFrame:
+    """``scored`` for evaluation and scoring: every row of ``ratings`` stays.
+
+    An id that the model never saw has its initial factors (the rule that fits start from) and
+    zero bias. ``k`` is read from the model if it is not given.
+    """
+    mu = mu if isinstance(mu, Column) else F.lit(float(mu))
+    k = width(model) if k is None else k
+    s = ratings.join(user_factors(model), "user_id", "left").join(movie_factors(model), "movie_id", "left")
+    s = s.withColumns({
+        "p": F.coalesce("p", init_vector("user_id", k, init_range)),
+        "q": F.coalesce("q", init_vector("movie_id", k, init_range)),
+        "bu": F.coalesce("bu", F.lit(0.0)),
+        "bm": F.coalesce("bm", F.lit(0.0)),
+    })
+    pred = dot("p", "q", k)
+    if use_bias:
+        pred = pred + F.col("bu") + F.col("bm")
+    return s.withColumn("pred", pred).withColumn("e", (F.col("rating") - mu) - F.col("pred"))
+
+
 def first_biases(model: DataFrame, n: int = 10) -> DataFrame:
     """S3: the biases of the first ``n`` ids per side (a top-n report: the limit is the feature)."""
     from pyspark.sql import Window
@@ -154,15 +185,17 @@ def factor_norm(model: DataFrame) -> DataFrame:
 
 
 def gram_norm(model: DataFrame, k: int) -> DataFrame:
-    """Σ_{i,j} (Σ_entities f_i·f_j)² per side — the K×K Gram matrix as K² sums."""
-    g = model.groupBy("side").agg(*[
-        F.sum(F.col("f")[i] * F.col("f")[j]).alias(f"g_{i}_{j}") for i in range(k) for j in range(k)])
-    total = None
-    for i in range(k):
-        for j in range(k):
-            term = F.col(f"g_{i}_{j}") * F.col(f"g_{i}_{j}")
-            total = term if total is None else total + term
-    return g.select("side", total.alias("gram_norm"))
+    """Σ_{i,j} (Σ_entities f_i·f_j)² per side.
+
+    The Gram matrix is symmetric, so each entity gives its K(K+1)/2 products as rows
+    (side, i, j), summed by a partial aggregate; the squares off the diagonal count twice.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
+    cells = model.select("side", "f", F.explode(pairs).alias("x")).select(
+        "side", "x.i", "x.j", (F.get("f", F.col("x.i")) * F.get("f", F.col("x.j"))).alias("v"))
+    sums = cells.groupBy("side", "i", "j").agg(F.sum("v").alias("g"))
+    twice = F.when(F.col("i") == F.col("j"), 1.0).otherwise(2.0)
+    return sums.groupBy("side").agg(F.sum(twice * F.col("g") * F.col("g")).alias("gram_norm"))
 
 
 # ---------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import profile
 from ..schema import PROBE_CATEGORY, TRAIN_CATEGORIES
+from ..session import materialize
 from ..sources.tables import ratings
 from . import oracle
 
@@ -213,8 +214,9 @@ def _init(spark, sf_dir):
 
 
 def _one_epoch(spark, sf_dir):
+    """A model after one step, written once: its readers join a small table, not the plan that made it."""
     tr = _train_rows(spark, sf_dir)
-    return M.epoch(tr, _init(spark, sf_dir), _mu(tr), M.rule_bias_model(LR, REG, REG, RATIO), K)
+    return materialize(M.epoch(tr, _init(spark, sf_dir), _mu(tr), M.rule_bias_model(LR, REG, REG, RATIO), K), "epoch")
 
 
 M4_SQL = step_ctes("m0", "m1", K, LR, REG, REG, RATIO, True, True, False)
@@ -437,38 +439,38 @@ def q_score_clamped(spark, sf_dir):
 
 # ---- bias fitter (sparse re-aim) --------------------------------------------------
 
-from ..functions.expressions import DRAW_MOD  # noqa: E402
+from ..functions.expressions import DRAW_MOD, DRAW_MULTS  # noqa: E402
 from ..operators import bias_fit as BF  # noqa: E402
 
 BIAS_LR, BIAS_REG, BIAS_BATCH = 0.1, 0.5, 3   # reference call: (0.01, 100, 3, 0.1, 0.5)
 
 
-def _draw_sql(key: str, partner: str, step_code: int) -> str:
-    x = (f"(CAST({key} AS BIGINT)*1103515245 + CAST({partner} AS BIGINT)*12345 + CAST(date AS BIGINT)*"
-         f"{2654435761 % DRAW_MOD} + CAST(rating AS BIGINT)*40503 + CAST({step_code} AS BIGINT)*69069) % {DRAW_MOD}")
-    return f"((({x}) * ({x}) + ({x})) % {DRAW_MOD})"
+def _draw_sql(key: str, partner: str, step_no: int, d: int) -> str:
+    """The packed key of draw ``d``: hash, partner and rating in one number."""
+    parts = zip((key, partner, "date", "rating", str(step_no), str(d)), DRAW_MULTS)
+    x = "(" + " + ".join(f"CAST({p} AS BIGINT)*{m}" for p, m in parts) + f") % {DRAW_MOD}"
+    h = f"((({x}) * ({x}) + ({x})) % {DRAW_MOD})"
+    return f"({h} // 256) * {BF.PARTNERS * BF.RATINGS} + CAST({partner} AS BIGINT) * {BF.RATINGS} + rating"
 
 
 def _bias_step_sql(step_no: int = 1) -> list[str]:
-    ud = " UNION ALL ".join(
-        f"SELECT user_id, arg_min(struct_pack(partner := movie_id, rating := rating), "
-        f"({_draw_sql('user_id', 'movie_id', step_no * 16 + d)}, movie_id, date, rating)) AS dr FROM bt GROUP BY user_id"
-        for d in range(1, BIAS_BATCH + 1))
-    md = " UNION ALL ".join(
-        f"SELECT movie_id, arg_min(struct_pack(partner := user_id, rating := rating), "
-        f"({_draw_sql('movie_id', 'user_id', step_no * 16 + d)}, user_id, date, rating)) AS dr FROM bt GROUP BY movie_id"
-        for d in range(1, BIAS_BATCH + 1))
+    def picked(key: str, partner: str) -> str:
+        keys = " UNION ALL ".join(
+            f"SELECT {key}, min({_draw_sql(key, partner, step_no, d)}) AS k FROM bt GROUP BY {key}" for d in range(1, BIAS_BATCH + 1))
+        return f"SELECT {key}, (k // {BF.RATINGS}) % {BF.PARTNERS} AS {partner}, k % {BF.RATINGS} AS rating FROM ({keys})"
+
+    ud, md = picked("user_id", "movie_id"), picked("movie_id", "user_id")
     return [
         f"bt AS (SELECT user_id, movie_id, date, rating FROM ratings WHERE {TRAIN_WHERE})",
         "bmu AS (SELECT avg(rating) AS mu FROM bt)",
         "bu0 AS (SELECT DISTINCT user_id, 0.1::DOUBLE AS bu FROM bt)",
         "bm0 AS (SELECT DISTINCT movie_id, 0.1::DOUBLE AS bm FROM bt)",
-        f"ud AS (SELECT user_id, dr.partner AS movie_id, dr.rating AS rating FROM ({ud}))",
+        f"ud AS ({ud})",
         "us AS (SELECT user_id, sum(rating - (SELECT mu FROM bmu) - bu - bm) AS s FROM ud JOIN bm0 USING (movie_id) "
         "JOIN bu0 USING (user_id) GROUP BY user_id)",
         f"bu1 AS (SELECT user_id, CASE WHEN s IS NULL THEN bu ELSE bu - {BIAS_LR!r}*({BIAS_REG!r}*2*bu - 2*s) END AS bu "
         "FROM bu0 LEFT JOIN us USING (user_id))",
-        f"md AS (SELECT movie_id, dr.partner AS user_id, dr.rating AS rating FROM ({md}))",
+        f"md AS ({md})",
         "ms AS (SELECT movie_id, sum(rating - (SELECT mu FROM bmu) - bu - bm) AS s FROM md JOIN bu1 USING (user_id) "
         "JOIN bm0 USING (movie_id) GROUP BY movie_id)",
         f"bm1 AS (SELECT movie_id, CASE WHEN s IS NULL THEN bm ELSE bm - {BIAS_LR!r}*({BIAS_REG!r}*2*bm - 2*s) END AS bm "
@@ -480,13 +482,17 @@ def _bias_rows(spark, sf_dir):
     return _train(spark, sf_dir).select("user_id", "movie_id", "date", "rating")
 
 
+def _bias_step(rows, bu, bm):
+    return BF.step(BF.draws(rows, [1], BIAS_BATCH), bu, bm, basic.global_mean(rows), BIAS_BATCH, BIAS_LR, BIAS_REG)
+
+
 @register("bias_objective", with_ratings(*_bias_step_sql()) + f"""SELECT round(sum((rating - (SELECT mu FROM bmu) - bu - bm)
   * (rating - (SELECT mu FROM bmu) - bu - bm)) + {BIAS_REG!r} * sum(bm*bm)
-  + (SELECT {BIAS_REG!r} * sum(bu*bu) FROM bu0), 4) AS objective
-FROM bt JOIN bu0 USING (user_id) JOIN bm0 USING (movie_id)""")
+  + (SELECT {BIAS_REG!r} * sum(bu*bu) FROM bu1), 4) AS objective
+FROM bt JOIN bu1 USING (user_id) JOIN bm1 USING (movie_id)""")
 def q_bias_objective(spark, sf_dir):
     rows = _bias_rows(spark, sf_dir)
-    bu, bm = BF.init_biases(rows)
+    bu, bm = _bias_step(rows, *BF.init_biases(rows))  # after one step: biases that differ
     return BF.objective(rows, bu, bm, basic.global_mean(rows), BIAS_REG).select(
         F.round("objective", 4).alias("objective"))
 
@@ -497,7 +503,7 @@ UNION ALL SELECT 'movie' AS side, CAST(movie_id AS BIGINT) AS id, round(bm, 6) A
 def q_bias_minibatch_step(spark, sf_dir):
     rows = _bias_rows(spark, sf_dir)
     bu, bm = BF.init_biases(rows)
-    bu1, bm1 = BF.step(rows, bu, bm, basic.global_mean(rows), 1, BIAS_BATCH, BIAS_LR, BIAS_REG)
+    bu1, bm1 = _bias_step(rows, bu, bm)
     return bu1.select(F.lit("user").alias("side"), F.col("user_id").alias("id"), F.round("bu", 6).alias("bias")).unionByName(
         bm1.select(F.lit("movie").alias("side"), F.col("movie_id").cast("long").alias("id"), F.round("bm", 6).alias("bias")))
 
@@ -578,18 +584,96 @@ def q_bias_fit(spark, sf_dir):
     return log
 
 
-@register("run_params")
+_PARAMS = FIT.FitConfig(run="run10")
+_PARAM_SQL = "\nUNION ALL ".join(
+    f"SELECT '{_PARAMS.run}' AS run, '{k}' AS key, '{v}' AS value" for k, v in FIT.param_values(_PARAMS).items())
+
+
+@register("run_params", with_ratings() + _PARAM_SQL + f"""
+UNION ALL SELECT '{_PARAMS.run}', 'mu_bips', CAST(CAST(floor(avg(rating) * 10000) AS BIGINT) AS VARCHAR) FROM ratings WHERE {TRAIN_WHERE}
+UNION ALL SELECT '{_PARAMS.run}', 'entries_' || category, CAST(count(*) AS VARCHAR) FROM ratings GROUP BY category""")
 def q_run_params(spark, sf_dir):
-    """K5 + F5 + F12: parameter rows plus data-derived values in basis points and the run stamp."""
+    """K5 + F5: the parameters of a run with what it read from the ratings, written and read back."""
     from ..functions.expressions import basis_points
-    cfg = FIT.FitConfig(run="run10")
+    r = ratings(spark, sf_dir)
+    run = F.lit(_PARAMS.run).alias("run")
+    mean = r.where(F.col("category").isin(*TRAIN_CATEGORIES)).agg(basis_points(F.avg("rating")).cast("string").alias("value"))
+    counts = r.groupBy("category").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    rows = FIT.params_frame(spark, _PARAMS).unionByName(mean.select(run, F.lit("mu_bips").alias("key"), "value")).unionByName(
+        counts.select(run, F.concat(F.lit("entries_"), F.col("category").cast("string")).alias("key"), "value"))
+    return materialize(rows, "run-params")
+
+
+# ---- ids that the model has not seen (J4) -----------------------------------------
+
+def _init_list(key: str) -> str:
+    return "[" + ", ".join(f"0.05::DOUBLE * (({key}*31 + {j}*17) % 1000)::DOUBLE / 1000.0::DOUBLE" for j in range(K)) + "]"
+
+
+def _unseen_sql(rows: str) -> list[str]:
+    return [
+        NUMBERED_SQL, *model_ctes(K), *M4_SQL, "m_part AS (SELECT * FROM m1 WHERE id % 7 <> 0)",
+        f"x AS (SELECT x.*, coalesce(p, {_init_list('CAST(user_id AS BIGINT)')}) AS p2, coalesce(q, {_init_list('CAST(movie_id AS BIGINT)')}) AS q2, "
+        f"coalesce(bu, 0.0) AS bu2, coalesce(bm, 0.0) AS bm2 FROM {rows} x "
+        "LEFT JOIN (SELECT id AS user_id, f AS p, b AS bu FROM m_part WHERE side = 'user') USING (user_id) "
+        "LEFT JOIN (SELECT CAST(id AS INTEGER) AS movie_id, f AS q, b AS bm FROM m_part WHERE side = 'movie') USING (movie_id))",
+        f"s AS (SELECT *, {dot_sql('p2', 'q2', K)} + bu2 + bm2 AS pred FROM x)",
+    ]
+
+
+def _part_model(spark, sf_dir):
+    return _one_epoch(spark, sf_dir).where(F.col("id") % 7 != 0)
+
+
+@register("score_unseen", with_ratings(*_unseen_sql("(SELECT * FROM d WHERE category = 5)"))
+          + "SELECT row_no, printf('%.5f', least(5.0, greatest(1.0, (SELECT mu FROM mu) + pred))) AS line FROM s")
+def q_score_unseen(spark, sf_dir):
+    """J4 + M13: every test row is scored, ids that the model lacks by their initial factors."""
+    from .scoring import prediction_text
+    test = _numbered(spark, sf_dir).where(F.col("category") == 5)
+    return prediction_text(test, _part_model(spark, sf_dir), _mu(_train_rows(spark, sf_dir)))
+
+
+@register("rmse_unseen", with_ratings(*_unseen_sql("(SELECT * FROM d WHERE category = 4)"))
+          + "SELECT round(sqrt(avg((rating - (SELECT mu FROM mu) - pred) * (rating - (SELECT mu FROM mu) - pred))), 6) AS rmse, count(*) AS n FROM s")
+def q_rmse_unseen(spark, sf_dir):
+    """J4 + M14: the RMSE counts all probe rows."""
+    s = M.scored_all(_holdout(spark, sf_dir, F.col("category") == PROBE_CATEGORY), _part_model(spark, sf_dir),
+                     _mu(_train_rows(spark, sf_dir)))
+    return M.rmse(s).select(F.round("rmse", 6).alias("rmse"), "n")
+
+
+# ---- the step at the shipped width ---------------------------------------------------
+
+K40, LR40 = 40, 0.0002
+
+
+@register("epoch_bias_model_k40", with_ratings(*model_ctes(K40), *step_ctes("m0", "m1", K40, LR40, REG, REG, RATIO, True, True, False))
+          + model_long_sql("m1", K40))
+def q_epoch_bias_model_k40(spark, sf_dir):
     tr = _train_rows(spark, sf_dir)
-    base = FIT.params_frame(spark, cfg)
-    mu_row = tr.agg(basis_points(F.avg("rating")).cast("string").alias("value")).select(
-        F.lit(cfg.run).alias("run"), F.lit("mu_bips").alias("key"), "value")
-    stamp = spark.range(1).select(F.lit(cfg.run).alias("run"), F.lit("stamp").alias("key"),
-                                  F.date_format(F.current_timestamp(), "MMdd-HHmm").alias("value"))
-    return base.unionByName(mu_row).unionByName(stamp)
+    m0 = M.init_model(ratings(spark, sf_dir), K40)
+    return M.model_long(M.epoch(tr, m0, _mu(tr), M.rule_bias_model(LR40, REG, REG, RATIO), K40))
+
+
+# ---- sinks written and read back -----------------------------------------------------
+
+@register("chunk_files", with_ratings(NUMBERED_SQL) + f"SELECT CAST(row_no // {CHUNK} AS INTEGER) AS chunk, concat_ws(' ', user_id, movie_id, date, rating) AS line FROM d")
+def q_chunk_files(spark, sf_dir):
+    """K3: rating lines split into chunk folders, read back with their chunk."""
+    base = _scratch(spark, "chunks")
+    TX.write_rating_text(_numbered(spark, sf_dir), f"{base}/data")
+    TX.write_chunks(spark, f"{base}/data", f"{base}/chunks", CHUNK)
+    return spark.read.text(f"{base}/chunks").select("chunk", F.col("value").alias("line"))
+
+
+@register("numeric_lines", with_ratings(NUMBERED_SQL) + "SELECT row_no, CAST(rating AS DOUBLE) AS value FROM d")
+def q_numeric_lines(spark, sf_dir):
+    """K10 + A10: the true ratings as %.5f lines in input order, scanned back as numbers."""
+    from .scoring import true_rating_file
+    base = _scratch(spark, "true")
+    true_rating_file(_numbered(spark, sf_dir), base)
+    return TX.read_numeric_lines(spark, base)
 
 
 # ---- S3 and A7 ---------------------------------------------------------------

@@ -121,8 +121,8 @@ def materialize_sets(spark: SparkSession, rows: DataFrame, store: _Store, name:
 
 
 def holdout_rmse(rows: DataFrame, model: DataFrame, mu: float, use_bias: bool = True, k: int | None = None) -> float:
-    """RMSE of the model on a holdout set (unclamped)."""
-    return M.rmse_value(M.scored(rows, model, mu, use_bias, k))
+    """RMSE of the model on all rows of a holdout set (unclamped)."""
+    return M.rmse_value(M.scored_all(rows, model, mu, use_bias, k))
 
 
 def holdout_rmses(sets: dict[str, DataFrame], model: DataFrame, mu: float, use_bias: bool = True,
@@ -132,15 +132,15 @@ def holdout_rmses(sets: dict[str, DataFrame], model: DataFrame, mu: float, use_b
     for name, rows in sets.items():
         part = rows.select(F.lit(name).alias("_set"), "user_id", "movie_id", "rating")
         u = part if u is None else u.unionByName(part)
-    s = M.scored(u, model, mu, use_bias, k)
+    s = M.scored_all(u, model, mu, use_bias, k)
     got = {r["_set"]: r["rmse"] for r in s.groupBy("_set").agg(F.sqrt(F.avg(F.col("e") * F.col("e"))).alias(
         "rmse")).collect()}
     return {name: float(got[name]) if got.get(name) is not None else float("nan") for name in sets}
 
 
-def params_frame(spark: SparkSession, cfg: FitConfig, extra: dict[str, str] | None = None) -> DataFrame:
-    """K5: ``run_params`` rows (run, key, value), written before training."""
-    kv = {
+def param_values(cfg: FitConfig) -> dict[str, str]:
+    """K5: the parameters under their output labels (fixed values)."""
+    return {
         "comment": cfg.comment,
         "SVD_dim": str(cfg.k),
         "REGULAR_U": f"{cfg.reg_user:.8f}",
@@ -153,25 +153,26 @@ def params_frame(spark: SparkSession, cfg: FitConfig, extra: dict[str, str] | No
         "LEARNING_RATE": f"{cfg.lr:.8f}",
         "ITERATIONS": str(cfg.iterations),
     }
-    kv.update(extra or {})
+
+
+def params_frame(spark: SparkSession, cfg: FitConfig, extra: dict[str, str] | None = None) -> DataFrame:
+    """K5: ``run_params`` rows (run, key, value), written before training."""
+    kv = param_values(cfg) | (extra or {})
     return spark.createDataFrame([(cfg.run, k, v) for k, v in kv.items()], S.RUN_PARAMS)
 
 
 def choose_rate(train: DataFrame, valid: DataFrame, model: DataFrame, mu: float, cfg: FitConfig, lr: float):
     """M10 + G12: one step each at lr·up, lr/down and lr from the same snapshot; keep the best.
 
-    Strict ``<``: on ties the current rate stays. Returns (new_lr, candidates).
+    Only a rate that alone has the least RMSE wins; on ties the current one stays. Returns (new_lr, candidates).
     """
     cands = []
     for label, rate in (("up", lr * cfg.up), ("down", lr / cfg.down), ("same", lr)):
         trial = M.epoch(train, model, mu, cfg.step_rule(rate), cfg.k)
         cands.append((label, rate, holdout_rmse(valid, trial, mu, cfg.step_rule(rate).use_bias, cfg.k)))
-    (_, _, r_up), (_, _, r_down), (_, _, r_same) = cands
-    if r_up < r_down and r_up < r_same:
-        lr = lr * cfg.up
-    if r_down < r_up and r_down < r_same:
-        lr = lr / cfg.down
-    return lr, cands
+    least = min(r for _, _, r in cands)
+    winners = [rate for _, rate, r in cands if r == least]
+    return (winners[0] if len(winners) == 1 else lr), cands
 
 
 def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> FitResult:
@@ -295,11 +296,15 @@ def file_stamp(ts: float | None = None) -> str:
     return _dt.datetime.fromtimestamp(ts if ts is not None else time.time()).strftime("%m%d-%H%M")
 
 
+DRAW_BLOCK = 10
+
+
 def fit_bias_sgd(spark: SparkSession, ratings: DataFrame, threshold: float = 0.01, steps: int = 100,
                  batch: int = 3, lr: float = 0.1, reg: float = 0.5, run: str = "bias") -> tuple[DataFrame, str]:
     """M9 loop: sampled bias steps until the objective (G10) moves less than ``threshold``.
 
-    Each step is one job writing one ``(side, id, b)`` table to the checkpoint
+    The draws of ``DRAW_BLOCK`` steps at a time are picked in one pass over the ratings and written by step; each
+    step then is one job writing one ``(side, id, b)`` table to the checkpoint
     folder (lineage one step deep) plus one objective action; the objective
     after a step is the next step's "before". Returns the log (run, step,
     objective_before, objective_after) and the path of the last biases.
@@ -318,7 +323,12 @@ def fit_bias_sgd(spark: SparkSession, ratings: DataFrame, threshold: float = 0.0
     before = BF.objective(rows, bu, bm, mu, reg).first()[0]
     log = []
     for i in range(steps):
-        path, (bu, bm) = save(*BF.step(rows, bu, bm, mu, i + 1, batch, lr, reg), f"step={i + 1}")
+        if i % DRAW_BLOCK == 0:
+            block = list(range(i + 1, min(i + DRAW_BLOCK, steps) + 1))
+            drawn_path = f"{store.base}/draws={i + 1}"
+            BF.draws(rows, block, batch).write.partitionBy("step").parquet(drawn_path)
+            drawn = store.load(drawn_path)
+        path, (bu, bm) = save(*BF.step(drawn.where(F.col("step") == i + 1), bu, bm, mu, batch, lr, reg), f"step={i + 1}")
         after = BF.objective(rows, bu, bm, mu, reg).first()[0]
         log.append((run, i + 1, float(before), float(after)))
         if abs(after - before) < threshold:

@@ -5,31 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import dot, init_vector
 from ..operators import model as M
+from ..schema import INIT_RANGE
 from ..sources.text import prediction_lines, write_predictions
 
 
 def predictions(rows: DataFrame, model: DataFrame, mu: float, k: int | None = None,
                 clamp: tuple[float, float] = (1.0, 5.0), use_bias: bool = True,
-                init_range: float = 0.05) -> DataFrame:
+                init_range: float = INIT_RANGE) -> DataFrame:
     """``(row_no, prediction)``: μ + prediction clamped to [1, 5] (P10 + P8), one per input row.
 
     An id the model never saw scores with its initial factors (the same
-    deterministic init the fit starts from) and zero bias, as the reference
-    scores every preallocated id; this needs ``k``. Without ``k`` such rows
-    are dropped.
+    deterministic init the fit starts from) and zero bias. ``k`` is read from the model
+    if it is not given.
     """
-    if k is None:
-        s = M.scored(rows, model, mu, use_bias)
-        return s.select("row_no", M.predicted_rating(s, mu, clamp).alias("prediction"))
-    s = rows.join(M.user_factors(model), "user_id", "left").join(M.movie_factors(model), "movie_id", "left")
-    p = F.coalesce(F.col("p"), init_vector("user_id", k, init_range))
-    q = F.coalesce(F.col("q"), init_vector("movie_id", k, init_range))
-    pred = dot(p, q, k)
-    if use_bias:
-        pred = pred + F.coalesce(F.col("bu"), F.lit(0.0)) + F.coalesce(F.col("bm"), F.lit(0.0))
-    s = s.withColumn("pred", pred)
+    if "rating" not in rows.columns:
+        rows = rows.withColumn("rating", F.lit(None).cast("int"))
+    s = M.scored_all(rows, model, mu, use_bias, k, init_range)
     return s.select("row_no", M.predicted_rating(s, mu, clamp).alias("prediction"))
 
 

@@ -9,12 +9,15 @@ record's position across all files, so positional operators need no sort.
 
 Writer: each task packs its Arrow batches into records and writes one part
 file under a task-attempt name; the driver's commit renames the winners to
-``part-<task>.bin`` (file order = task order = input order), so a retried or
-speculative task leaves no duplicate.
+``part-<number>-<job>.bin`` (file order = task order = input order), so a retried or
+speculative task leaves no duplicate. Appended parts are numbered on from those that are there.
+Numbers in paths are compared as numbers. A value outside a record's field is an error;
+only rating and category are narrowed to a byte (P9).
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -49,7 +52,7 @@ def _fs(path: str):
 
 
 def _list(path: str) -> list[tuple[str, int]]:
-    """(path, size) of the data files under ``path``, in path order."""
+    """(path, size) of the data files under ``path``, in path order with numbers compared as numbers."""
     from pyarrow import fs
 
     filesystem, root = _fs(path)
@@ -61,7 +64,12 @@ def _list(path: str) -> list[tuple[str, int]]:
         rel = f.path[len(root.rstrip("/")) + 1:].split("/")
         if f.type == fs.FileType.File and not any(p.startswith(("_", ".")) for p in rel):
             out.append((f.path, f.size))
-    return sorted(out)
+    return sorted(out, key=lambda f: path_order(f[0]))
+
+
+def path_order(path: str) -> list:
+    """Sort key of a path: its digit runs count as numbers, so part-99999 comes before part-100000."""
+    return [int(x) if x.isdigit() else x for x in re.split(r"([0-9]+)", path)]
 
 
 class _Range(InputPartition):
@@ -99,14 +107,22 @@ def decode(buf: bytes | memoryview, row0: int = 0, keep: dict | None = None) ->
 
 
 def encode(batch: pa.RecordBatch) -> bytes:
-    """Arrow batch → packed records (rating and category narrowed to u8)."""
+    """Arrow batch → packed records (rating and category narrowed to u8).
+
+    Raises ``ValueError`` on a null and on a user, movie or date that its field cannot hold.
+    """
     rec = np.empty(batch.num_rows, dtype=DTYPE)
-    cols = {n: batch.column(i).to_numpy(zero_copy_only=False) for i, n in enumerate(batch.schema.names)}
-    rec["user"] = cols["user_id"]
-    rec["movie"] = cols["movie_id"]
-    rec["date"] = cols["date"]
-    rec["rating"] = np.mod(cols["rating"], 256)
-    rec["category"] = np.mod(cols["category"], 256)
+    for i, name in enumerate(batch.schema.names):
+        column, target = batch.column(i), FIELDS[name]
+        if column.null_count:
+            raise ValueError(f"{name} is null in a rating record")
+        values = column.to_numpy(zero_copy_only=False)
+        if name in ("rating", "category"):
+            values = np.mod(values, 256)
+        top = np.iinfo(DTYPE[target]).max
+        if len(values) and (values.min() < 0 or values.max() > top):
+            raise ValueError(f"{name} must be 0..{top} in a rating record, not {values.min()}..{values.max()}")
+        rec[target] = values
     return rec.tobytes()
 
 
@@ -180,7 +196,7 @@ class _Writer(DataSourceArrowWriter):
         task = ctx.partitionId() if ctx else 0
         attempt = ctx.attemptNumber() if ctx else 0
         filesystem, root = _fs(self.path)
-        tmp = f"{root}/_temporary/{self.job}/part-{task:05d}-{attempt}.bin"
+        tmp = f"{root}/_temporary/{self.job}/part-{task:010d}-{attempt}.bin"
         filesystem.create_dir(f"{root}/_temporary/{self.job}", recursive=True)
         with filesystem.open_output_stream(tmp) as out:
             for batch in iterator:
@@ -190,20 +206,24 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         filesystem, root = _fs(self.path)
-        if self.overwrite:
-            from pyarrow import fs
+        from pyarrow import fs
 
-            for f in filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if f.type == fs.FileType.File and f.base_name.startswith("part-"):
+        first = 0
+        for f in filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+            if f.type == fs.FileType.File and (number := re.match(r"part-([0-9]+)", f.base_name)):
+                if self.overwrite:
                     filesystem.delete_file(f.path)
+                else:
+                    first = max(first, int(number[1]) + 1)
         for m in messages:
             if m is not None:
-                filesystem.move(m.path, f"{root}/part-{m.task:05d}.bin")
-        filesystem.delete_dir_contents(f"{root}/_temporary", missing_dir_ok=True)
+                filesystem.move(m.path, f"{root}/part-{first + m.task:010d}-{self.job[:8]}.bin")
+        filesystem.delete_dir(f"{root}/_temporary/{self.job}")
 
     def abort(self, messages) -> None:
         filesystem, root = _fs(self.path)
-        filesystem.delete_dir_contents(f"{root}/_temporary/{self.job}", missing_dir_ok=True)
+        if filesystem.get_file_info(f"{root}/_temporary/{self.job}").type.name == "Directory":
+            filesystem.delete_dir(f"{root}/_temporary/{self.job}")
 
 
 class RatingsBinary(DataSource):
@@ -247,6 +267,6 @@ def read_ratings_bin(spark, path: str, category: int | None = None, split_bytes:
 
 
 def write_ratings_bin(df, path: str, mode: str = "overwrite") -> None:
-    """K1 (byte form): records in the frame's partition order."""
+    """K1 (byte form): records in the frame's partition order; ``mode`` overwrite or append."""
     register(df.sparkSession)
     df.select("user_id", "movie_id", "date", "rating", "category").write.format("ratings_bin").mode(mode).save(path)

@@ -11,23 +11,26 @@ from pyspark.sql import functions as F
 
 from ..operators.positional import chunk_of, number_lines, positional_zip
 from ..schema import MISSING_CATEGORY
+from ..session import materialize
 
 WS = r"[ \t]+"
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Numbered lines ``(value, row_no)`` of a text file or folder, in path order."""
-    return number_lines(spark.read.text(path))
+def lines(spark: SparkSession, path: str, file: str | None = None) -> DataFrame:
+    """Numbered lines ``(value, row_no)`` of a text file or folder, in path order; ``file`` names a column for the path."""
+    return number_lines(spark.read.text(path), file=file)
 
 
 def read_rating_text(spark: SparkSession, path: str) -> DataFrame:
     """A1 (A9): ``user movie date rating`` lines → ratings without category.
 
-    Reading stops at the first empty line (the rest of the file is ignored).
+    Each file is read up to its first empty line; later files are not affected, and
+    ``row_no`` stays the line's place in the input.
     """
-    ln = lines(spark, path)
-    stop = ln.where(F.length("value") < 1).select(F.min("row_no")).scalar()
-    kept = ln.where(stop.isNull() | (F.col("row_no") < stop))
+    ln = lines(spark, path, file="_path")
+    stops = ln.where(F.length("value") < 1).groupBy("_path").agg(F.min("row_no").alias("_stop"))
+    stops = materialize(stops, "stops")  # a row per file with an empty line; its known size decides the join's form
+    kept = ln.join(stops, "_path", "left").where(F.col("_stop").isNull() | (F.col("row_no") < F.col("_stop")))
     f = F.split(F.regexp_replace(F.col("value"), r"^[ \t]+|[ \t\r]+$", ""), WS)
     # try_cast: a malformed field is NULL instead of failing a whole scan (ANSI casts raise)
     return kept.select(

@@ -1,13 +1,12 @@
 from conftest import SF_SMALL
-from reelstat.functions.expressions import DRAW_MOD
+from reelstat.functions.expressions import DRAW_MOD, DRAW_MULTS
 from reelstat.operators import bias_fit as BF
 from reelstat.sources.tables import ratings
 
 
 def _key(*parts):
-    mults = (1103515245, 12345, 2654435761 % DRAW_MOD, 40503, 69069)
-    x = sum(p * m for p, m in zip(parts, mults)) % DRAW_MOD
-    return (x * x + x) % DRAW_MOD
+    x = sum(p * m for p, m in zip(parts, DRAW_MULTS)) % DRAW_MOD
+    return (x * x + x) % DRAW_MOD // 256
 
 
 def test_one_step_equals_sequential_model(spark):
@@ -25,18 +24,18 @@ def test_one_step_equals_sequential_model(spark):
     for u, rs in by_user.items():
         s = 0.0
         for dd in range(1, batch + 1):
-            m, d, rt = min(rs, key=lambda x: (_key(u, x[0], x[1], x[2], 16 + dd), x[0], x[1], x[2]))
+            m, d, rt = min(rs, key=lambda x: (_key(u, x[0], x[1], x[2], 1, dd), x[0], x[2]))
             s += rt - mu - bu[u] - bm[m]
         new_bu[u] = bu[u] - lr * (reg * 2 * bu[u] - 2 * s)
     new_bm = {}
     for m, rs in by_movie.items():
         s = 0.0
         for dd in range(1, batch + 1):
-            u, d, rt = min(rs, key=lambda x: (_key(m, x[0], x[1], x[2], 16 + dd), x[0], x[1], x[2]))
+            u, d, rt = min(rs, key=lambda x: (_key(m, x[0], x[1], x[2], 1, dd), x[0], x[2]))
             s += rt - mu - new_bu[u] - bm[m]
         new_bm[m] = bm[m] - lr * (reg * 2 * bm[m] - 2 * s)
     bu0, bm0 = BF.init_biases(r)
-    bu1, bm1 = BF.step(r, bu0, bm0, mu, 1, batch, lr, reg)
+    bu1, bm1 = BF.step(BF.draws(r, [1], batch), bu0, bm0, mu, batch, lr, reg)
     got_u = {x.user_id: x.bu for x in bu1.collect()}
     got_m = {x.movie_id: x.bm for x in bm1.collect()}
     assert max(abs(got_u[u] - v) for u, v in new_bu.items()) < 1e-9
@@ -46,3 +45,18 @@ def test_one_step_equals_sequential_model(spark):
     want = sum((rt - mu - new_bu[u] - new_bm[m]) ** 2 + reg * new_bm[m] ** 2 for u, m, _, rt in rows)
     want += reg * sum(v * v for v in new_bu.values())
     assert abs(obj - want) < 1e-6 * abs(want)
+
+
+def test_draws_are_hash_aggregates_from_one_scan(spark):
+    r = ratings(spark, SF_SMALL).select("user_id", "movie_id", "date", "rating")
+    drawn = BF.draws(r, [1, 2], 3)
+    plan = drawn._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert plan.count("FileScan parquet") == 2  # lineitem and orders once each
+    assert drawn.where("step = 1").count() == drawn.where("step = 2").count()
+
+
+def test_more_draws_than_sixteen_stay_apart(spark):
+    r = spark.createDataFrame([(1, m, 1, 1 + m % 5) for m in range(1, 400)], "user_id long, movie_id int, date int, rating int")
+    got = [x.partner for x in BF.draws(r, [1, 2], 18).where("side = 'user'").orderBy("step").collect()]
+    assert len(got) == 36 and len(set(got)) > 25

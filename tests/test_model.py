@@ -57,9 +57,12 @@ def test_epoch_matches_numpy(spark):
 def test_rmse_and_unseen_entities(spark):
     r = ratings(spark, SF_SMALL)
     m0 = M.init_model(r.where("category = 1"), 2)
-    s = M.scored(r.where("category = 4"), m0, 3.0)
-    # the model has only category-1 ids: rows of unseen ids drop out of the inner join
-    assert s.count() <= r.where("category = 4").count()
+    probe = r.where("category = 4")
+    s = M.scored_all(probe, m0.where("id % 3 <> 0"), 3.0)
+    # unseen ids score with their initial factors and no bias: here as if the model had them
+    assert s.count() == probe.count()
+    full = M.scored_all(probe, M.init_model(r, 2), 3.0)
+    assert abs(M.rmse_value(s) - M.rmse_value(full)) < 1e-12
     v = M.rmse_value(s)
     es = [x.e for x in s.select("e").collect()]
     assert abs(v - math.sqrt(sum(e * e for e in es) / len(es))) < 1e-12

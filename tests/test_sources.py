@@ -110,3 +110,44 @@ def test_malformed_line_is_null_not_failure(spark, tmpdir_fresh):
         f.write("1 2 3 4\nx 2 3 4\n5 6 7 8\n")
     got = [(r.user_id, r.rating) for r in text.read_rating_text(spark, p).orderBy("row_no").collect()]
     assert got == [(1, 4), (None, 4), (5, 8)]
+
+
+def test_records_out_of_range_are_refused(spark, tmpdir_fresh):
+    import pytest
+
+    for row in ((1, 70000, 1, 1, 1), (1 << 33, 1, 1, 1, 1), (1, 1, -1, 1, 1), (1, None, 1, 1, 1)):
+        df = spark.createDataFrame([row], "user_id long, movie_id int, date int, rating int, category int")
+        with pytest.raises(Exception, match="rating record"):
+            binary.write_ratings_bin(df, f"{tmpdir_fresh}/bad")
+    narrowed = spark.createDataFrame([(1, 1, 1, 257, 258)], "user_id long, movie_id int, date int, rating int, category int")
+    binary.write_ratings_bin(narrowed, f"{tmpdir_fresh}/p9")
+    assert [(r.rating, r.category) for r in binary.read_ratings_bin(spark, f"{tmpdir_fresh}/p9").collect()] == [(1, 2)]
+
+
+def test_append_keeps_rows_and_order(spark, tmpdir_fresh):
+    schema = "user_id long, movie_id int, date int, rating int, category int"
+    for user in (3, 1, 2):
+        binary.write_ratings_bin(spark.createDataFrame([(user, 1, 1, 1, 1)], schema), f"{tmpdir_fresh}/a", mode="append")
+    got = sorted(binary.read_ratings_bin(spark, f"{tmpdir_fresh}/a").collect(), key=lambda r: r.row_no)
+    assert [r.user_id for r in got] == [3, 1, 2]
+
+
+def test_parts_are_taken_in_the_order_of_their_numbers(spark, tmpdir_fresh):
+    os.makedirs(f"{tmpdir_fresh}/b")
+    os.makedirs(f"{tmpdir_fresh}/t")
+    for k, name in enumerate(("part-2", "part-99999", "part-100000")):
+        _write_bin(f"{tmpdir_fresh}/b/{name}.bin", [(k, 1, 1, 1, 1)])
+        with open(f"{tmpdir_fresh}/t/{name}.txt", "w") as f:
+            f.write(f"{k} 1 1 1\n")
+    got = sorted(binary.read_ratings_bin(spark, f"{tmpdir_fresh}/b").collect(), key=lambda r: r.row_no)
+    assert [r.user_id for r in got] == [0, 1, 2]
+    assert [r.user_id for r in text.read_rating_text(spark, f"{tmpdir_fresh}/t").orderBy("row_no").collect()] == [0, 1, 2]
+
+
+def test_blank_line_stops_its_own_file_only(spark, tmpdir_fresh):
+    os.makedirs(f"{tmpdir_fresh}/t")
+    for name, body in (("part-1", "1 1 1 1\n\n2 1 1 1\n"), ("part-2", "3 1 1 1\n4 1 1 1\n")):
+        with open(f"{tmpdir_fresh}/t/{name}.txt", "w") as f:
+            f.write(body)
+    got = [(r.user_id, r.row_no) for r in text.read_rating_text(spark, f"{tmpdir_fresh}/t").orderBy("row_no").collect()]
+    assert got == [(1, 0), (3, 3), (4, 4)]
