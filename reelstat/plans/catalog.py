@@ -557,24 +557,98 @@ def q_rate_probe(spark, sf_dir):
     return c.select("candidate", "learning_rate", F.round("rmse", 6).alias("valid_rmse"), chosen.alias("chosen"))
 
 
-# ---- iterative fits (no SQL form: rows-only check) -----------------------------------
+# ---- iterative fits: the loops' logs against chains of the step SQL ---------------------
 
 from . import fit as FIT  # noqa: E402
 
 
-@register("fit_adaptive")
-def q_fit_adaptive(spark, sf_dir):
-    """M8 + M11 + M12 + W6: guarded batch epochs, run_log with RMSE deltas."""
-    cfg = FIT.FitConfig(run="fit_adaptive", k=10, iterations=10, lr=LR)
-    res = FIT.fit_adaptive(spark, ratings(spark, sf_dir), cfg)
-    return FIT.rmse_changes(res.run_log)
+FIT_K, FIT_ITERATIONS, FIT_LOOPS, FIT_STOP = 10, 10, 30, 1e-4
 
 
-@register("fit_threshold")
+class _Sql(str):
+    """SQL text that formats as itself where a number is expected."""
+
+    __repr__ = str.__str__
+
+
+def _kept(ctes: list[str]) -> list[str]:
+    """Each step's tables are computed once, however many later steps read them."""
+    return [c.replace(" AS (", " AS MATERIALIZED (", 1) for c in ctes]
+
+
+def _rmse_sql(name: str) -> str:
+    return f"(SELECT sqrt(avg(e*e)) FROM {name})"
+
+
+def _fit_adaptive_sql(run: str, lr: float) -> str:
+    cfg = FIT.FitConfig(run=run)
+    ctes = [*model_ctes(FIT_K), f"v AS (SELECT user_id, movie_id, rating FROM ratings WHERE category = {VALID_CATEGORY})",
+            f"pr AS (SELECT user_id, movie_id, rating FROM ratings WHERE category = {PROBE_CATEGORY})",
+            scored_cte("v0", "v", "m0", FIT_K), scored_cte("p0", "pr", "m0", FIT_K),
+            f"st0 AS (SELECT {lr!r}::DOUBLE AS lr, {_rmse_sql('v0')} AS valid, {_rmse_sql('p0')} AS probe, false AS stopped, "
+            "true AS accepted, 0.0::DOUBLE AS used)"]
+    for i in range(1, FIT_ITERATIONS + 1):
+        rate = _Sql(f"(SELECT lr FROM st{i - 1})")
+        ctes += step_ctes(f"m{i - 1}", f"c{i}", FIT_K, rate, REG, REG, RATIO, True, True, False)
+        ctes += [
+            scored_cte(f"v{i}", "v", f"c{i}", FIT_K), scored_cte(f"p{i}", "pr", f"c{i}", FIT_K),
+            f"t{i} AS (SELECT {_rmse_sql(f'v{i}')} AS nv, {_rmse_sql(f'p{i}')} AS np)",
+            f"st{i} AS (SELECT CASE WHEN ok THEN lr * {cfg.inc!r}::DOUBLE ELSE lr * {cfg.dec!r}::DOUBLE END AS lr, "
+            "CASE WHEN ok THEN nv ELSE valid END AS valid, CASE WHEN ok THEN np ELSE probe END AS probe, "
+            f"stopped OR (ok AND valid - nv < {cfg.threshold!r}) AS stopped, ok AS accepted, lr AS used "
+            f"FROM (SELECT *, NOT (nv > valid OR isnan(nv)) AS ok FROM st{i - 1}, t{i}))",
+            f"m{i} AS (SELECT * FROM c{i} WHERE (SELECT accepted FROM st{i}) UNION ALL "
+            f"SELECT * FROM m{i - 1} WHERE NOT (SELECT accepted FROM st{i}))",
+        ]
+    log = " UNION ALL ".join(f"SELECT {i} AS iteration, * FROM st{i} WHERE NOT stopped" for i in range(1, FIT_ITERATIONS + 1))
+    return with_ratings(*_kept(ctes)) + f"""SELECT '{run}' AS run, iteration, round(used, 9) AS learning_rate,
+  round(valid, 6) AS valid_rmse, round(probe, 6) AS probe_rmse, accepted,
+  round(valid - lag(valid) OVER (ORDER BY iteration), 6) AS delta_valid,
+  probe = min(probe) OVER () AND iteration = min(CASE WHEN probe <= least_probe THEN iteration END) OVER () AS best
+FROM (SELECT *, min(probe) OVER () AS least_probe FROM ({log}))"""
+
+
+def _fit_adaptive(run: str, lr: float):
+    def q(spark, sf_dir):
+        cfg = FIT.FitConfig(run=run, k=FIT_K, iterations=FIT_ITERATIONS, lr=lr)
+        log = FIT.rmse_changes(FIT.fit_adaptive(spark, ratings(spark, sf_dir), cfg).run_log)
+        best = FIT.best_iteration(log).select("run", "best_iteration")
+        return log.join(best, "run").select(
+            "run", "iteration", F.round("learning_rate", 9).alias("learning_rate"), F.round("valid_rmse", 6).alias("valid_rmse"),
+            F.round("probe_rmse", 6).alias("probe_rmse"), "accepted", F.round("delta_valid", 6).alias("delta_valid"),
+            (F.col("iteration") == F.col("best_iteration")).alias("best"))
+    return q
+
+
+# M8 + M11 + M12 + G13 + W6: guarded epochs, best model, RMSE changes; and a rate so high that steps are rolled back
+for _name, _lr in (("fit_adaptive", LR), ("fit_adaptive_rollback", 0.08)):
+    register(_name, _fit_adaptive_sql(_name, _lr))(_fit_adaptive(_name, _lr))
+
+
+def _fit_threshold_sql() -> str:
+    f0 = "[" + ", ".join(["0.1::DOUBLE"] * FIT_K) + "]"
+    ctes = [
+        f"cells AS (SELECT user_id, movie_id, CAST(sum(rating) AS BIGINT) AS rating FROM ratings WHERE {TRAIN_WHERE} AND rating <> 0 "
+        "GROUP BY user_id, movie_id)",
+        "mu AS (SELECT avg(rating) AS mu FROM cells)",
+        f"m0 AS (SELECT 'user' AS side, user_id AS id, {f0} AS f, 0.0::DOUBLE AS b FROM (SELECT DISTINCT user_id FROM cells) "
+        f"UNION ALL SELECT 'movie', CAST(movie_id AS BIGINT), {f0}, 0.0::DOUBLE FROM (SELECT DISTINCT movie_id FROM cells))",
+    ]
+    for i in range(1, FIT_LOOPS + 1):
+        ctes += step_ctes(f"m{i - 1}", f"m{i}", FIT_K, PY_LR, PY_REG, PY_REG, 1.0, True, True, True, rows="cells")
+    # the residuals of step i are those of the model before it
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS iteration, {_rmse_sql(f's_m{i}')} AS b, {_rmse_sql(f's_m{i + 1}')} AS a" for i in range(1, FIT_LOOPS))
+    return with_ratings(*_kept(ctes), f"l AS MATERIALIZED ({rows})") + f"""SELECT 'python' AS run, iteration,
+  round(b, 6) AS rmse_before, round(a, 6) AS rmse_after FROM l
+WHERE NOT EXISTS (SELECT 1 FROM l x WHERE x.iteration < l.iteration AND abs(x.b - x.a) < {FIT_STOP!r})"""
+
+
+@register("fit_threshold", _fit_threshold_sql())
 def q_fit_threshold(spark, sf_dir):
-    """M12 Python variant: per-rating rule, stop at |ΔRMSE| < 1e-4 (≤ 29 steps)."""
-    log, _ = FIT.fit_threshold(spark, _train(spark, sf_dir), k=10, lr=PY_LR, reg=PY_REG)
-    return log
+    """M12 Python variant: merged cells, per-rating rule, stop at |ΔRMSE| < 1e-4 (≤ 29 steps)."""
+    log, _ = FIT.fit_threshold(spark, _train(spark, sf_dir), k=FIT_K, lr=PY_LR, reg=PY_REG, max_loops=FIT_LOOPS, stop=FIT_STOP)
+    return log.select("run", "iteration", F.round("rmse_before", 6).alias("rmse_before"), F.round("rmse_after", 6).alias("rmse_after"))
 
 
 @register("bias_fit")

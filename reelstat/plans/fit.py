@@ -4,9 +4,8 @@ Every epoch's model is written to the session's checkpoint folder
 (``spark.checkpoint.dir``) and read back: lineage stays one epoch deep, a lost
 executor replays at most one epoch, rollback is "keep the previous path" and
 best-model keeping is "remember the best path". The training rows are written
-once, bucketed by ``user_id``, so the per-epoch join on users shuffles only the
-(small) model side; the movie side is joined by Catalyst/AQE, broadcast only
-when its measured size is under the threshold. Each epoch costs one training
+once; both model sides are joined by Catalyst/AQE, broadcast only when their known
+size is under the threshold. Each epoch costs one training
 job plus one RMSE job for both holdout sets.
 """
 
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import model as M
+from ..operators.basic import merge_duplicates
 from ..session import scratch_path
 
 
@@ -48,7 +48,6 @@ class FitConfig:
     init_range: float = S.INIT_RANGE
     include_valid: bool = True        # the reference also trains on the validation rows
     mu: float | None = None           # None: the train mean (G1); the reference used 3.60861
-    buckets: int = 0                  # 0: from spark.sql.shuffle.partitions
     rule: Callable[..., M.StepRule] | None = None  # lr -> StepRule; default: the bias model (M4)
 
     def step_rule(self, lr: float) -> M.StepRule:
@@ -74,13 +73,6 @@ class _Store:
     def __init__(self, spark: SparkSession, run: str):
         self.spark = spark
         self.base = scratch_path(spark, "reelstat-runs", f"{run}-{uuid.uuid4().hex[:8]}")
-        self.tables: list[str] = []
-
-    def close(self) -> None:
-        """Unregister the catalog tables of this run (external: their files stay in the run folder)."""
-        for t in self.tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {t}")
-        self.tables.clear()
 
     def save(self, model: DataFrame, name: str) -> str:
         path = f"{self.base}/{name}"
@@ -91,32 +83,18 @@ class _Store:
         return self.spark.read.parquet(path)
 
 
-def materialize_rows(spark: SparkSession, rows: DataFrame, store: _Store, name: str, buckets: int) -> DataFrame:
-    """Write training rows once, bucketed and sorted by user_id (co-located user joins every epoch)."""
-    return materialize_sets(spark, rows, store, name, buckets, {name: F.lit(True)})[name]
-
-
-def materialize_sets(spark: SparkSession, rows: DataFrame, store: _Store, name: str, buckets: int,
-                     sets: dict[str, "F.Column"]) -> dict[str, DataFrame]:
-    """Several row sets in one pass: one table partitioned by set and bucketed by user_id.
+def materialize_sets(rows: DataFrame, store: _Store, name: str, sets: dict[str, "F.Column"]) -> dict[str, DataFrame]:
+    """Several row sets in one pass: one table partitioned by set.
 
     A row belonging to several sets (validation rows are also trained on) is
-    written once per set. Each returned frame prunes to its partition and keeps
-    the bucketing, so its user join needs no shuffle of the rows.
+    written once per set; each returned frame prunes to its partition. Rows are not bound to
+    buckets: a model side under the broadcast threshold joins without a shuffle, and
+    above it the join shuffles the rows by key and AQE splits a user that holds too many of them.
     """
-    table = f"reelstat_{name}_{uuid.uuid4().hex[:8]}"
     labels = F.filter(F.array(*[F.when(cond, F.lit(label)) for label, cond in sets.items()]), lambda x: x.isNotNull())
-    (
-        rows.select(F.explode(labels).alias("set"), "user_id", "movie_id", "rating")
-        .write.mode("overwrite")
-        .partitionBy("set")
-        .bucketBy(buckets, "user_id")
-        .sortBy("user_id")
-        .option("path", f"{store.base}/{name}")
-        .saveAsTable(table)
-    )
-    store.tables.append(table)
-    t = spark.table(table)
+    path = f"{store.base}/{name}"
+    rows.select(F.explode(labels).alias("set"), "user_id", "movie_id", "rating").write.mode("overwrite").partitionBy("set").parquet(path)
+    t = store.load(path)
     return {label: t.where(F.col("set") == label).drop("set") for label in sets}
 
 
@@ -184,10 +162,9 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     """
     t_start = time.time()
     store = _Store(spark, cfg.run)
-    buckets = cfg.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     train_cats = [c for c in S.TRAIN_CATEGORIES if cfg.include_valid or c != S.VALID_CATEGORY]
     cat = F.col("category")
-    sets = materialize_sets(spark, ratings, store, "rows", buckets, {
+    sets = materialize_sets(ratings, store, "rows", {
         "train": cat.isin(*train_cats), "valid": cat == S.VALID_CATEGORY, "probe": cat == S.PROBE_CATEGORY})
     train, valid, probe = sets["train"], sets["valid"], sets["probe"]
     mu = cfg.mu if cfg.mu is not None else float(train.agg(F.avg("rating")).first()[0])
@@ -244,7 +221,6 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
     }
     params = params.unionByName(spark.createDataFrame([(cfg.run, k, v) for k, v in extra.items()], S.RUN_PARAMS))
     params.write.mode("overwrite").parquet(f"{store.base}/run_params")
-    store.close()
     return FitResult(run_log, params, final, best_path, None if best_path is None else best_rmse, mu, log)
 
 
@@ -253,12 +229,13 @@ def fit_threshold(spark: SparkSession, ratings: DataFrame, k: int = 10, lr: floa
                   run: str = "python") -> tuple[DataFrame, str]:
     """M12 (Python loop): per-rating rule (M6 re-aimed), ≤ max_loops − 1 steps, stop at |ΔRMSE| < stop.
 
-    RMSE is measured on the training rows themselves (non-zero ratings, P5).
+    Repeated (user, movie) cells are summed first (G8). The rate is a tenth of a sequential pass's 0.005:
+    a batch step adds up all of an entity's ratings before it moves. RMSE is measured on the training rows themselves (non-zero ratings, P5).
     Returns the log (run, iteration, rmse_before, rmse_after) and the model path.
     """
     store = _Store(spark, run)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    train = materialize_rows(spark, ratings.where(F.col("rating") != 0), store, "train", buckets)
+    cells = merge_duplicates(ratings.where(F.col("rating") != 0)).select("user_id", "movie_id", "rating")
+    train = store.load(store.save(cells, "train"))
     mu = float(train.agg(F.avg("rating")).first()[0])
     path = store.save(M.init_model(train, k, constant=init_constant, bias=0.0), "epoch=0")
     model = store.load(path)
@@ -274,7 +251,6 @@ def fit_threshold(spark: SparkSession, ratings: DataFrame, k: int = 10, lr: floa
             break
         old = new
     frame = spark.createDataFrame(log, "run string, iteration int, rmse_before double, rmse_after double")
-    store.close()
     return frame, path
 
 
