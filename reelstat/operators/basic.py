@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def global_mean(ratings: DataFrame, rating: str = "rating") -> Column:
     """G1 as a scalar subquery column (stays in the plan; no driver round trip)."""
@@ -33,26 +35,33 @@ def seen_entities(ratings: DataFrame, key: str) -> DataFrame:
     return ratings.select(key).distinct()
 
 
+RUN_BLOCK = 65_536  # lines per block: bounds every window partition of run_groups over lines
+
+
 def run_groups(numbered: DataFrame, key: str = "movie_id", row_no: str = "row_no") -> DataFrame:
     """Contiguous runs of equal ``key`` in file order, one row per run.
 
-    A run starts where the line before (``row_no − 1``) has another key — an
-    equi-join on the position. Runs are then read off the start table alone:
-    starts numbered in position order, each run ends one line before the next
-    start (equi-join on the start number), the last one at the last line. No
-    row is grouped by key, so a hot key costs nothing extra.
+    Lines are looked at in blocks of ``RUN_BLOCK`` positions: a run starts where ``lag`` inside the block
+    has another key, and at a block's first line if the last line of the block before has. Ends follow
+    from the next start in the block, or from the first start of a later block. Only tables with
+    one row per block see more than a block. No row is grouped by key, so a hot key costs nothing extra.
     """
-    from .positional import number_by
-
-    prev = numbered.select((F.col(row_no) + 1).alias(row_no), F.col(key).alias("_prev"))
-    starts = numbered.join(prev, row_no, "left").where(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col(key))
-    ).select(key, F.col(row_no).alias("run_start"))
-    starts = number_by(starts, ["run_start"], "_j")
-    nxt = starts.select((F.col("_j") - 1).alias("_j"), F.col("run_start").alias("_next"))
-    last = numbered.select(F.max(row_no)).scalar()
-    return starts.join(nxt, "_j", "left").select(
-        key,
-        "run_start",
-        F.coalesce(F.col("_next") - 1, last).alias("run_end"),
+    rows = numbered.select(F.col(key).alias("_k"), F.col(row_no).alias("_r"), F.expr(f"`{row_no}` div {RUN_BLOCK}").alias("_b"))
+    in_block = Window.partitionBy("_b").orderBy("_r")
+    edges = materialize(
+        rows.groupBy("_b").agg(F.min("_r").alias("_first"), F.max("_r").alias("_last"), F.max_by("_k", "_r").alias("_last_key")),
+        "run-blocks")
+    before = edges.withColumn("_before", F.lag("_last_key").over(Window.orderBy("_b"))).select("_b", "_first", "_before")
+    seen = rows.withColumn("_prev", F.lag("_k").over(in_block))
+    inner = seen.where(F.col("_prev") != F.col("_k")).select("_k", "_r", "_b")
+    heads = rows.join(before, "_b").where(
+        (F.col("_r") == F.col("_first")) & (F.col("_before").isNull() | (F.col("_before") != F.col("_k")))).select("_k", "_r", "_b")
+    starts = materialize(inner.unionByName(heads), "run-starts").withColumn("_next", F.lead("_r").over(in_block))
+    later = Window.orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    after = starts.groupBy("_b").agg(F.min("_r").alias("_start")).withColumn("_after", F.min("_start").over(later)).select("_b", "_after")
+    last = edges.select(F.max("_last")).scalar()
+    return starts.join(after, "_b").select(
+        F.col("_k").alias(key),
+        F.col("_r").alias("run_start"),
+        (F.coalesce("_next", "_after", last + 1) - 1).alias("run_end"),
     ).withColumn("rows", F.col("run_end") - F.col("run_start") + 1)
