@@ -56,7 +56,7 @@ def shared_buckets(rows: DataFrame, id_col: str = "id") -> DataFrame:
     buckets = written(
         rows.groupBy("h").agg(F.min(id_col).alias("lo"), F.max(id_col).alias("hi")).where("lo <> hi").select("h"), "buckets"
     )
-    return rows.join(buckets, "h")
+    return rows.join(small(buckets), "h")
 
 
 def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_ratio: float) -> tuple[DataFrame, DataFrame]:
@@ -94,6 +94,8 @@ def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], l
         .join(star, ["a", "b"], "left_anti"),
         "cross-pairs",
     )
+    if crossed.isEmpty():
+        return links, classes
     more = written(verify(crossed), "links")
     if more.isEmpty():
         return links, classes
