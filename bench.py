@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from reelstat.operators import model as M, profile, splits  # noqa: E402
+from reelstat.operators import model as M  # noqa: E402
 from reelstat.plans import catalog as C  # noqa: E402
 from reelstat.session import local_session  # noqa: E402
 from reelstat.sources.tables import ratings  # noqa: E402
@@ -34,7 +34,7 @@ def _epoch_k40(spark, sf_dir):
 HEADLINE = {
     "movie_summary": lambda s, d: C.q_movie_summary(s, d),
     "movie_summary_sparse": lambda s, d: C.q_movie_summary_sparse(s, d),
-    "split_report": lambda s, d: splits.split_report(ratings(s, d)),
+    "split_report": lambda s, d: C.q_split_report(s, d),
     "split_route": lambda s, d: C.q_split_route(s, d),
     "positional_zip": lambda s, d: C.q_positional_zip(s, d),
     "epoch_bias_model_k40": _epoch_k40,

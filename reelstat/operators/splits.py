@@ -38,11 +38,6 @@ def nonzero(ratings: DataFrame) -> DataFrame:
     return ratings.where(F.col("rating") != 0)
 
 
-def fill_missing_category(df: DataFrame) -> DataFrame:
-    """A row without an index line is train category 6."""
-    return df.withColumn("category", F.coalesce(F.col("category"), F.lit(MISSING_CATEGORY)).cast("int"))
-
-
 def split_report(sources: Mapping[str, DataFrame] | DataFrame) -> DataFrame:
     """G3 + U2: one report row per source: entries and counts per category label.
 

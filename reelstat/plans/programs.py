@@ -29,31 +29,26 @@ def split_job(spark: SparkSession, pairs: Sequence[tuple[str, str]], out: str, r
               fmt: str = "ratings_bin") -> DataFrame:
     """Entry 1: each (data, index) text pair → ``out/<n>.<split>`` record files + one report row each.
 
-    Pairs are read as one union (a ``source`` column) so the routing and the
-    report are one pass each; ``fmt='parquet'`` writes one table partitioned by
-    source and split instead (K1, one pass for all outputs).
+    Pairs are read as one union in one pass; ``fmt='parquet'`` writes one table partitioned by
+    pair and split instead (K1).
     """
-    parts = []
-    for n, (data, index) in enumerate(pairs):
-        parts.append(text.read_split_input(spark, data, index).withColumn("source", F.lit(str(data))).withColumn(
-            "pair", F.lit(n)))
+    parts = [text.read_split_input(spark, data, index).withColumn("pair", F.lit(n)) for n, (data, index) in enumerate(pairs)]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    routed = splits.route(u)
+    # one pass over the text into a table partitioned by (pair, split), rows that are routed nowhere
+    # included; the outputs and the report read only that table
+    staged = scratch_path(spark, "reelstat-tables", f"routed-{uuid.uuid4().hex}")
+    u.withColumn("split", F.coalesce(splits.split_of("category"), F.lit("none"))).write.partitionBy("pair", "split").parquet(staged)
+    table = spark.read.parquet(staged)
     if fmt == "parquet":
-        routed.write.mode("overwrite").partitionBy("pair", "split").parquet(out)
+        table.where(F.col("split") != "none").write.mode("overwrite").partitionBy("pair", "split").parquet(out)
     else:
-        # route once into a table partitioned by (pair, split) in the checkpoint folder; each
-        # record file then reads only its own partition instead of re-scanning the text
-        staged = scratch_path(spark, "reelstat-tables", f"routed-{uuid.uuid4().hex}")
-        routed.write.partitionBy("pair", "split").parquet(staged)
-        table = spark.read.parquet(staged)
         for n in range(len(pairs)):
             for s in SPLITS:
                 rows = table.where((F.col("pair") == n) & (F.col("split") == s)).orderBy("row_no")
                 binary.write_ratings_bin(rows, f"{out}/{n}.{s}")
-    rep = splits.split_report({str(d): part for (d, _), part in zip(pairs, parts)})
+    rep = splits.split_report({str(d): table.where(F.col("pair") == n) for n, (d, _) in enumerate(pairs)})
     splits.write_report(rep, report)
     return rep
 

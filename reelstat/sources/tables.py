@@ -61,14 +61,6 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_factors(spark: SparkSession, model_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{model_dir.rstrip('/')}/user_factors")
-
-
-def movie_factors(spark: SparkSession, model_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{model_dir.rstrip('/')}/movie_factors")
-
-
 def write_ordered(ratings: DataFrame, path: str, order=("movie_id", "user_id", "date"), fmt: str = "parquet",
                   partitions: int | None = None) -> None:
     """Store the table in one physical order (movie-major ``mu`` or user-major ``um``).
