@@ -1,9 +1,11 @@
 """From candidate buckets to classes: verified links and distributed union-find, in DataFrame functions.
 
-Within a bucket every member is first compared with one of them only (its pivot), so that a large group
-costs as many comparisons as it has members. Members of a bucket that ended in different classes
-may still have links of their own: those pairs, and no others, are compared in a second
-pass. After it every pair that shares a bucket has been compared or is known to be in one class.
+Members of a bucket are compared with its hub, the member that meets most others over all
+its buckets (the text that many near copies come from): a large group costs as many comparisons as it has
+members. Then only buckets whose members lie in different classes are looked at again. Up to ``SMALL_BUCKET`` members,
+every pair of different classes is compared. In a larger one the hub of those outside the first hub's class is
+compared with all of other classes, in up to ``rounds`` rounds, as long as a round brings links. So no pairs of a whole
+large group are ever listed; a link of two members of large buckets only is found if one of them is a hub.
 """
 
 from __future__ import annotations
@@ -59,45 +61,67 @@ def shared_buckets(rows: DataFrame, id_col: str = "id") -> DataFrame:
     return rows.join(small(buckets), "h")
 
 
-def link_classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_ratio: float) -> tuple[DataFrame, DataFrame]:
+SMALL_BUCKET = 16
+
+
+def _hubs(members: DataFrame, name: str) -> DataFrame:
+    """(h, hub, hub_label) of written members (h, id, label, degree): the greatest degree, then the greatest id."""
+    best = members.groupBy("h").agg(F.max(F.struct("degree", "id", "label")).alias("m"))
+    return written(best.select("h", F.col("m.id").alias("hub"), F.col("m.label").alias("hub_label")), name)
+
+
+def _relabelled(members: DataFrame, classes: DataFrame) -> DataFrame:
+    named = members.join(classes.withColumnRenamed("node", "id"), "id", "left")
+    return written(named.select("h", "id", "size", "degree", F.coalesce("root", "id").alias("label")), "labelled")
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Buckets with members of different classes: (h, n)."""
+    sums = members.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return written(sums.where("lo <> hi").select("h", "n"), "mixed-buckets")
+
+
+def _pairs(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def link_classes(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_ratio: float, rounds: int = 4
+) -> tuple[DataFrame, DataFrame]:
     """(links, classes) of written members (h, id, size).
 
     ``verify`` takes pairs (a, b) and keeps those that are similar. ``least_ratio`` is the
     smaller by the larger size that similar members have at least.
     """
-    pivots = written(members.groupBy("h").agg(F.min("id").alias("pivot")), "pivots")
-    star = written(
-        members.join(pivots, "h").where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(),
-        "star-pairs",
-    )
-    links = written(verify(star), "links")
+    sizes = members.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    degrees = members.join(sizes, "h").groupBy("id").agg(F.sum("n").alias("degree"))
+    members = written(members.join(degrees, "id").withColumn("label", F.col("id")), "degrees")
+    hubs = _hubs(members, "hubs")
+    done = written(members.join(hubs, "h").where("id <> hub").select(*_pairs("hub", "id")).distinct(), "pairs")
+    links = written(verify(done), "links")
     classes = components(links)
-    labelled = written(
-        members.join(classes.withColumnRenamed("node", "id"), "id", "left").select(
-            "h", "id", "size", F.coalesce("root", "id").alias("label")
-        ),
-        "labelled",
-    )
-    mixed = written(
-        labelled.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h"),
-        "mixed-buckets",
-    )
-    rest = labelled.join(mixed, "h")
-    left = rest.select("h", F.col("id").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"))
-    right = rest.select("h", F.col("id").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    close = (F.least("sx", "sy") >= F.lit(least_ratio) * F.greatest("sx", "sy")) & (F.col("lx") < F.col("ly"))
-    crossed = written(
-        left.join(right, "h")
-        .where(close)
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti"),
-        "cross-pairs",
-    )
-    if crossed.isEmpty():
-        return links, classes
-    more = written(verify(crossed), "links")
-    if more.isEmpty():
-        return links, classes
-    links = links.unionByName(more)
-    return links, components(links)
+    members = _relabelled(members, classes)
+    mixed = _mixed(members)
+    few = members.join(mixed.where(F.col("n") <= SMALL_BUCKET).select("h"), "h")
+    left = few.select("h", F.col("id").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"))
+    right = few.select("h", F.col("id").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
+    close = F.least("sx", "sy") >= F.lit(least_ratio) * F.greatest("sx", "sy")
+    wanted = left.join(right, "h").where(close & (F.col("lx") < F.col("ly"))).select(*_pairs("x", "y"))
+    for _ in range(rounds):
+        # the hub of a large bucket's members outside the class of the first hub, against all of other classes
+        many = members.join(mixed.where(F.col("n") > SMALL_BUCKET).select("h"), "h")
+        outside = many.join(_hubs(many, "hubs").select("h", "hub_label"), "h").where(F.col("label") != F.col("hub_label"))
+        again = many.join(_hubs(outside.drop("hub_label"), "outside-hubs"), "h").where(F.col("label") != F.col("hub_label"))
+        wanted = wanted.unionByName(again.select(*_pairs("hub", "id"))).distinct()
+        wanted = written(wanted.join(done, ["a", "b"], "left_anti"), "pairs")
+        if wanted.isEmpty():
+            return links, classes
+        more = written(verify(wanted), "links")
+        if more.isEmpty():
+            return links, classes
+        done, links = done.unionByName(wanted), links.unionByName(more)
+        classes = components(links)
+        members = _relabelled(members, classes)
+        mixed = _mixed(members)
+        wanted = wanted.limit(0)
+    return links, classes
