@@ -16,17 +16,20 @@ that are encoded each on its own; a worker keeps the ids of words it has met.
 from __future__ import annotations
 
 import re
+import string
 from array import array
 from collections import Counter
 from collections.abc import Callable
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SPACE = "▁"
-CACHED_WORDS = 200_000
+MARK = "▁"  # how pieces write a space; a text's own marks are spaces, too
+CACHED_WORDS = 400_000
 LONGEST_CACHED = 64
 
 
@@ -50,8 +53,8 @@ class Vocabulary:
             raise ValueError("a BPE model with byte fallback and the identity normaliser is needed")
         sp = SentencePieceProcessor(model_proto=model)
         n = sp.vocab_size()
-        self.prefix = SPACE if norm.add_dummy_prefix else ""
-        self.pieces = [sp.id_to_piece(i) for i in range(n)]
+        self.prefix = " " if norm.add_dummy_prefix else ""
+        self.pieces = [sp.id_to_piece(i).replace(MARK, " ") for i in range(n)]
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)}
@@ -59,7 +62,7 @@ class Vocabulary:
             raise ValueError("unused or user-defined pieces are not supported")
         self.id_of = {p: i for i, p in enumerate(self.pieces) if i not in special}
         self.score = {p: sp.get_score(i) for p, i in self.id_of.items()}
-        if any(SPACE in p.lstrip(SPACE) for p in self.id_of):
+        if any(" " in p.lstrip(" ") for p in self.id_of):
             raise ValueError("a piece has a space mark after another character")
         self.alphabet = set("".join(self.id_of))
         self.automaton = ahocorasick.Automaton()
@@ -67,7 +70,11 @@ class Vocabulary:
             self.automaton.add_word(p, i)
         self.automaton.make_automaton()
         apart = "" if "\n" in self.alphabet else "\n"
-        self.words = re.compile(f"{SPACE}+[^{SPACE}{apart}]*|[^{SPACE}{apart}]+" + (f"|{apart}" if apart else "")).findall
+        self.words = re.compile(f" +[^ {apart}]*|[^ {apart}]+" + (f"|{apart}" if apart else "")).findall
+        # no piece has such a character after a letter: there a word falls into parts of their own
+        after_letter = {p[k] for p in self.id_of for k in range(1, len(p)) if p[k - 1].isalpha()}
+        marks = "".join(re.escape(c) for c in string.punctuation if c not in after_letter)
+        self.parts = re.compile(rf"(?<=[^\W\d_])(?=[{marks}])").split if marks else lambda word: [word]
         counts = Counter(self.score.values())
         self.tied = {p for p in self.id_of if counts[self.score[p]] > 1 and len(p) > 1}
         self.sizes = [len(p) for p in self.pieces]
@@ -77,7 +84,7 @@ class Vocabulary:
         # decoding: the bytes of every id; control ids give nothing, the unknown id its surface
         unknown = sp.unk_id()
         surface = proto.trainer_spec.unk_surface
-        self.out = [b"" if sp.is_control(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        self.out = [b"" if sp.is_control(i) else p.encode() for i, p in enumerate(self.pieces)]
         self.out[unknown] = surface.encode()
         for i, b in self.byte_of.items():
             self.out[i] = bytes([b])
@@ -114,7 +121,7 @@ class Vocabulary:
         if len(self.pairs) > 1_000_000:
             self.pairs.clear()
         a, b = self.pieces[left], self.pieces[right]
-        known = self.pairs[left << 32 | right] = self.joined(b) is not None and self._apart(a, b)
+        known = self.pairs[left * len(self.sizes) + right] = self.joined(b) is not None and self._apart(a, b)
         return known
 
     def _apart(self, left: str, right: str) -> bool:
@@ -134,22 +141,26 @@ class Vocabulary:
             else:
                 before, on_right, b = score[b], True, self.joined(b)[0]
 
-    def encode_word(self, word: str) -> array:
+    def encode_word(self, word: str) -> bytes:
+        """The ids of one word, as 32-bit numbers one after the other."""
         last = [-1] * (len(word) + 1)  # the last token of each prefix; -1: none of the vocabulary
-        pairs, alone, sizes = self.pairs, self.alone, self.sizes
-        for end, token in self.automaton.iter(word):
-            if last[end + 1] < 0:
-                before = last[end + 1 - sizes[token]]
-                if before < 0:
-                    fits = alone.get(token)
-                    if fits is None:
-                        fits = alone[token] = self.joined(self.pieces[token]) is not None
-                else:
-                    fits = pairs.get(before << 32 | token)
-                    if fits is None:
-                        fits = self.follows(before, token)
-                if fits:
-                    last[end + 1] = token
+        pairs, alone, sizes, n, known = self.pairs, self.alone, self.sizes, len(self.sizes), 0
+        for end, token in self.automaton.iter(word):  # ends rise; the longest piece of an end comes first
+            end += 1
+            if end == known:
+                continue
+            before = last[end - sizes[token]]
+            if before < 0:
+                fits = alone.get(token)
+                if fits is None:
+                    fits = alone[token] = self.joined(self.pieces[token]) is not None
+            else:
+                fits = pairs.get(before * n + token)
+                if fits is None:
+                    fits = self.follows(before, token)
+            if fits:
+                last[end] = token
+                known = end
         back, end = [], len(word)
         while end:
             token = last[end]
@@ -160,25 +171,23 @@ class Vocabulary:
                 back.append(token)
                 end -= sizes[token]
         back.reverse()
-        return array("i", back)
+        return array("i", back).tobytes()
 
-    def encode_into(self, text: str, flat: array) -> None:
-        if text:
-            ids = self.ids
-            for word in self.words(self.prefix + text.replace(" ", SPACE)):
-                flat.extend(ids[word])
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids of a text, as 32-bit numbers one after the other."""
+        if not text:
+            return b""
+        return b"".join(map(self.ids.__getitem__, self.words(self.prefix + text.replace(MARK, " "))))
 
     def encode(self, text: str) -> list[int]:
-        flat = array("i")
-        self.encode_into(text, flat)
-        return flat.tolist()
+        return np.frombuffer(self.encode_bytes(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         """What the library's decode gives: one leading space mark is the added one; broken bytes give U+FFFD each."""
         out = self.out
         raw = b"".join([out[i] for i in ids])
         first = next((i for i in ids if i not in self.control), None)
-        if self.prefix and first is not None and self.pieces[first].startswith(SPACE):
+        if self.prefix and first is not None and self.pieces[first].startswith(" "):
             raw = raw[1:]
         if self.control.isdisjoint(ids):
             try:
@@ -207,7 +216,7 @@ class Vocabulary:
             if i is not None:
                 parts.append(self.out[i].decode())
         text = "".join(parts)
-        return text[1:] if self.prefix and first is not None and self.pieces[first].startswith(SPACE) else text
+        return text[1:] if self.prefix and first is not None and self.pieces[first].startswith(" ") else text
 
 
 class Words(dict):
@@ -215,12 +224,16 @@ class Words(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.old: dict[str, array] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> array:
+    def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = self.vocabulary.encode_word(word)
+            parts = self.vocabulary.parts(word)
+            if len(parts) == 1:
+                ids = self.vocabulary.encode_word(word)
+            else:
+                ids = b"".join([self[part] for part in parts])
         if len(word) <= LONGEST_CACHED:
             if len(self) >= CACHED_WORDS:
                 self.old = dict(self)
@@ -245,16 +258,17 @@ def _codecs(spark: SparkSession, model_path: str) -> tuple[Callable[[Column], Co
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        vocabulary, flat, ends = _vocabulary(model.value), array("i"), array("i", [0])
-        for text in texts:
-            vocabulary.encode_into(text.as_py() or "", flat)
-            ends.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+        vocabulary = _vocabulary(model.value)
+        coded = [vocabulary.encode_bytes(text.as_py() or "") for text in texts]
+        ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
         vocabulary = _vocabulary(model.value)
-        return pa.array([vocabulary.decode(x.values.to_pylist() if x.is_valid else []) for x in ids], pa.string())
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)).tolist()
+        return pa.array([vocabulary.decode(flat[a:b].tolist()) for a, b in zip([0, *ends], ends)], pa.string())
 
     return encode, decode
 
