@@ -21,13 +21,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """A number for each word ``[^\\x20\\x09-\\x0D]+`` of the texts, and the index of its text."""
+    return word_spans(texts)[:2]
+
+
+def word_spans(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """``word_numbers``, the first and the next byte of each word, and the bytes they are places in."""
     coded = [t.encode("utf-8", "surrogatepass") for t in texts]
-    raw = np.frombuffer(b" ".join(coded) + b" ", np.uint8)
+    data = b" ".join(coded) + b" "
+    raw = np.frombuffer(data, np.uint8)
     space = _SPACE[raw]
     edge = np.flatnonzero(np.diff(space.view(np.int8), prepend=1))
     starts, ends = edge[0::2], edge[1::2]  # a space stands before the first byte and after the last
     if not len(starts):
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), starts, ends, data
     power = np.full(len(raw), _BASE, np.uint64)
     power[0] = 1
     power = np.cumprod(power)
@@ -37,7 +43,7 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.cumprod(inverse)
     numbers = mix((sums[ends] - sums[starts]) * inverse[starts])
     text_ends = np.cumsum([len(c) + 1 for c in coded])
-    return numbers, np.searchsorted(text_ends, starts, side="right")
+    return numbers, np.searchsorted(text_ends, starts, side="right"), starts, ends, data
 
 
 def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
