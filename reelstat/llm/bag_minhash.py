@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.common import docs_of, written
 from reelstat.llm.linking import link_classes, shared_buckets, small
-from reelstat.llm.shingles import WORDS, counted, mix, overlaps, shingles
+from reelstat.llm.shingles import WORDS, counted, mix, occurrences, overlaps, shingles
 
 SIMILARITY = 0.8
 BANDS = 32
@@ -105,6 +105,19 @@ def sign(docs: DataFrame) -> DataFrame:
     )
 
 
+def occurrence_tokens(texts: DataFrame) -> DataFrame:
+    """(id, token): the numbers of the occurrences of the word shingles of (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for a, b in _chunks(texts):
+                owner, number = occurrences(texts[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][owner]), pa.array(number.view(np.int64))], names=["id", "token"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "id long, token long")
+
+
 def overlap(left: Column, right: Column) -> Column:
     """Exact multiset Jaccard similarity of two texts' word shingles."""
 
@@ -141,7 +154,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         scored = pairs.join(a, "a").join(b, "b").select("a", "b", overlap(F.col("text_a"), F.col("text_b")).alias("s"))
         return scored.where(F.col("s") >= SIMILARITY).select("a", "b")
 
-    links, classes = link_classes(members, verify, SIMILARITY)
+    def tokens(ids: DataFrame) -> DataFrame:
+        return occurrence_tokens(texts.join(small(ids), F.col("doc_id") == F.col("id"), "left_semi"))
+
+    links, classes = link_classes(members, verify, SIMILARITY, tokens=tokens)
     ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
     degrees = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     placed = (

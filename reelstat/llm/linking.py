@@ -3,9 +3,11 @@
 Members of a bucket are compared with its hub, the member that meets most others over all
 its buckets (the text that many near copies come from): a large group costs as many comparisons as it has
 members. Then only buckets whose members lie in different classes are looked at again. Up to ``SMALL_BUCKET`` members,
-every pair of different classes is compared. In a larger one the hub of those outside the first hub's class is
-compared with all of other classes, in up to ``rounds`` rounds, as long as a round brings links. So no pairs of a whole
-large group are ever listed; a link of two members of large buckets only is found if one of them is a hub.
+every pair of different classes is compared. In a larger one the hub of those outside the first hub's class that was
+not tried yet is compared with all of other classes, in up to ``rounds`` rounds, as long as a round brings links.
+Members of large buckets that still are of different classes then meet in an exact prefix-filter join: by their rarest tokens, of which
+similar sets share one, and only where the places of a shared token leave room for the similarity. So no pairs of a
+whole large group are listed, and every link of two members of a bucket is found.
 """
 
 from __future__ import annotations
@@ -85,13 +87,49 @@ def _pairs(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _prefix_pairs(unresolved: DataFrame, tokens: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """Pairs (a, b) of written (id, size, label) of different classes that hold all of Jaccard ``similarity`` or more.
+
+    Tokens are put in the order of their frequency. Sets with so much in common share one of their first
+    size - similarity * size + 1 tokens; what comes before and after it bounds what they can have in common.
+    """
+    listed = written(tokens(unresolved.select("id")), "tokens")
+    met = listed.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sets = (
+        listed.join(met, "token", "left")
+        .groupBy("id")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("set"))
+        .join(unresolved, "id")
+    )
+    first = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
+    prefixes = (
+        sets.select("id", "size", "label", F.posexplode(F.slice("set", F.lit(1), first.cast("int"))).alias("place", "t"))
+        .where("t.n > 1")
+        .select("id", "size", "label", "place", F.col("t.token").alias("token"))
+    )
+    prefixes = written(prefixes, "prefixes")
+    mixed = prefixes.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
+    prefixes = prefixes.join(mixed, "token")
+    left = prefixes.select("token", F.col("id").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"), F.col("place").alias("px"))
+    right = prefixes.select("token", F.col("id").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"), F.col("place").alias("py"))
+    common = F.least("px", "py") + F.least(F.col("sx") - F.col("px"), F.col("sy") - F.col("py"))
+    enough = common >= similarity / (1 + similarity) * (F.col("sx") + F.col("sy")) - 1e-9
+    return left.join(right, "token").where((F.col("lx") < F.col("ly")) & enough).select(*_pairs("x", "y")).distinct()
+
+
 def link_classes(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], least_ratio: float, rounds: int = 4
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    least_ratio: float,
+    rounds: int = 4,
+    *,
+    tokens: Callable[[DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
     """(links, classes) of written members (h, id, size).
 
-    ``verify`` takes pairs (a, b) and keeps those that are similar. ``least_ratio`` is the
-    smaller by the larger size that similar members have at least.
+    ``verify`` takes pairs (a, b) and keeps those that are similar. ``least_ratio`` is the least Jaccard
+    similarity of these, so also the smaller by the larger size that similar members have at least. ``tokens`` takes ids (id)
+    and gives the different tokens (id, token) of their sets, ``size`` of each.
     """
     sizes = members.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     degrees = members.join(sizes, "h").groupBy("id").agg(F.sum("n").alias("degree"))
@@ -107,21 +145,35 @@ def link_classes(
     right = few.select("h", F.col("id").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
     close = F.least("sx", "sy") >= F.lit(least_ratio) * F.greatest("sx", "sy")
     wanted = left.join(right, "h").where(close & (F.col("lx") < F.col("ly"))).select(*_pairs("x", "y"))
+    tried = hubs.select("h", F.col("hub").alias("id"))
     for _ in range(rounds):
-        # the hub of a large bucket's members outside the class of the first hub, against all of other classes
+        # the next hub of a large bucket's members outside the class of the first hub, against all of other classes
         many = members.join(mixed.where(F.col("n") > SMALL_BUCKET).select("h"), "h")
         outside = many.join(_hubs(many, "hubs").select("h", "hub_label"), "h").where(F.col("label") != F.col("hub_label"))
-        again = many.join(_hubs(outside.drop("hub_label"), "outside-hubs"), "h").where(F.col("label") != F.col("hub_label"))
+        fresh = _hubs(outside.drop("hub_label").join(tried, ["h", "id"], "left_anti"), "outside-hubs")
+        tried = tried.unionByName(fresh.select("h", F.col("hub").alias("id")))
+        again = many.join(fresh, "h").where(F.col("label") != F.col("hub_label"))
         wanted = wanted.unionByName(again.select(*_pairs("hub", "id"))).distinct()
         wanted = written(wanted.join(done, ["a", "b"], "left_anti"), "pairs")
         if wanted.isEmpty():
-            return links, classes
+            break
+        done = done.unionByName(wanted)
         more = written(verify(wanted), "links")
+        wanted = wanted.limit(0)
         if more.isEmpty():
-            return links, classes
-        done, links = done.unionByName(wanted), links.unionByName(more)
+            break
+        links = links.unionByName(more)
         classes = components(links)
         members = _relabelled(members, classes)
         mixed = _mixed(members)
-        wanted = wanted.limit(0)
-    return links, classes
+    unresolved = written(
+        members.join(mixed.where(F.col("n") > SMALL_BUCKET).select("h"), "h").select("id", "size", "label").distinct(), "unresolved"
+    )
+    if unresolved.isEmpty():
+        return links, classes
+    last = written(_prefix_pairs(unresolved, tokens, least_ratio).join(done, ["a", "b"], "left_anti"), "pairs")
+    more = written(verify(last), "links")
+    if more.isEmpty():
+        return links, classes
+    links = links.unionByName(more)
+    return links, components(links)

@@ -87,6 +87,17 @@ def counted(owners: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.nda
     return owners[first], numbers[first], np.diff(np.concatenate((first, [len(owners)])))
 
 
+def occurrences(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, number) of each shingle's every occurrence, the k-th of a shingle with a number of its own.
+
+    The multisets of shingles of two texts have as much in common as the sets of these numbers.
+    """
+    owner, number, weight = counted(*shingles(texts, words))
+    pick = np.repeat(np.arange(len(owner)), weight)
+    nth = np.arange(len(pick)) - np.repeat(np.cumsum(weight) - weight, weight)
+    return owner[pick], mix(number[pick] + mix(nth.astype(np.uint64) + np.uint64(1)))
+
+
 def overlaps(left: list[str], right: list[str], words: int = WORDS) -> np.ndarray:
     """Multiset Jaccard similarity of the word shingles of each pair of texts; two texts without words have 1."""
     n = len(left)

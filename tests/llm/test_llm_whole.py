@@ -6,7 +6,10 @@ import random
 import pytest
 
 from conftest import SF_SMALL
-from reelstat.llm import line_dedup
+from pyspark.sql import functions as F
+
+from reelstat.llm import line_dedup, linking, shingles
+from reelstat.llm.common import written
 from test_llm_brute import SPACE, union
 
 
@@ -56,3 +59,40 @@ def test_line_dedup_by_all_character_shingles(spark, source):
     root_of = dict(zip(lines, roots))
     kept = [(root_of[x], d) for d, t in got.items() for x in (y.lower().strip(SPACE) for y in t.split("\n")) if x]
     assert sorted(kept) == sorted(owner.items())
+
+
+def test_a_large_bucket_of_many_families(spark):
+    """Chains of near copies of five families, all in one bucket: no end of a chain is near its hub."""
+    rng = random.Random(5)
+    sets = {}
+    for family in range(5):
+        tokens = [1000 * family + k for k in range(40)] + [7_000_000 + k for k in range(10)]
+        for k in range(12):
+            tokens = [x if j != k * 3 % 40 and j != (k * 3 + 1) % 40 else rng.randrange(1 << 40) for j, x in enumerate(tokens)]
+            sets[100 * family + k] = frozenset(tokens)
+    find, join = union(len(sets))
+    ids = sorted(sets)
+    near = {(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    for a, b in near:
+        join(ids.index(a), ids.index(b))
+    table = written(spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, set array<long>"), "test-sets")
+    members = written(table.select(F.lit(1).cast("long").alias("h"), "id", F.size("set").alias("size")), "test-members")
+    similar = written(spark.createDataFrame(sorted(near), "a long, b long"), "test-similar")
+    _, classes = linking.link_classes(
+        members,
+        lambda pairs: pairs.join(similar, ["a", "b"], "left_semi"),
+        0.8,
+        2,
+        tokens=lambda wanted: table.join(wanted, "id").select("id", F.explode("set").alias("token")),
+    )
+    root = {r.node: r.root for r in classes.collect()}
+    assert {i: root.get(i, i) for i in ids} == {i: ids[find(k)] for k, i in enumerate(ids)}
+
+
+def test_occurrence_numbers_keep_the_multiset():
+    texts = ["a b c d e a b c d e a b c d e", "a b c d e a b c d e x", "short", ""]
+    owner, number = shingles.occurrences(texts)
+    sets = [set(number[owner == k]) for k in range(4)]
+    assert [len(s) for s in sets] == [11, 7, 1, 0]
+    common = len(sets[0] & sets[1])
+    assert common / (18 - common) == pytest.approx(shingles.overlaps(texts[:1], texts[1:2])[0])
