@@ -1,23 +1,23 @@
 """Main text of web pages by equivalence classes of template tokens.
 
-A token is an element's path (names with class or id words). Over all pages of a host each token
-has a vector of occurrences per page; tokens with equal vectors form an equivalence class. Vectors are never gathered:
-a commutative fingerprint of (page, count), the number of pages and the number of
-occurrences stand for them, so a host of any size is summed up by partial aggregates. A class is
-valid if it stands on at least half of the host's pages and each of its tokens lies inside an
-element whose own class is valid; the valid classes, nested by their paths, are the host's template.
+A token is an element's path (names with class or id words) or such a path with a block's own text. Over all different
+pages of a host each token has a vector of occurrences per page; tokens with equal vectors form an equivalence class.
+Vectors are never gathered: a commutative fingerprint of (page, count), the number of pages and the number of
+occurrences stand for them, so a host of any size is summed up by partial aggregates. A class has to stand on at least
+half of the host's pages. Its tokens are taken apart by the valid class that encloses them; of ``LEAST_TOKENS`` and more
+together they are valid, and the valid classes, nested so, are the host's template. Equal pages count as one.
 
 The slots of the template are what lies in its elements. Slots of menus, headers,
 footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are dropped; where the template has an
 article (or main) slot, the text is what that slot holds. On pages without one, all
-other slots are taken but for blocks whose own text recurs on half of the host's pages: these belong to the template.
+other slots are taken but for blocks whose own text is a token of a valid class: these belong to the template.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,8 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelstat.llm.common import written
+from reelstat.llm.linking import small
+
 LEAST_SHARE = 0.5  # of a host's pages that must hold a template token
 LEAST_PAGES = 2
+LEAST_TOKENS = 2  # of a valid class in one enclosing class: a token that recurs all alone is no template
 
 # Element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -194,42 +198,80 @@ def _shape(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
     )
 
 
-def token_vectors(shaped: DataFrame) -> DataFrame:
+def different_pages(shaped: DataFrame) -> DataFrame:
+    """(host, digest, html) of the different pages of each host; copies of a page say nothing of a template."""
+    digested = shaped.select("host", "html", F.md5("html").alias("digest"))
+    copies = written(digested.groupBy("host", "digest").count().where("count > 1").select("host", "digest"), "page-copies")
+    marked = digested.join(small(copies.withColumn("copied", F.lit(True))), ["host", "digest"], "left")
+    copied = marked.where("copied").dropDuplicates(["host", "digest"])
+    return marked.where("copied is null").unionByName(copied).drop("copied")
+
+
+def token_vectors(different: DataFrame) -> DataFrame:
     """(host, token): pages, occurrences and the fingerprint of the token's occurrence vector."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hosts, pages, tokens, counts = [], [], [], []
-            for page_id, page, host in zip(batch.column(0), batch.column(1), batch.column(2)):
+            for digest, page, host in zip(batch.column(0), batch.column(1), batch.column(2)):
                 for token, n in page_tokens(page.as_py()).items():
                     hosts.append(host.as_py())
-                    pages.append(page_id.as_py())
+                    pages.append(digest.as_py())
                     tokens.append(token)
                     counts.append(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(pages, pa.int64()), pa.array(tokens, pa.string()), pa.array(counts, pa.int64())],
-                names=["host", "page_id", "token", "n"],
+                [pa.array(hosts, pa.string()), pa.array(pages, pa.string()), pa.array(tokens, pa.string()), pa.array(counts, pa.int64())],
+                names=["host", "digest", "token", "n"],
             )
 
-    counted = shaped.select("page_id", "html", "host").mapInArrow(count, "host string, page_id long, token string, n long")
+    counted = different.select("digest", "html", "host").mapInArrow(count, "host string, digest string, token string, n long")
     return counted.groupBy("host", "token").agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum("n").alias("occurrences"),
-        F.bit_xor(F.xxhash64("page_id", "n")).alias("vector"),
+        F.bit_xor(F.xxhash64("digest", "n")).alias("vector"),
     )
 
 
 def templates(shaped: DataFrame) -> DataFrame:
-    """(host, template): the tokens of the host's valid equivalence classes."""
-    vectors = token_vectors(shaped)
-    sizes = shaped.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    """(host, classes): the tokens of each of the host's frequent equivalence classes."""
+    different = different_pages(shaped)
+    vectors = token_vectors(different)
+    sizes = different.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
     frequent = vectors.join(sizes, "host").where(
         (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
     )
-    classes = frequent.groupBy("host", "pages", "occurrences", "vector").agg(F.collect_set("token").alias("members"))
+    classes = frequent.groupBy("host", "pages", "occurrences", "vector").agg(F.array_sort(F.collect_set("token")).alias("members"))
     # tokens on half of the pages: no more of them than two average pages have, whatever the host's size
-    per_host = classes.groupBy("host").agg(F.collect_list("members").alias("classes"))
-    return per_host.select("host", F.transform(F.flatten("classes"), lambda t: t).alias("candidates"))
+    return classes.groupBy("host").agg(F.array_sort(F.collect_list("members")).alias("classes"))
+
+
+def _enclosing(token: str):
+    """The paths of the elements around a token, innermost first."""
+    path, text, _ = token.partition("#")
+    if not text:
+        path = path.rpartition("/")[0]
+    while path:
+        yield path
+        path = path.rpartition("/")[0]
+
+
+def template_of(classes: list[list[str]]) -> frozenset[str]:
+    """The tokens of the valid classes.
+
+    A class lies in the slots of the classes that enclose it. Tokens of one class that lie in different valid classes are
+    taken apart, and fewer than ``LEAST_TOKENS`` in one are no class; this is repeated until nothing changes.
+    """
+    frequent = nested([token for members in classes for token in members])
+    valid = {token: number for number, members in enumerate(classes) for token in members if token in frequent}
+    before = -1
+    while len(valid) != before:
+        before = len(valid)
+        parts = defaultdict(list)
+        for token, number in valid.items():
+            around = (valid[p] for p in _enclosing(token) if valid.get(p, number) != number)
+            parts[number, next(around, -1)].append(token)
+        valid = {token: number for (number, _), part in parts.items() if len(part) >= LEAST_TOKENS for token in part}
+    return frozenset(valid)
 
 
 def nested(candidates: list[str]) -> frozenset[str]:
@@ -254,18 +296,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     host's template by a join whose form Spark chooses by the templates' size, so a host of any share of the pages can be split.
     """
     shaped = _shape(pages, id_col, url_col, html_col)
-    met = shaped.join(templates(shaped), "host", "left").select("page_id", "url", "html", "candidates")
+    met = shaped.join(templates(shaped), "host", "left").select("page_id", "url", "html", "classes")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[str, ...], frozenset[str]] = {}
+        known: dict[tuple[tuple[str, ...], ...], frozenset[str]] = {}
         for batch in batches:
             texts = []
-            for page, candidates in zip(batch.column(2), batch.column(3)):
-                key = tuple(sorted(candidates.as_py() or ()))
+            for page, classes in zip(batch.column(2), batch.column(3)):
+                key = tuple(map(tuple, classes.as_py() or ()))
                 if key not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[key] = nested(list(key))
+                    known[key] = template_of(list(key))
                 texts.append(main_text(page.as_py(), known[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],

@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from reelstat.llm import line_dedup, linking, shingles
+from reelstat.llm import html_extract, line_dedup, linking, shingles
 from reelstat.llm.common import written
 from test_llm_brute import SPACE, union
 
@@ -96,3 +96,25 @@ def test_occurrence_numbers_keep_the_multiset():
     assert [len(s) for s in sets] == [11, 7, 1, 0]
     common = len(sets[0] & sets[1])
     assert common / (18 - common) == pytest.approx(shingles.overlaps(texts[:1], texts[1:2])[0])
+
+
+def test_tokens_of_equal_share_count_as_template_by_their_vectors(spark):
+    """Two texts on half of a host's pages: template where they stand on the same pages, else content."""
+    body = "<html><body><div>own {0}</div>{1}</body></html>"
+    first, second = "<div>Text one</div>", "<div>Text two</div>"
+    together = [body.format(k, (first + second) if k < 3 else "") for k in range(6)]
+    apart = [body.format(k, first * (k < 3) + second * (k > 2)) for k in range(6)]
+    copies = ["<html><body><div>All of it</div></body></html>"] * 2
+    data = [(10 * h + k, f"http://h{h}/{k}", x) for h, pages in enumerate((together, apart, copies)) for k, x in enumerate(pages)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(6)] == [f"own {k}" for k in range(6)]
+    assert [got[10 + k] for k in range(6)] == [f"own {k}\nText {'one' if k < 3 else 'two'}" for k in range(6)]
+    assert got[20] == got[21] == "All of it"
+
+
+def test_classes_are_nested_by_their_enclosing_class():
+    page = ["/html", "/html/body", "/html/body/ul", "/html/body/div.a"]
+    assert html_extract.template_of([page, ["/html/body/ul/li", "/html/body/div.a/p"]]) == frozenset([*page, "/html/body/ul/li", "/html/body/div.a/p"])
+    box = ["/html/body/div.a/b", "/html/body/div.a/b/i"]
+    far = ["/html/body/div.a/b/i/u", "/html/body/ul/li"]
+    assert html_extract.template_of([page, box, far]) == frozenset([*page, *box])
