@@ -59,6 +59,24 @@ _markup = re.compile(
 )
 _attribute = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _name_words = re.compile(r"[a-z]+").findall
+# what may stand beside a dropped word in one class token; any other word makes it another thing (ad-free, has-sidebar)
+QUALIFIERS = frozenset(
+    "area bar block bottom box container content desktop first global inner item items last left links list main mobile outer "
+    "page post primary right secondary section site slot sub top widget widgets wrap wrapper".split()
+)
+# kinds of content: articles in them are no page's main text, whatever else is there
+OWN_CONTENT = frozenset("comment comments disqus promo promoted related replies respond sponsored".split())
+
+
+def _role_main(attributes: str) -> bool:
+    found = _attribute.findall(attributes) if attributes and "=" in attributes else ()
+    return any(kind.lower() == "role" and next((v for v in values if v), "").lower().strip() in MAIN for kind, *values in found)
+
+
+def _says(token: str, words: frozenset[str]) -> bool:
+    """Whether a whole class token or id names one of ``words``."""
+    parts = _name_words(token)
+    return not words.isdisjoint(parts) and all(w in words or w in DROPPED_WORDS or w in QUALIFIERS for w in parts)
 
 
 class Block:
@@ -75,14 +93,16 @@ class Block:
 
 
 class Element:
-    __slots__ = ("name", "path", "dropped", "article")
+    """An open element. ``wrappers``: its number and those of the elements around it that are dropped but may be spared, None if one may not."""
+
+    __slots__ = ("name", "path", "dropped", "article", "wrappers", "mixed")
 
-    def __init__(self, name: str, path: str, dropped: bool, article: str | None):
-        self.name, self.path, self.dropped, self.article = name, path, dropped, article
+    def __init__(self, name: str, path: str, dropped: bool, article: str | None, wrappers: tuple[int, ...] | None = (), mixed: bool = False):
+        self.name, self.path, self.dropped, self.article, self.wrappers, self.mixed = name, path, dropped, article, wrappers, mixed
 
 
-def _child(parent: Element, name: str, attributes: str) -> Element:
-    words, role = [], ""
+def _child(parent: Element, name: str, attributes: str, number: int = -1, spared: frozenset[int] = frozenset()) -> Element:
+    words, role, names = [], "", []
     if attributes and "=" in attributes:
         for kind, *values in _attribute.findall(attributes):
             value = next((v for v in values if v), "").lower()
@@ -90,17 +110,41 @@ def _child(parent: Element, name: str, attributes: str) -> Element:
                 role = value.strip()
             else:
                 words += _name_words(value)
+                names += value.split()
     token = name + "".join(f".{w}" for w in words)
-    dropped = parent.dropped or name in DROPPED or role in DROPPED_ROLES or not DROPPED_WORDS.isdisjoint(words)
-    if parent.article is None and (name in OUTSIDE_ARTICLE or not OUTSIDE_ARTICLE.isdisjoint(words)):
-        dropped = True
     path = f"{parent.path}/{token}"
+    named = [n for n in names if _says(n, DROPPED_WORDS) or parent.article is None and _says(n, OUTSIDE_ARTICLE)]
+    by_name = name in DROPPED or parent.article is None and name in OUTSIDE_ARTICLE
+    drop = (by_name or role in DROPPED_ROLES or bool(named)) and name not in ("html", "body") and number not in spared
+    wrappers, mixed = parent.wrappers, False
+    if drop:
+        fixed = by_name and name != "form" or any(_says(n, OWN_CONTENT) for n in named)
+        wrappers = None if fixed or wrappers is None else (*wrappers, number)
+        mixed = name == "form" or len(named) < len(names)
+    dropped = parent.dropped or drop
     article = parent.article or (path if (name in MAIN or role in MAIN) and not dropped else None)
-    return Element(name, path, dropped, article)
+    return Element(name, path, dropped, article, wrappers, mixed)
 
 
 def parse(page: str) -> tuple[Counter, list[Block]]:
-    """Counts of the page's element tokens, and its text blocks in order. Character references are decoded."""
+    """Counts of the page's element tokens, and its text blocks in order. Character references are decoded.
+
+    Elements that would be dropped by class, id or role, and forms, are spared where they wrap the page: where its only articles
+    (or main) lie in them, or else where no text is left and they are forms or have other class names, too.
+    """
+    tokens, blocks, around_main, mixed = _parse(page, frozenset())
+    if all(b.dropped or b.article is None for b in blocks) and around_main:
+        tokens, blocks, _, _ = _parse(page, around_main)
+    elif mixed and all(b.dropped for b in blocks):
+        tokens, blocks, _, _ = _parse(page, mixed)
+    return tokens, blocks
+
+
+def _parse(page: str, spared: frozenset[int]) -> tuple[Counter, list[Block], frozenset[int], frozenset[int]]:
+    """Tokens and blocks, the numbers of dropped elements around articles and of those that may be wrappers by their names."""
+    around_main: set[int] = set()
+    mixed: set[int] = set()
+    number = 0
     tokens: Counter = Counter()
     stack = [Element("", "", False, None)]
     blocks: list[Block] = []
@@ -141,7 +185,13 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
                     if stack[k].name == name == "li":
                         del stack[k:]
                     break
-        element = _child(stack[-1], name, attributes)
+        element = _child(stack[-1], name, attributes, number, spared)
+        number += 1
+        if element.wrappers:
+            if name in MAIN or _role_main(attributes):
+                around_main.update(element.wrappers)
+            if element.mixed and element.wrappers[-1] == number - 1:
+                mixed.add(number - 1)
         tokens[element.path] += 1
         if name in BLOCK or name in RAW or element.dropped != stack[-1].dropped or element.article != stack[-1].article:
             block = None
@@ -157,7 +207,7 @@ def parse(page: str) -> tuple[Counter, list[Block]]:
             continue
         if not attributes.rstrip().endswith("/") or name in BLOCK:
             stack.append(element)
-    return tokens, [b for b in blocks if b.text]
+    return tokens, [b for b in blocks if b.text], frozenset(around_main), frozenset(mixed)
 
 
 def _text_key(path: str, text: str) -> str:

@@ -118,3 +118,26 @@ def test_classes_are_nested_by_their_enclosing_class():
     box = ["/html/body/div.a/b", "/html/body/div.a/b/i"]
     far = ["/html/body/div.a/b/i/u", "/html/body/ul/li"]
     assert html_extract.template_of([page, box, far]) == frozenset([*page, *box])
+
+
+@pytest.mark.parametrize("wrapped", [
+    "<body class='has-sidebar'>{}</body>",
+    "<body class='no-sidebar modal menu'>{}</body>",
+    "<body><div class='navbar-fixed ad-free'>{}</div></body>",
+    "<body><div class='page social-share'>{}</div></body>",
+    "<body><form id=aspnetForm>{}</form></body>",
+    "<body><form><div class='widget social'>{}</div></form></body>",
+])
+@pytest.mark.parametrize("article", ["article", "article class='ad-free'", "article class=social", "div role=main", None])
+def test_wrappers_of_the_page_are_kept(wrapped, article):
+    menu = "<nav>Home</nav><div class='site-footer'>imprint</div><div class=comments><article>reply</article></div>"
+    main = f"<{article}><p>Main text</p></{article.split()[0]}>" if article else "<p>Main text</p>"
+    if article is None and "widget social" in wrapped:
+        pytest.skip("nothing but dropped names around the text")
+    assert html_extract.main_text("<html>" + wrapped.format(menu + main), frozenset()) == "Main text"
+
+
+def test_dropped_elements_stay_dropped():
+    for inside in ("<div class=menu>m</div>", "<div id='cookie-notice'>c</div>", "<div class='main-nav left'>n</div>", "<aside><article>a</article></aside>"):
+        assert html_extract.main_text(f"<body>{inside}<p>Text</p>", frozenset()) == "Text"
+        assert html_extract.main_text(f"<body>{inside}<article>Text</article>", frozenset()) == "Text"
