@@ -2,7 +2,7 @@
 
 1. Document frequencies of all template words are counted over the whole corpus.
 2. Each template is indexed under its ``RARE_PER_TEMPLATE`` words of highest IDF, with their positions.
-3. A file looks up the ``RARE_PER_FILE`` highest-IDF index words that it has; each place of such a
+3. A file looks up all index words that it has (the templates bound their number); each place of such a
    word and each posting of it vote for (template, place of the template's first word).
 4. Where enough different places of one template agree, its mandatory key phrases
    must also stand in the file; then the file gets the template's label.
@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import docs_of, lower_ascii
@@ -60,7 +60,6 @@ TEMPLATES = (
 )
 
 RARE_PER_TEMPLATE = 4
-RARE_PER_FILE = 12
 LEAST_SHARE = 0.5  # of a template's indexed places that must agree on where it starts
 
 
@@ -149,12 +148,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         .select("doc_id", present.alias("present"), F.posexplode("words").alias("place", "term"))
         .where(F.col("term").isin(vocabulary))
     )
-    weight = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, idf[w])])
-    rarest = F.dense_rank().over(Window.partitionBy("doc_id").orderBy(F.desc(weight[F.col("term")]), "term"))
     votes = (
-        places.withColumn("nth", rarest)
-        .where(F.col("nth") <= RARE_PER_FILE)
-        .join(index, "term")
+        places.join(index, "term")
         .groupBy("doc_id", "present", "template", (F.col("place") - F.col("at")).alias("start"))
         .agg(F.count_distinct("at").alias("agreeing"), F.sum("weight").alias("weight"))
     )

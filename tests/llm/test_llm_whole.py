@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from reelstat.llm import html_extract, line_dedup, linking, shingles
+from reelstat.llm import html_extract, license_scan, line_dedup, linking, shingles
 from reelstat.llm.common import written
 from test_llm_brute import SPACE, union
 
@@ -141,3 +141,13 @@ def test_dropped_elements_stay_dropped():
     for inside in ("<div class=menu>m</div>", "<div id='cookie-notice'>c</div>", "<div class='main-nav left'>n</div>", "<aside><article>a</article></aside>"):
         assert html_extract.main_text(f"<body>{inside}<p>Text</p>", frozenset()) == "Text"
         assert html_extract.main_text(f"<body>{inside}<article>Text</article>", frozenset()) == "Text"
+
+
+def test_a_file_of_many_licenses_gets_every_label(spark):
+    """All templates word for word in one file; in another, one of them among the words of all others."""
+    notices = "\n\n".join(f"Part {k}: {text}." for k, (_, text, _) in enumerate(license_scan.TEMPLATES))
+    others = " ".join(sorted({w for _, text, _ in license_scan.TEMPLATES for w in text.split()}, reverse=True))
+    data = [(1, notices), (2, others + "\n" + license_scan.TEMPLATES[7][1]), (3, "plain text")]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[1].labels == ",".join(sorted({label for label, _, _ in license_scan.TEMPLATES}))
+    assert "cc-by-sa" in got[2].labels.split(",") and got[3].labels == ""
