@@ -28,7 +28,7 @@ DISCOUNT_FLOOR = 0.05
 # bound of the training sample: this many whole documents per language, about this many characters in all
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 12_000_000
-MAX_LANGUAGES = 200
+LEAST_CHARS = 1_000  # of a language, however many there are
 CALIBRATION_SHARE = 5  # every so many-th sampled document is held back for the rejection limit
 REJECT_SIGMAS = 8.0
 LEAST_DEVIATION = 0.15  # bits per character; keeps the limit clear of rare but clean prose
@@ -223,24 +223,27 @@ def fit(samples: dict[str, list[str]], order: int = ORDER) -> Models:
 
 
 def training_sample(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> dict[str, list[str]]:
-    """At most ``SAMPLE_DOCS`` labelled texts per language, those of the smallest id hashes, within ``SAMPLE_CHARS`` in all."""
+    """At most ``SAMPLE_DOCS`` labelled texts per language, those of the smallest id hashes, within ``SAMPLE_CHARS`` in all.
+
+    Every label has its equal part of these characters, ``LEAST_CHARS`` at least; a text longer than that gives its beginning.
+    """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h")
     )
     # the largest groups first thin themselves out by hash, so that few rows reach the ranking
     sizes = labelled.groupBy("lang").count()
-    many = {r["lang"]: r["count"] for r in sizes.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    many = {r["lang"]: r["count"] for r in sizes.collect()}
     if not many:
         return {}
+    each = max(LEAST_CHARS, SAMPLE_CHARS // len(many))
     share = F.create_map(*[F.lit(x) for lang, n in many.items() for x in (lang, min(1.0, 1.5 * SAMPLE_DOCS / n + 1e-9))])
     drawn = (
         labelled.withColumn("share", share[F.col("lang")])
         .where(F.col("share").isNotNull() & (F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30)))
-        .where(F.length("text") <= SAMPLE_CHARS // len(many))
+        .withColumn("text", F.substring("text", 1, each))
         .orderBy("h")
         .limit(int(1.6 * SAMPLE_DOCS * len(many)) + 100)
     )
-    each = SAMPLE_CHARS // len(many)
     out: dict[str, list[str]] = {}
     held: dict[str, int] = {}
     for row in drawn.select("lang", "text").toLocalIterator():
@@ -295,13 +298,13 @@ def predict(docs: DataFrame, models: Models | None, id_col: str = "doc_id", text
 
 
 def drop_rejected(docs: DataFrame, models: Models | None, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is not rejected, with all their columns. Without models every row is rejected."""
+    """The rows of ``docs`` whose text is not rejected, with all their columns. Without models a text needs a letter to stay."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
 
     @F.arrow_udf("boolean")
     def accepted(texts: pa.Array) -> pa.Array:
         if shared.value is None:
-            return pa.array([False] * len(texts), pa.bool_())
+            return pa.array([len(characters(t.as_py() or "")) > 0 for t in texts], pa.bool_())
         return pa.array(~shared.value.judge([characters(t.as_py() or "") for t in texts])[3], pa.bool_())
 
     return docs.where(accepted(F.col(text_col)))

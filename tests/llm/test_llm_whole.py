@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from reelstat.llm import html_extract, license_scan, line_dedup, linking, shingles
+from reelstat.llm import html_extract, langid, license_scan, line_dedup, linking, shingles
 from reelstat.llm.common import written
 from test_llm_brute import SPACE, union
 
@@ -151,3 +151,18 @@ def test_a_file_of_many_licenses_gets_every_label(spark):
     got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert got[1].labels == ",".join(sorted({label for label, _, _ in license_scan.TEMPLATES}))
     assert "cc-by-sa" in got[2].labels.split(",") and got[3].labels == ""
+
+
+def test_every_label_is_learned_and_no_label_rejects_nothing(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 300_000)
+    data = [(k, chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k), f"l{k:03}") for k in range(220)]
+    data += [(1000, "wort " * 1_000, "long")]
+    docs = spark.createDataFrame([(d, (t + " ") * 20, lang) for d, t, lang in data], "doc_id long, text string, lang string")
+    sample = langid.training_sample(docs)
+    assert set(sample) == {lang for _, _, lang in data}
+    assert all(len(t) <= 300_000 // 221 for texts in sample.values() for t in texts)
+    models = langid.learn(docs)
+    assert {r.doc_id: r.lang_pred for r in langid.predict(docs, models).collect()} == {d: lang for d, _, lang in data}
+    plain = spark.createDataFrame([(1, "Text", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert langid.learn(plain) is None
+    assert [r.doc_id for r in langid.drop_rejected(plain, None).collect()] == [1]
