@@ -79,3 +79,21 @@ def draw_key_sql(*parts: str) -> str:
 def basis_points(x: str | Column) -> Column:
     """floor(x·10000) as an integer."""
     return F.floor(col(x) * 10000).cast("long")
+
+
+def fixed(x: str | Column, digits: int) -> Column:
+    """``%.Nf`` of a double as C's printf gives it (F7): the binary value is rounded, exact ties to the even digit.
+
+    ``format_string`` rounds the shortest decimal text of the value half up. The two differ only where that text lies in
+    the middle of two results, j / (2·10^N) with an odd j; there the sign of the exact difference between j and the double
+    times 2·10^N decides. The double is taken apart into two numbers of few bits, whose products are exact.
+    """
+    v, scale = col(x), 2.0 * 10**digits
+    j = F.rint(v * scale)
+    high = v.cast("float").cast("double")
+    short = (j - high * scale) - (v - high) * scale   # > 0: the double is less than the middle
+    down, up = F.floor(j / 2), F.ceil(j / 2)
+    even = F.when(F.pmod(down, F.lit(2)) == 0, down).otherwise(up)
+    at = F.when(short > 0, down).when(short < 0, up).otherwise(even)
+    middle = (v == j / scale) & (F.pmod(j, F.lit(2.0)) == 1)
+    return F.format_string(f"%.{digits}f", F.when(middle, at / (scale / 2)).otherwise(v))

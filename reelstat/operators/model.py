@@ -89,8 +89,12 @@ def scored(ratings: DataFrame, model: DataFrame, mu: float | Column = 0.0, use_b
     J4) so every rated id has a row, as the reference preallocates all ids.
     Pass ``k`` to unroll the dot product into codegen'd arithmetic.
     """
+    return scored_rows(ratings.join(user_factors(model), "user_id").join(movie_factors(model), "movie_id"), mu, use_bias, k)
+
+
+def scored_rows(s: DataFrame, mu: float | Column = 0.0, use_bias: bool = True, k: int | None = None) -> DataFrame:
+    """``pred`` and ``e`` of ratings that already have p, q, bu and bm."""
     mu = mu if isinstance(mu, Column) else F.lit(float(mu))
-    s = ratings.join(user_factors(model), "user_id").join(movie_factors(model), "movie_id")
     pred = dot("p", "q", k)
     if use_bias:
         pred = pred + F.col("bu") + F.col("bm")
@@ -184,18 +188,40 @@ def factor_norm(model: DataFrame) -> DataFrame:
     return model.groupBy("side").agg(F.sum(sum_squares("f")).alias("norm"))
 
 
+def _gram_sums(k: int) -> list[str]:
+    """The upper triangle of a side's Gram matrix, row by row, as ``sum`` expressions."""
+    return [f"sum(f[{i}] * f[{j}])" for i in range(k) for j in range(i, k)]
+
+
+def _squared(k: int, g: str = "g") -> str:
+    """Σ of the squared Gram entries from the triangle ``g``: an entry off the diagonal stands for two."""
+    diagonal, at = [], 0
+    for i in range(k):
+        diagonal.append(at)
+        at += k - i
+    add = "(s, x) -> s + x * x"
+    on = f"aggregate(array({', '.join(f'{g}[{i}]' for i in diagonal)}), 0D, {add})"
+    return f"(2 * aggregate({g}, 0D, {add}) - {on})"
+
+
 def gram_norm(model: DataFrame, k: int) -> DataFrame:
     """Σ_{i,j} (Σ_entities f_i·f_j)² per side.
 
-    The Gram matrix is symmetric, so each entity gives its K(K+1)/2 products as rows
-    (side, i, j), summed by a partial aggregate; the squares off the diagonal count twice.
+    The Gram matrix is symmetric: its K(K+1)/2 entries are plain sum columns of one partially aggregated
+    pass, so a task gives one row per side.
+    """
+    sums = model.groupBy("side").agg(F.expr(f"array({', '.join(_gram_sums(k))})").alias("g"))
+    return sums.select("side", F.expr(_squared(k)).alias("gram_norm"))
+
+
+def total_error(cells: DataFrame, model: DataFrame, k: int, e: str = "e", b: str = "b_ui") -> DataFrame:
+    """G11 as one row ``total_error``: Σ(e² + b²) over the rating cells + ‖QQᵀ‖² + ‖PPᵀ‖².
+
+    Two partially aggregated passes, one over the cells and one over the entities, that each end in one or two rows.
     """
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
-    cells = model.select("side", "f", F.explode(pairs).alias("x")).select(
-        "side", "x.i", "x.j", (F.get("f", F.col("x.i")) * F.get("f", F.col("x.j"))).alias("v"))
-    sums = cells.groupBy("side", "i", "j").agg(F.sum("v").alias("g"))
-    twice = F.when(F.col("i") == F.col("j"), 1.0).otherwise(2.0)
-    return sums.groupBy("side").agg(F.sum(twice * F.col("g") * F.col("g")).alias("gram_norm"))
+    own = cells.agg(F.sum(F.col(e) * F.col(e) + F.col(b) * F.col(b)).alias("x")).select("x")
+    norms = gram_norm(model, k).agg(F.sum("gram_norm").alias("x"))
+    return own.unionByName(norms).agg(F.sum("x").alias("total_error"))
 
 
 # ---------------------------------------------------------------------------

@@ -27,9 +27,10 @@ result is exact integer arithmetic — equal bit for bit to a sequential sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.expressions import fixed
 from ..session import materialize
 
 # Fixed values of the decile rule: ten slices.
@@ -148,14 +149,24 @@ def movie_summary(ratings: DataFrame, checkpoint: bool = True) -> DataFrame:
     )
 
 
-def write_summary_csv(summary: DataFrame, path: str) -> None:
-    """K8: header + one row per movie, ordered by movie at the sink only."""
-    fmt = summary.select(
+def summary_lines(summary: DataFrame) -> DataFrame:
+    """K8 body: the 26 columns, ``movie_id`` as ``movie``, fractions as ``%.3f`` text."""
+    return summary.select(
         *[
-            F.format_string("%.3f", F.col(c)).alias(c)
-            if c in ("rating_mean", "rating_var") or c.startswith("ratingdate") else F.col(c)
+            fixed(c, 3).alias(c) if c in ("rating_mean", "rating_var") or c.startswith("ratingdate") else F.col(c)
             for c in SUMMARY_COLUMNS
         ]
-    )
-    fmt.withColumnRenamed("movie_id", "movie").orderBy("movie").write.mode("overwrite").option(
-        "header", True).csv(path)
+    ).withColumnRenamed("movie_id", "movie")
+
+
+def write_summary_csv(summary: DataFrame, path: str) -> None:
+    """K8: header + one row per movie, ordered by movie at the sink only."""
+    summary_lines(summary).orderBy("movie").write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_summary_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A summary CSV under an explicit schema; a malformed file fails instead of giving nulls."""
+    whole = {"movie", "ratings", "first_rating", "last_rating", *(f"viewdate{i}" for i in range(DECILES))}
+    names = ["movie" if c == "movie_id" else c for c in SUMMARY_COLUMNS]
+    schema = ", ".join(f"{c} {('bigint' if c == 'ratings' else 'int') if c in whole else 'decimal(12,3)'}" for c in names)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)

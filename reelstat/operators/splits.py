@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import MISSING_CATEGORY, PROBE_CATEGORY, RATING_COLUMNS, TEST_CATEGORY
@@ -78,3 +78,19 @@ def write_splits(ratings: DataFrame, path: str, mode: str = "overwrite") -> None
 def write_report(report: DataFrame, path: str) -> None:
     """K2: the report appended to a table (one row per source)."""
     report.write.mode("append").parquet(path)
+
+
+def append_report(report: DataFrame, path: str, run: str) -> None:
+    """K2, repeatable: the rows of ``run`` appended to the table at ``path``, one per source.
+
+    The table is partitioned by (run, source) and only the partitions written are replaced: a job that is
+    repeated after a failure leaves one row per source, and other runs' rows stay.
+    """
+    report.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "run", "source").parquet(path)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """All appended report rows; partition values stay text, whatever they look like."""
+    counts = ", ".join(f"{label} bigint" for label in ("entries", *(label for label, _ in REPORT_LABELS), "invalid"))
+    return spark.read.schema(f"{counts}, run string, source string").parquet(path)

@@ -580,7 +580,7 @@ def _rmse_sql(name: str) -> str:
     return f"(SELECT sqrt(avg(e*e)) FROM {name})"
 
 
-def _fit_adaptive_sql(run: str, lr: float) -> str:
+def _fit_adaptive_sql(run: str, lr: float, digits: int = 6) -> str:
     cfg = FIT.FitConfig(run=run)
     ctes = [*model_ctes(FIT_K), f"v AS (SELECT user_id, movie_id, rating FROM ratings WHERE category = {VALID_CATEGORY})",
             f"pr AS (SELECT user_id, movie_id, rating FROM ratings WHERE category = {PROBE_CATEGORY})",
@@ -602,7 +602,7 @@ def _fit_adaptive_sql(run: str, lr: float) -> str:
         ]
     log = " UNION ALL ".join(f"SELECT {i} AS iteration, * FROM st{i} WHERE NOT stopped" for i in range(1, FIT_ITERATIONS + 1))
     return with_ratings(*_kept(ctes)) + f"""SELECT '{run}' AS run, iteration, round(used, 9) AS learning_rate,
-  round(valid, 6) AS valid_rmse, round(probe, 6) AS probe_rmse, accepted,
+  round(valid, {digits}) AS valid_rmse, round(probe, {digits}) AS probe_rmse, accepted,
   round(valid - lag(valid) OVER (ORDER BY iteration), 6) AS delta_valid,
   probe = min(probe) OVER () AND iteration = min(CASE WHEN probe <= least_probe THEN iteration END) OVER () AS best
 FROM (SELECT *, min(probe) OVER () AS least_probe FROM ({log}))"""
@@ -651,11 +651,49 @@ def q_fit_threshold(spark, sf_dir):
     return log.select("run", "iteration", F.round("rmse_before", 6).alias("rmse_before"), F.round("rmse_after", 6).alias("rmse_after"))
 
 
-@register("bias_fit")
-def q_bias_fit(spark, sf_dir):
-    """M9 loop with the reference call's parameters (threshold 0.01, ≤ 100 steps, B = 3, η = 0.1, λ = 0.5)."""
-    log, _ = FIT.fit_bias_sgd(spark, _bias_rows(spark, sf_dir), 0.01, 100, BIAS_BATCH, BIAS_LR, BIAS_REG)
-    return log
+def _bias_fit_sql(run: str, steps: int, stop: float) -> str:
+    """The whole loop as one recursion: half a step updates one side (odd: users, even: movies) and carries the other on."""
+    def picked(name: str, key: str, partner: str, h: str) -> str:
+        return (f"SELECT {h} AS h, '{name}' AS side, CAST({key} AS BIGINT) AS id, min({_draw_sql(key, partner, 's', 'd')}) AS k "
+                f"FROM bt, range(1, {steps + 1}) x(s), range(1, {BIAS_BATCH + 1}) y(d) GROUP BY s, d, {key}")
+
+    draws = picked("user", "user_id", "movie_id", "2*s - 1") + " UNION ALL " + picked("movie", "movie_id", "user_id", "2*s")
+    e = "(rating - (SELECT mu FROM bmu) - u.b - m.b)"
+    ctes = [
+        f"bt AS MATERIALIZED (SELECT user_id, movie_id, date, rating FROM ratings WHERE {TRAIN_WHERE})",
+        "bmu AS MATERIALIZED (SELECT avg(rating) AS mu FROM bt)",
+        f"dr AS MATERIALIZED (SELECT h, side, id, (k // {BF.RATINGS}) % {BF.PARTNERS} AS partner, k % {BF.RATINGS} AS rating FROM ({draws}))",
+        f"""st AS (SELECT 0::BIGINT AS h, side, id, 0.1::DOUBLE AS b
+  FROM (SELECT DISTINCT 'user' AS side, user_id AS id FROM bt UNION ALL SELECT DISTINCT 'movie', CAST(movie_id AS BIGINT) FROM bt)
+  UNION ALL SELECT st.h + 1, side, id, CASE WHEN t IS NULL THEN b
+    ELSE b - {BIAS_LR!r}*({BIAS_REG!r}*2*b - 2*(t - {float(BIAS_BATCH)!r}*b)) END
+  FROM st LEFT JOIN (SELECT dr.side, dr.id, sum(dr.rating - (SELECT mu FROM bmu) - p.b) AS t
+    FROM dr JOIN st p ON p.side <> dr.side AND p.id = dr.partner AND dr.h = p.h + 1 GROUP BY dr.side, dr.id) x USING (side, id)
+  WHERE st.h < {2 * steps})""",
+        f"""ob AS MATERIALIZED (SELECT u.h // 2 AS step, sum({e}*{e}) + {BIAS_REG!r}*sum(m.b*m.b) + {BIAS_REG!r}*any_value(z.s) AS o
+  FROM bt JOIN st u ON u.side = 'user' AND u.id = bt.user_id JOIN st m ON m.side = 'movie' AND m.id = bt.movie_id AND m.h = u.h
+  JOIN (SELECT h, sum(b*b) AS s FROM st WHERE side = 'user' GROUP BY h) z ON z.h = u.h WHERE u.h % 2 = 0 GROUP BY u.h)""",
+        "l AS MATERIALIZED (SELECT step, lag(o) OVER (ORDER BY step) AS b, o AS a FROM ob)",
+    ]
+    sql = with_ratings(*ctes).replace("WITH ratings", "WITH RECURSIVE ratings", 1)
+    return sql + f"""SELECT '{run}' AS run, CAST(step AS INTEGER) AS step, round(b, 2) AS objective_before, round(a, 2) AS objective_after
+FROM l WHERE step > 0 AND NOT EXISTS (SELECT 1 FROM l x WHERE x.step > 0 AND x.step < l.step AND abs(x.a - x.b) < {stop!r})"""
+
+
+BIAS_STEPS = 100
+
+
+def _bias_fit(run: str, stop: float):
+    def q(spark, sf_dir):
+        log, _ = FIT.fit_bias_sgd(spark, _bias_rows(spark, sf_dir), stop, BIAS_STEPS, BIAS_BATCH, BIAS_LR, BIAS_REG, run)
+        return log.select("run", "step", F.round("objective_before", 2).alias("objective_before"),
+                          F.round("objective_after", 2).alias("objective_after"))
+    return q
+
+
+# M9 loop with the reference call's parameters (threshold 0.01, ≤ 100 steps, B = 3, η = 0.1, λ = 0.5), and one that the threshold stops
+for _name, _stop in (("bias_fit", 0.01), ("bias_fit_stop", 500.0)):
+    register(_name, _bias_fit_sql(_name, BIAS_STEPS, _stop))(_bias_fit(_name, _stop))
 
 
 _PARAMS = FIT.FitConfig(run="run10")
@@ -767,3 +805,208 @@ def q_binary_movie_summary(spark, sf_dir):
     base = _scratch(spark, "mu")
     write_ordered(_train(spark, sf_dir), f"{base}/all.train", fmt="ratings_bin")
     return profile.movie_summary(B.read_ratings_bin(spark, f"{base}/all.train"))
+
+
+# ---- the user-major block layout (A11 J2) --------------------------------------------
+
+from ..sources import blocks as BL  # noqa: E402
+
+
+@register("user_major_epoch", with_ratings(*model_ctes(K), *M4_SQL) + model_long_sql("m1", K))
+def q_user_major_epoch(spark, sf_dir):
+    """One step on ratings stored in user-major blocks: the model of ``epoch_bias_model``, the ratings not shuffled."""
+    tr = _train_rows(spark, sf_dir)
+    mu = float(tr.agg(F.avg("rating")).first()[0])
+    layout = BL.write_blocks(tr, rows_per_block=LAYOUT_ROWS)
+    m1 = BL.epoch_blocks(spark, layout, _init(spark, sf_dir), mu, M.rule_bias_model(LR, REG, REG, RATIO), K)
+    BL.drop_blocks(spark, layout)
+    return M.model_long(m1)
+
+
+LAYOUT_ROWS = 100_000   # rows per block on the fixture, so that it has several
+LAYOUT_EPOCHS = 3
+
+
+def _chain(steps: int, args: tuple) -> list[str]:
+    ctes = []
+    for i in range(steps):
+        ctes += step_ctes(f"m{i}", f"m{i + 1}", K, *args)
+    return ctes
+
+
+@register("user_major_fit", with_ratings(*_kept([*model_ctes(K), *_chain(LAYOUT_EPOCHS, (LR, REG, REG, RATIO, True, True, False))]))
+          + model_long_sql(f"m{LAYOUT_EPOCHS}", K))
+def q_user_major_fit(spark, sf_dir):
+    """Several epochs over one layout: dealt out once, read by every epoch."""
+    tr = _train_rows(spark, sf_dir)
+    mu = float(tr.agg(F.avg("rating")).first()[0])
+    layout = BL.write_blocks(tr, rows_per_block=LAYOUT_ROWS)
+    model = BL.fit_blocks(spark, tr, _init(spark, sf_dir), mu, M.rule_bias_model(LR, REG, REG, RATIO), K, LAYOUT_EPOCHS, layout)
+    BL.drop_blocks(spark, layout)
+    return M.model_long(model)
+
+
+# ---- a bias per rated cell (M6b), total error (G11), sparse difference (J8) ----------
+
+from ..operators import cell_bias as CB  # noqa: E402
+
+
+def _cell_ctes(k: int, epochs: int, lr: float, init: str) -> list[str]:
+    """c0..cn (cells with their bias) and m0..mn; the residual of a step is that of rating − b_ui."""
+    ctes = [
+        f"c0 AS (SELECT user_id, movie_id, CAST(sum(rating) AS BIGINT) AS rating, {CB.INITIAL_BIAS!r}::DOUBLE AS b_ui FROM ratings "
+        f"WHERE {TRAIN_WHERE} GROUP BY user_id, movie_id)",
+        "mu AS (SELECT 0.0::DOUBLE AS mu)",
+        "ids AS (SELECT DISTINCT 'user' AS side, user_id AS id FROM c0 UNION ALL SELECT DISTINCT 'movie', CAST(movie_id AS BIGINT) FROM c0)",
+        f"m0 AS (SELECT side, id, {init} AS f, 0.0::DOUBLE AS b FROM ids)",
+    ]
+    for i in range(epochs):
+        ctes += [
+            f"r{i} AS (SELECT user_id, movie_id, rating - b_ui AS rating FROM c{i})",
+            *step_ctes(f"m{i}", f"m{i + 1}", k, lr, PY_REG, PY_REG, 0.0, False, True, False, rows=f"r{i}"),
+            f"c{i + 1} AS (SELECT user_id, movie_id, c{i}.rating, b_ui + {lr!r}*(e - {PY_REG!r}*b_ui) AS b_ui "
+            f"FROM c{i} JOIN s_m{i + 1} USING (user_id, movie_id))",
+        ]
+    return ctes
+
+
+CELL_EPOCHS = 2
+
+
+@register("epoch_cell_bias", with_ratings(*_kept(_cell_ctes(K, CELL_EPOCHS, PY_LR, oracle.f_list(K))))
+          + "SELECT side, id, -1 AS partner, k, value FROM (" + model_long_sql(f"m{CELL_EPOCHS}", K) + ") WHERE k >= 0\n"
+          + f"UNION ALL SELECT 'cell', user_id, movie_id, -1, round(b_ui, 6) FROM c{CELL_EPOCHS}")
+def q_epoch_cell_bias(spark, sf_dir):
+    """Two epochs with a bias per cell; the factors of both sides and the bias of every cell."""
+    cells, model = FIT.fit_cell_bias(spark, _train_rows(spark, sf_dir), K, PY_LR, PY_REG, CELL_EPOCHS, init=None)
+    factors = M.model_long(spark.read.parquet(model)).where(F.col("k") >= 0).select("side", "id", F.lit(-1).alias("partner"), "k", "value")
+    own = spark.read.parquet(cells).select(F.lit("cell").alias("side"), F.col("user_id").alias("id"), F.col("movie_id").alias("partner"),
+                                           F.lit(-1).alias("k"), F.round("b_ui", 6).alias("value"))
+    return factors.unionByName(own)
+
+
+ERROR_RUNS = ((K, PY_LR), (40, 0.0001))   # factors and rate of each run
+
+
+def _total_error_sql() -> str:
+    parts = []
+    for k, lr in ERROR_RUNS:
+        ctes = _cell_ctes(k, 1, lr, oracle.f_list(k))
+        square = " + ".join(f"{1 if i == j else 2}*pow(sum(f[{i + 1}]*f[{j + 1}]), 2)" for i in range(k) for j in range(i, k))
+        ctes += [scored_cte("t", "(SELECT user_id, movie_id, rating - b_ui AS rating, b_ui FROM c1)", "m1", k, False)]
+        body = ",\n".join((oracle.RATINGS_CTE, *ctes))
+        parts.append(f"(WITH {body}\nSELECT 'k{k}' AS run, round((SELECT sum(e*e + b_ui*b_ui) FROM t) "
+                     f"+ (SELECT sum(g) FROM (SELECT side, {square} AS g FROM m1 GROUP BY side)), 3) AS total_error)")
+    return "SELECT * FROM (" + "\nUNION ALL ".join(parts) + ")"
+
+
+@register("total_error", _total_error_sql())
+def q_total_error(spark, sf_dir):
+    """One number per run, after one epoch of the model with a bias per cell, at a small and at the shipped width."""
+    out = None
+    for k, lr in ERROR_RUNS:
+        cells, model = (spark.read.parquet(p) for p in FIT.fit_cell_bias(spark, _train_rows(spark, sf_dir), k, lr, PY_REG, 1, init=None))
+        row = M.total_error(CB.scored_cells(cells, model, k), model, k).select(
+            F.lit(f"k{k}").alias("run"), F.round("total_error", 3).alias("total_error"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _merged_sql(where: str) -> str:
+    return f"(SELECT user_id, movie_id, CAST(sum(rating) AS BIGINT) AS s FROM ratings WHERE {where} GROUP BY user_id, movie_id)"
+
+
+@register("sparse_difference", with_ratings() + f"""SELECT user_id, movie_id, coalesce(x.s, 0) - coalesce(y.s, 0) AS difference
+FROM {_merged_sql(f'category = {VALID_CATEGORY}')} x FULL JOIN {_merged_sql('category IN (1, 3, 4)')} y USING (user_id, movie_id)""")
+def q_sparse_difference(spark, sf_dir):
+    """Two rating matrices with different cells; those of either side alone are kept."""
+    r = ratings(spark, sf_dir)
+    return basic.sparse_difference(r.where(F.col("category") == VALID_CATEGORY), r.where(F.col("category").isin(1, 3, PROBE_CATEGORY)))
+
+
+# ---- sinks: repeatable appends and ordered lines --------------------------------------
+
+_SOURCES_SQL = "SELECT 'ratings' AS source, category FROM ratings UNION ALL SELECT 'probe/only', category FROM ratings WHERE category = 4"
+_RERUN_SQL = "SELECT 'ratings' AS source, category FROM ratings WHERE category <> 6"
+
+
+@register("report_append", with_ratings() + f"""SELECT 'first' AS run, source, count(*) AS entries, {REPORT_SQL} FROM ({_SOURCES_SQL}) GROUP BY source
+UNION ALL SELECT '0002' AS run, source, count(*) AS entries, {REPORT_SQL} FROM ({_RERUN_SQL}) GROUP BY source""")
+def q_report_append(spark, sf_dir):
+    """K2: two runs append their reports, each repeated once; every (run, source) is there once, as written last."""
+    r = ratings(spark, sf_dir)
+    path = _scratch(spark, "reports")
+    first = splits.split_report({"ratings": r, "probe/only": r.where(F.col("category") == PROBE_CATEGORY)})
+    splits.append_report(splits.split_report({"ratings": r}), path, "0002")   # replaced by the repeated job below
+    for _ in range(2):
+        splits.append_report(first, path, "first")
+        splits.append_report(splits.split_report({"ratings": r.where(F.col("category") != 6)}), path, "0002")
+    return splits.read_reports(spark, path)
+
+
+FILE_PARTS = 7   # part files of an ordered text file on the fixture
+
+
+@register("prediction_file", with_ratings(NUMBERED_SQL, *model_ctes(K), *M4_SQL, scored_cte("s", "(SELECT * FROM d WHERE category = 5)", "m1", K, True))
+          + "SELECT row_number() OVER (ORDER BY row_no) - 1 AS row_no, printf('%.5f', least(5.0, greatest(1.0, (SELECT mu FROM mu) + pred))) AS line FROM s")
+def q_prediction_file(spark, sf_dir):
+    """K7 + S4: the prediction file in several parts, read back by place: line k is the k-th test row."""
+    from .scoring import score_file
+    base = _scratch(spark, "predictions")
+    tr = _train_rows(spark, sf_dir)
+    _one_epoch(spark, sf_dir).write.parquet(f"{base}/factors")
+    mu = float(tr.agg(F.avg("rating")).first()[0])
+    score_file(spark, f"{base}/factors", _numbered(spark, sf_dir).where(F.col("category") == 5), mu, f"{base}/out", K, FILE_PARTS)
+    return TX.lines(spark, f"{base}/out").select("row_no", F.col("value").alias("line"))
+
+
+def _log_sql(run: str, lr: float) -> str:
+    return f"""SELECT run, iteration, valid_rmse, probe_rmse,
+  row_number() OVER (ORDER BY iteration) - 1 AS place FROM ({_fit_adaptive_sql(run, lr, 7)})"""
+
+
+@register("iteration_log", _log_sql("fit_adaptive", LR))
+def q_iteration_log(spark, sf_dir):
+    """K6: the iteration log of a fit written twice as text lines, read back in the order of the lines."""
+    base = _scratch(spark, "log")
+    cfg = FIT.FitConfig(run="fit_adaptive", k=FIT_K, iterations=FIT_ITERATIONS, lr=LR)
+    log = FIT.fit_adaptive(spark, ratings(spark, sf_dir), cfg).run_log
+    for _ in range(2):
+        FIT.write_run_log_csv(log, base)
+    back = FIT.read_run_log_csv(spark, base)
+    return back.select("run", "iteration", "valid_rmse", "probe_rmse", F.col("row_no").alias("place"))
+
+
+_CSV_SQL = ", ".join(
+    ["movie_id AS movie", "ratings", "printf('%.3f', rating_mean) AS rating_mean", "printf('%.3f', rating_var) AS rating_var", "first_rating", "last_rating"]
+    + [f"viewdate{i}" for i in range(10)] + [f"printf('%.3f', ratingdate{i}) AS ratingdate{i}" for i in range(10)])
+
+
+@register("summary_csv", f"SELECT {_CSV_SQL} FROM ({oracle.movie_summary_sql('category IN (1, 2, 3, 6)')})")
+def q_summary_csv(spark, sf_dir):
+    """K8: the summary as CSV with a header, read back under its schema; fractions as the text in the file."""
+    base = _scratch(spark, "summary")
+    profile.write_summary_csv(profile.movie_summary(_train(spark, sf_dir)), base)
+    back = profile.read_summary_csv(spark, base)
+    return back.select(*[F.col(c).cast("string").alias(c) if t.startswith("decimal") else F.col(c) for c, t in back.dtypes])
+
+
+# ---- narrowing (P9), stamps (F12), a fit that meets NaN (F8) ----------------------------
+
+@register("narrowed_records", with_ratings() + """SELECT user_id, movie_id, date, (rating + 200 * category) % 256 AS rating,
+  (category + 250) % 256 AS category FROM ratings""")
+def q_narrowed_records(spark, sf_dir):
+    """Ratings and categories beyond a byte, written as records; what a byte keeps comes back."""
+    base = _scratch(spark, "narrow")
+    r = ratings(spark, sf_dir)
+    B.write_ratings_bin(r.withColumn("rating", F.col("rating") + 200 * F.col("category")).withColumn("category", F.col("category") + 250), base)
+    return B.read_ratings_bin(spark, base).select(*ORDER)
+
+
+@register("day_stamps", with_ratings() + """SELECT DISTINCT date, strftime(TIMESTAMP '1995-01-01' + to_days(date) + to_minutes(date), '%m%d-%H%M') AS stamp
+FROM ratings""")
+def q_day_stamps(spark, sf_dir):
+    """the name stamp of a point of time on each rating day, in the session's time zone."""
+    days = ratings(spark, sf_dir).select("date").distinct()
+    at = F.expr("make_timestamp(1995, 1, 1, 0, 0, 0) + make_dt_interval(date, 0, date)")
+    return days.select("date", FIT.stamp(at).alias("stamp"))

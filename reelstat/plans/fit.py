@@ -11,14 +11,13 @@ job plus one RMSE job for both holdout sets.
 
 from __future__ import annotations
 
-import datetime as _dt
 import math
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -211,7 +210,7 @@ def fit_adaptive(spark: SparkSession, ratings: DataFrame, cfg: FitConfig) -> Fit
         store.save(store.load(best_path), "best")
     # What the reference encodes in model file names, as rows
     extra = {
-        "stamp": file_stamp(t_start),
+        "stamp": file_stamp(spark, t_start),
         "seconds": f"{time.time() - t_start:.0f}",
         "mu_bips": str(math.floor(mu * 10000)),
         "valid_rmse_bips": str(math.floor(last * 10000)) if not math.isnan(last) else "nan",
@@ -267,9 +266,14 @@ def best_iteration(run_log: DataFrame) -> DataFrame:
         F.min("probe_rmse").alias("best_probe_rmse"))
 
 
-def file_stamp(ts: float | None = None) -> str:
-    """``%m%d-%H%M`` stamp used in model names."""
-    return _dt.datetime.fromtimestamp(ts if ts is not None else time.time()).strftime("%m%d-%H%M")
+def stamp(ts: Column) -> Column:
+    """the ``%m%d-%H%M`` stamp of a timestamp in the session's time zone."""
+    return F.date_format(ts, "MMdd-HHmm")
+
+
+def file_stamp(spark: SparkSession, ts: float) -> str:
+    """F12 of a point in time in seconds, as used in model names."""
+    return spark.range(1).select(stamp(F.timestamp_seconds(F.lit(float(ts))))).first()[0]
 
 
 DRAW_BLOCK = 10
@@ -322,6 +326,38 @@ def run_log_lines(run_log: DataFrame) -> DataFrame:
 
 
 def write_run_log_csv(run_log: DataFrame, path: str) -> None:
-    """K6: the iteration log as text lines, appended, ordered by iteration at the sink."""
-    run_log_lines(run_log).orderBy("run", "iteration").select(F.col("line").alias("value")).coalesce(1).write.mode(
-        "append").text(path)
+    """K6: the iteration log as text lines in order of iteration, a folder ``run=<run>`` for each run.
+
+    A run's lines replace those it wrote before and leave other runs' alone, so that a repeated job logs once. Parts are
+    cut by ranges of (run, iteration): a run's files in path order are its log.
+    """
+    run_log_lines(run_log).orderBy("run", "iteration").select("run", F.col("line").alias("value")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("run").text(path)
+
+
+def read_run_log_csv(spark: SparkSession, path: str) -> DataFrame:
+    """K6 read back: (run, iteration, valid_rmse, probe_rmse, row_no); ``row_no`` counts lines over all files in path order."""
+    from ..operators.positional import number_lines
+
+    f = F.split("value", ", ")
+    logged = number_lines(spark.read.schema("value string, run string").text(path))   # the folder's name as text, whatever it looks like
+    return logged.select("run", f[0].cast("int").alias("iteration"), f[1].cast("double").alias("valid_rmse"),
+                         f[2].cast("double").alias("probe_rmse"), "row_no")
+
+
+def fit_cell_bias(spark: SparkSession, ratings: DataFrame, k: int, lr: float = 0.0005, reg: float = 0.001, epochs: int = 2,
+                  init: float | None = 0.1, run: str = "cells") -> tuple[str, str]:
+    """``epochs`` batch steps of the model with a bias per cell; returns the paths of the last cells and factors.
+
+    The state is as large as the ratings (a bias per cell) and is written anew every epoch beside the factors.
+    """
+    from ..operators import cell_bias as CB
+
+    store = _Store(spark, run)
+    cells_path = store.save(CB.init_cells(ratings), "cells=0")
+    model_path = store.save(M.init_model(store.load(cells_path), k, constant=init), "epoch=0")
+    for i in range(1, epochs + 1):
+        cells, model = store.load(cells_path), store.load(model_path)
+        new_cells, new_model = CB.epoch(cells, model, lr, reg, k)
+        cells_path, model_path = store.save(new_cells, f"cells={i}"), store.save(new_model, f"epoch={i}")
+    return cells_path, model_path

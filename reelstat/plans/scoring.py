@@ -26,9 +26,9 @@ def predictions(rows: DataFrame, model: DataFrame, mu: float, k: int | None = No
 
 
 def score_file(spark: SparkSession, model_path: str, rows: DataFrame, mu: float, out: str,
-               k: int | None = None) -> None:
+               k: int | None = None, parts: int | None = None) -> None:
     """The model at ``model_path`` (a ``factors`` table) scores ``rows`` into ``out``, one line per row."""
-    write_predictions(predictions(rows, spark.read.parquet(model_path), mu, k), out)
+    write_predictions(predictions(rows, spark.read.parquet(model_path), mu, k), out, parts=parts)
 
 
 def true_rating_file(rows: DataFrame, out: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +69,19 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """SQL settings for the jobs started inside the block; the session's own are put back after it."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # Folders this library creates under the checkpoint folder (scratch: safe to remove between jobs).
 SCRATCH_FOLDERS = ("reelstat-tables", "reelstat-scratch", "reelstat-runs", "reelstat-streams")
 

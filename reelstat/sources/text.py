@@ -86,10 +86,18 @@ def prediction_lines(scored_rows: DataFrame, value: str = "prediction", digits:
     return scored_rows.select("row_no", F.format_string(f"%.{digits}f", F.col(value)).alias("line"))
 
 
-def write_predictions(scored_rows: DataFrame, path: str, value: str = "prediction", digits: int = 5) -> None:
+def write_in_order(numbered: DataFrame, path: str, order: str = "row_no", line: str = "line", parts: int | None = None) -> None:
+    """One text line per row: part files follow each other in ``order`` and are sorted inside, so that the files in path order are it.
+
+    A range-partitioned sort, in ``parts`` files if given, else as many as Spark plans.
+    """
+    by_range = numbered.orderBy(order) if parts is None else numbered.repartitionByRange(parts, order).sortWithinPartitions(order)
+    by_range.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_predictions(scored_rows: DataFrame, path: str, value: str = "prediction", digits: int = 5, parts: int | None = None) -> None:
     """One line per row, in input order (a range-partitioned sort at the sink only)."""
-    prediction_lines(scored_rows, value, digits).orderBy("row_no").select(F.col("line").alias("value")).write.mode(
-        "overwrite").text(path)
+    write_in_order(prediction_lines(scored_rows, value, digits), path, parts=parts)
 
 
 def dump_lines(dump: DataFrame, path: str) -> None:

@@ -101,10 +101,18 @@ def test_gram_and_norm(spark):
 
 def test_run_log_csv_format(spark, tmpdir_fresh):
     log = spark.createDataFrame([("r", 2, 0.1, 0.95, 0.97, True), ("r", 1, 0.1, 0.96, 0.98, True)], fit.S.RUN_LOG)
-    fit.write_run_log_csv(log, f"{tmpdir_fresh}/log")
     import glob
-    lines = open(glob.glob(f"{tmpdir_fresh}/log/part-*")[0]).read().splitlines()
+
+    other = log.limit(1).withColumn("run", F.lit("a b/c"))
+    for rows in (log, other, log):   # a repeated job replaces its own run's lines only
+        fit.write_run_log_csv(rows, f"{tmpdir_fresh}/log")
+    lines = []
+    for f in sorted(glob.glob(f"{tmpdir_fresh}/log/run=r/part-*")):
+        lines += open(f).read().splitlines()
     assert lines == ["1, 0.9600000, 0.9800000", "2, 0.9500000, 0.9700000"]
+    back = fit.read_run_log_csv(spark, f"{tmpdir_fresh}/log").orderBy("row_no").collect()
+    assert [(r.run, r.iteration, r.valid_rmse) for r in back if r.run == "r"] == [("r", 1, 0.96), ("r", 2, 0.95)]
+    assert [r.run for r in back if r.run != "r"] == ["a b/c"]
 
 
 def test_als_crosscheck(spark):
