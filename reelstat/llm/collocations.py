@@ -1,7 +1,7 @@
 """Phrases whose words stand together more often than their parts alone would, per language, by prefix-free parsing.
 
 Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces, and these at spaces and tabs into words. The parse cuts a
-text before every trigger, a word whose number is 0 modulo ``TRIGGER``: what a chunk holds depends on its own words only,
+text before every trigger, a word whose own bytes say so, one in ``TRIGGER``: what a chunk holds depends on its own words only,
 so that passages shared by many documents give the same chunks wherever they stand. A chunk is followed by the up to
 ``LONGEST - 1`` words of its last piece that come after it; an n-gram belongs to the chunk in whose own part it starts,
 so that overlaps are assigned once. The dictionary is the table of distinct chunks with their parse frequencies, and all counting is
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.common import written
 from reelstat.llm.shingles import mix
-from reelstat.llm.spans import byte_set, joined, parts, slices, word_bounds, word_numbers
+from reelstat.llm.spans import byte_set, byte_sizes, joined, parts, slices, word_bounds, word_numbers
 
 LONGEST = 3
 LEAST = 10  # a candidate's least frequency
@@ -32,7 +32,7 @@ TOP = 2_000  # phrases reported per language
 TRIGGER = 32  # words of a chunk on average
 ABSORBED = 50  # percent of a phrase's occurrences that lie in one longer candidate drop it
 SCALE = 1_000_000
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 2_000_000
 FILTER_LONGS = 1 << 19  # 4 MB: 4 of 32 million bits per entry; a fuller filter prunes less and changes no result
 PROBES = 4
 
@@ -48,40 +48,45 @@ def chunks_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     if not len(starts):
         return pa.array([], pa.string()), np.empty(0, np.int64)
     owner = np.searchsorted(text_ends, starts, side="right")
-    breaks = np.cumsum(_BREAKS[raw])
-    piece = breaks[starts]  # a line feed ends every text, so a piece is in one text
+    piece = np.searchsorted(np.flatnonzero(_BREAKS[raw]), starts)  # a line feed ends every text, so a piece is in one text
     # the same words with one separator after each
-    last = np.append(piece[1:] != piece[:-1], True)
-    size = ends - starts + 1
-    to = np.cumsum(size)
-    begin = to - size
-    clean = np.empty(to[-1], np.uint8)
-    clean[np.arange(to[-1])] = raw[np.repeat(starts - begin, size) + np.arange(to[-1])]
-    clean[to - 1] = np.where(last, BREAK, SPACE)
-    triggers = word_numbers(raw, starts, ends) % np.uint64(TRIGGER) == 0
-    first = np.flatnonzero(triggers | np.diff(owner, prepend=-1).astype(bool))  # first word of each chunk
+    kept = ~_APART[raw]
+    kept[ends] = True
+    clean = raw[kept]
+    to = np.cumsum(ends - starts + 1)
+    clean[to - 1] = np.where(np.append(piece[1:] != piece[:-1], True), BREAK, SPACE)
+    first = np.flatnonzero(triggers(raw, starts, ends) | np.diff(owner, prepend=-1).astype(bool))  # first word of each chunk
     after = np.append(first[1:], len(starts))  # first word that is no longer its own
     follow = after.copy()
     for _ in range(LONGEST - 1):
         more = follow < len(starts)
         more[more] = piece[follow[more]] == piece[after[more] - 1]
         follow += more
-    a, b, e = begin[first], to[after - 1], to[follow - 1]
-    lengths = np.where(follow > after, e - 1, b - 1) - a  # without the separator at the end
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    data = clean[np.repeat(a - offsets[:-1], lengths) + np.arange(offsets[-1])]
+    a, b, e = to[first] - (ends - starts + 1)[first], to[after - 1], to[follow - 1]
+    until = np.where(follow > after, e, b) - 1  # without the separator at the end
+    whole = clean.tobytes()
+    data = np.frombuffer(bytearray().join([whole[x:y] for x, y in zip(a.tolist(), until.tolist())]), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum(until - a)))
     data[(offsets[:-1] + (b - 1 - a))[follow > after]] = OVERLAP
     return pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)), owner[first]
 
 
+def triggers(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which words start a chunk: one of ``TRIGGER`` of the numbers that a word's length and five of its bytes give."""
+    size = ends - starts
+    number = size.astype(np.uint64)
+    for quarter in range(5):
+        number = (number << np.uint64(8)) | raw[starts + (size - 1) * quarter // 4]
+    return mix(number) % np.uint64(TRIGGER) == 0
+
+
 def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The dictionary (lang, chunk, times): distinct chunks of all texts and how often each was parsed, written."""
     schema = pa.schema([("lang", pa.string()), ("chunk", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.array([len(t) if t else 0 for t in batch.column(1).cast(pa.binary()).to_pylist()], np.int64)
-            for x, y in parts(sizes, BATCH_BYTES):
+            for x, y in parts(byte_sizes(batch.column(1)), BATCH_BYTES):
                 chunks, owner = chunks_of(batch.column(1).slice(x, y - x))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(x, y - x).take(pa.array(owner)), chunks], schema=schema)
 
@@ -98,11 +103,11 @@ class Grams:
         self.starts, self.ends = word_bounds(raw, _APART)
         self.chunk = np.searchsorted(ends, self.starts, side="right")
         self.times = times[self.chunk]
-        piece = np.cumsum(raw == BREAK)[self.starts]
-        tabs = np.concatenate(([0], np.cumsum(raw == OVERLAP)))
-        begins = np.concatenate(([0], ends[:-1]))
-        self.own = tabs[self.starts] == tabs[begins[self.chunk]]
-        self.piece = piece
+        self.piece = np.searchsorted(np.flatnonzero(raw == BREAK), self.starts)
+        tab = np.flatnonzero(raw == OVERLAP)
+        cut = ends.copy()  # where the own part of each chunk ends; it has one tab at most
+        cut[np.searchsorted(ends, tab, side="right")] = tab
+        self.own = self.starts < cut[self.chunk]
         names, of_rows = np.unique(np.array(langs, object), return_inverse=True)
         raw[raw == OVERLAP] = SPACE
         self.raw, self.names, self.lang = raw, names, of_rows[self.chunk]
@@ -143,8 +148,7 @@ def _flat(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
     for batch in batches:
         lang, chunk, times = (batch.column(c) for c in ("lang", "chunk", "times"))
-        sizes = np.array([len(t) for t in chunk.cast(pa.binary()).to_pylist()], np.int64)
-        for a, b in parts(sizes, BATCH_BYTES):
+        for a, b in parts(byte_sizes(chunk), BATCH_BYTES):
             yield Grams(lang.slice(a, b - a).to_pylist(), chunk.slice(a, b - a), times.slice(a, b - a).to_numpy())
 
 

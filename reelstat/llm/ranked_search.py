@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import written
-from reelstat.llm.spans import byte_set, joined, parts, word_bounds, word_numbers
+from reelstat.llm.spans import byte_set, byte_sizes, joined, parts, word_bounds, word_numbers
 
 TOP = 10
 ITEM_BYTES = 4_000_000  # queries are taken in groups of so many bytes of text; each group is one run over the corpus
@@ -133,8 +133,7 @@ def index_blocks(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
         held, size, taken, documents, length = [], 0, 0, 0, 0
         for batch in batches:
             column = batch.column(1)
-            sizes = np.array([len(t) for t in column.cast(pa.binary()).to_pylist()], np.int64)
-            for a, b in parts(sizes, BATCH_BYTES):
+            for a, b in parts(byte_sizes(column), BATCH_BYTES):
                 raw, ends = joined(column.slice(a, b - a))
                 starts, stops = word_bounds(raw, _APART)
                 owner = np.searchsorted(ends, starts, side="right")

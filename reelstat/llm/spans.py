@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from reelstat.llm.shingles import mix
 
@@ -64,6 +65,11 @@ def joined(texts: pa.Array, apart: bytes = b"\n") -> tuple[np.ndarray, np.ndarra
     return raw, np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)) + len(apart))
 
 
+def byte_sizes(texts: pa.Array) -> np.ndarray:
+    """How many bytes each text has; null has none."""
+    return pc.fill_null(pc.binary_length(texts.cast(pa.binary())), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def parts(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbours whose sizes sum to at most ``limit``; a larger one is a range of its own."""
     begin = held = 0

@@ -121,7 +121,8 @@ def test_phrases_with_full_filters_are_the_same(spark, monkeypatch):
 
 
 def test_chunks_depend_on_their_words_only():
-    passage = " ".join(f"word{k}" for k in range(400))
+    pick = random.Random(4)
+    passage = " ".join("".join(pick.choice("abcdefghij") for _ in range(pick.randint(2, 9))) for _ in range(400))
     a = collocations.chunks_of(pa.array(["some start " + passage + " and an end"]))[0].to_pylist()
     b = collocations.chunks_of(pa.array(["quite another beginning of it, " + passage]))[0].to_pylist()
     assert len(set(a) & set(b)) >= 400 // collocations.TRIGGER // 2
