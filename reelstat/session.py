@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
@@ -66,7 +67,22 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, "reelstat-tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _WRITTEN[out] = path
+    return out
+
+
+_WRITTEN: WeakKeyDictionary = WeakKeyDictionary()  # where the tables of ``materialize`` lie
+
+
+def forget(*tables) -> None:
+    """Delete the files of ``materialize``d tables that nothing reads any more: their successors are written."""
+    for df in tables:
+        path = _WRITTEN.pop(df, None)
+        if path is not None:
+            spark = df.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
