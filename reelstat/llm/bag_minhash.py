@@ -25,10 +25,14 @@ from pyspark.sql import functions as F
 from reelstat.llm.common import docs_of, written
 from reelstat.llm.linking import link_classes, shared_buckets, small
 from reelstat.llm.shingles import WORDS, counted, mix, occurrences, overlaps, shingles
+from reelstat.session import forget
 
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6  # a pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8**6)**32 > 0.9999
+# longer keys for members of large buckets: similarity 0.8 shares one with probability 0.999, 0.6 with 0.2, 0.5 with 0.02
+FINE_BANDS = 100
+FINE_ROWS = 12
 CHUNK_BYTES = 2_000_000
 
 
@@ -80,9 +84,14 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
-def sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, size, keys) of each text: its digest, number of shingles and band keys (none without words)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.string()), ("size", pa.int64()), ("keys", pa.list_(pa.int64()))])
+def node(text: Column | str = "text") -> Column:
+    """What names a text: 128 bits of its digest. Rows of one id with different texts are different nodes."""
+    return F.substring(F.unhex(F.sha2(F.col(text) if isinstance(text, str) else text, 256)), 1, 16)
+
+
+def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, node, size, keys) of each text: its name, number of shingles and band keys (none without words)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("size", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,9 +99,9 @@ def sign(docs: DataFrame) -> DataFrame:
             for a, b in _chunks(texts):
                 owner, _ = shingles(texts[a:b])
                 sizes = np.bincount(owner, minlength=b - a)
-                keys = band_keys(signatures(texts[a:b]))
+                keys = band_keys(signatures(texts[a:b], bands * rows), bands, rows)
                 lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], np.cumsum(np.where(sizes > 0, BANDS, 0)))), pa.int32()),
+                    pa.array(np.concatenate(([0], np.cumsum(np.where(sizes > 0, bands, 0)))), pa.int32()),
                     pa.array(keys[sizes > 0].ravel(), pa.int64()),
                 )
                 part = batch.slice(a, b - a)
@@ -100,22 +109,23 @@ def sign(docs: DataFrame) -> DataFrame:
                     [part.column(0).cast(pa.int64()), part.column(2), pa.array(sizes, pa.int64()), lists], schema=schema
                 )
 
-    return docs.select("doc_id", "text", F.sha2("text", 256).alias("digest")).mapInArrow(
-        run, "doc_id long, digest string, size long, keys array<long>"
+    return docs.select("doc_id", "text", node().alias("node")).mapInArrow(
+        run, "doc_id long, node binary, size long, keys array<long>"
     )
 
 
 def occurrence_tokens(texts: DataFrame) -> DataFrame:
-    """(id, token): the numbers of the occurrences of the word shingles of (doc_id, text)."""
+    """(id, token): the numbers of the occurrences of the word shingles of (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).cast(pa.int64()).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            texts = batch.column(1).to_pylist()
             for a, b in _chunks(texts):
                 owner, number = occurrences(texts[a:b])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b][owner]), pa.array(number.view(np.int64))], names=["id", "token"])
+                ids = batch.column(0).slice(a, b - a).take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(number.view(np.int64))], names=["id", "token"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "id long, token long")
+    return texts.select("node", "text").mapInArrow(run, "id binary, token long")
 
 
 def overlap(left: Column, right: Column) -> Column:
@@ -130,57 +140,77 @@ def overlap(left: Column, right: Column) -> Column:
     return compare(left, right)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), links (verified near copies found) and kept, a row per document.
-
-    Equal texts are one class, and so are texts joined by a chain of links of similarity ``SIMILARITY`` or more.
-    A null text counts as empty; empty texts are equal. ``kept`` marks the rows whose id is the class's least.
-    Repeated rows each give a row. Other columns are not looked at.
-    """
-    source = docs_of(docs, id_col, text_col)
-    signed = written(sign(source), "signatures")
-    firsts = written(signed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")), "texts")
-    copied = written(firsts.where("copies > 1").select("digest", "id"), "copied")
-    # one row per text: rows that are not a copy, and of copies the one of the least id
-    single = signed.join(small(copied), "digest", "left").where("id is null or id = doc_id")
-    rows = single.select("doc_id", "size", F.explode("keys").alias("h")).select("h", F.col("doc_id").alias("id"), "size")
-    members = written(shared_buckets(rows).distinct(), "members")
-    wanted = written(members.select("id").distinct(), "wanted")
-    texts = written(source.join(small(wanted), F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id"]), "texts")
+def classes_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, class_id, links, kept) of every row of (doc_id, text); see ``near_duplicates``."""
+    signed = written(sign(docs), "signatures")
+    firsts = written(signed.groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")), "texts")
+    copied = written(firsts.where("copies > 1").select("node", "first", F.lit(True).alias("many")), "copied")
+    # one row per text: rows that are not a copy, and of copies those of the least id
+    single = signed.join(small(copied), "node", "left").where("many is null or first <=> doc_id")
+    rows = single.select(F.explode("keys").alias("h"), F.col("node").alias("id"), "size").distinct()
+    members = written(shared_buckets(rows), "members")
+    wanted = written(members.select("id").distinct().join(firsts.select(F.col("node").alias("id"), "first"), "id"), "wanted")
+    named = docs.select("doc_id", "text", node().alias("node"))
+    mine = (F.col("node") == F.col("id")) & F.col("doc_id").eqNullSafe(F.col("first"))
+    texts = written(named.join(small(wanted), mine, "left_semi").dropDuplicates(["node"]).select("node", "text"), "texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-        b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+        a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         scored = pairs.join(a, "a").join(b, "b").select("a", "b", overlap(F.col("text_a"), F.col("text_b")).alias("s"))
         return scored.where(F.col("s") >= SIMILARITY).select("a", "b")
 
+    def of(ids: DataFrame) -> DataFrame:
+        return texts.join(small(ids.withColumnRenamed("id", "node")), "node", "left_semi")
+
     def tokens(ids: DataFrame) -> DataFrame:
-        return occurrence_tokens(texts.join(small(ids), F.col("doc_id") == F.col("id"), "left_semi"))
-
-    links, classes = link_classes(members, verify, SIMILARITY, tokens=tokens)
-    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
-    degrees = ends.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
-    placed = (
-        firsts.select("digest", "id")
-        .join(classes.withColumnRenamed("node", "id"), "id", "left")
-        .join(degrees, "id", "left")
-        .select("digest", F.coalesce("root", "id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+        return occurrence_tokens(of(ids))
+
+    def refine(ids: DataFrame) -> DataFrame:
+        fine = sign(of(ids).select(F.lit(0).cast("long").alias("doc_id"), "text"), FINE_BANDS, FINE_ROWS)
+        return fine.select(F.explode(F.array_distinct("keys")).alias("h"), F.col("node").alias("id"))
+
+    links, classes = link_classes(members, verify, SIMILARITY, tokens=tokens, refine=refine)
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    degrees = ends.groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    placed = firsts.select("node", "first").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = written(placed, "placed")
+    # a class is named by its least id; of several texts under that id one stands for it
+    heads = placed.groupBy("root").agg(F.min(F.struct("first", "node")).alias("head"))
+    of_text = placed.join(heads, "root").join(degrees, "node", "left").select(
+        "node", F.col("head.first").alias("class_id"), (F.col("head.node") == F.col("node")).alias("is_head"), F.coalesce("links", F.lit(0)).cast("long").alias("links")
     )
-    return signed.select("doc_id", "digest").join(placed, "digest").select(
-        "doc_id", "class_id", F.col("links").cast("long").alias("links"), (F.col("doc_id") == F.col("class_id")).alias("kept")
+    of_text = written(of_text, "text-classes")
+    forget(members, texts, placed)
+    return signed.select("doc_id", "node").join(of_text, "node").select(
+        "doc_id", "node", "class_id", "links", (F.col("is_head") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept")
     )
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class), links (verified near copies found) and kept, a row per row of ``docs``.
+
+    Equal texts are one class, and so are texts joined by a chain of links of similarity ``SIMILARITY`` or more.
+    A null text counts as empty; empty texts are equal. Rows of one id with different texts are texts of their own. ``kept`` marks
+    the rows with the text that stands for its class, one of those under the class's least id; equal rows are marked alike.
+    Other columns are not looked at; an empty table gives no rows.
+    """
+    return classes_of(docs_of(docs, id_col, text_col)).drop("node")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one document of each near-duplicate class, with all their columns.
 
-    The least id of a class stays; of rows that repeat its id one stays.
+    The text that stands for a class stays; of equal rows one stays.
     """
-    classes = written(near_duplicates(docs, id_col, text_col).select("doc_id", "kept"), "near-classes")
-    gone = written(classes.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "near-copies")
-    again = written(classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")), "repeated-ids")
-    left = docs.join(small(gone), docs[id_col] == F.col("gone"), "left_anti")
+    classes = written(classes_of(docs_of(docs, id_col, text_col)).select("doc_id", "node", "kept"), "near-classes")
+    gone = written(classes.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("node").alias("gone")).distinct(), "near-copies")
+    kept = classes.where("kept").groupBy("doc_id", "node").count().where("count > 1")
+    again = written(kept.select(F.col("doc_id").alias("again_id"), F.col("node").alias("again")), "repeated-rows")
+    own = node(F.coalesce(F.col(text_col), F.lit("")))
+    same = lambda i, n: F.col(id_col).eqNullSafe(F.col(i)) & (own == F.col(n))
+    left = docs.join(small(gone), same("gone_id", "gone"), "left_anti")
     if again.isEmpty():
         return left
-    repeated = left.join(small(again), left[id_col] == F.col("again"), "left_semi").dropDuplicates([id_col])
-    return left.join(small(again), left[id_col] == F.col("again"), "left_anti").unionByName(repeated)
+    repeated = left.join(small(again), same("again_id", "again"), "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(small(again), same("again_id", "again"), "left_anti").unionByName(repeated)

@@ -13,7 +13,8 @@ training texts of its language reach (mean plus ``REJECT_SIGMAS`` deviations, wi
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import pickle
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -222,11 +223,8 @@ def fit(samples: dict[str, list[str]], order: int = ORDER) -> Models:
     return models
 
 
-def training_sample(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> dict[str, list[str]]:
-    """At most ``SAMPLE_DOCS`` labelled texts per language, those of the smallest id hashes, within ``SAMPLE_CHARS`` in all.
-
-    Every label has its equal part of these characters, ``LEAST_CHARS`` at least; a text longer than that gives its beginning.
-    """
+def _drawn(docs: DataFrame, lang_col: str, id_col: str, text_col: str) -> tuple[DataFrame, int] | None:
+    """((lang, text) of the sample and a little more, in the order of the id hashes; characters of each label); None without labels."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h")
     )
@@ -234,7 +232,7 @@ def training_sample(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_
     sizes = labelled.groupBy("lang").count()
     many = {r["lang"]: r["count"] for r in sizes.collect()}
     if not many:
-        return {}
+        return None
     each = max(LEAST_CHARS, SAMPLE_CHARS // len(many))
     share = F.create_map(*[F.lit(x) for lang, n in many.items() for x in (lang, min(1.0, 1.5 * SAMPLE_DOCS / n + 1e-9))])
     drawn = (
@@ -244,23 +242,56 @@ def training_sample(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_
         .orderBy("h")
         .limit(int(1.6 * SAMPLE_DOCS * len(many)) + 100)
     )
+    return drawn.select("lang", "text"), each
+
+
+def _within(rows: Iterable[tuple[str, str]], each: int) -> dict[str, list[str]]:
+    """The texts per language that fit into the sample's bounds."""
     out: dict[str, list[str]] = {}
     held: dict[str, int] = {}
-    for row in drawn.select("lang", "text").toLocalIterator():
-        mine = out.setdefault(row["lang"], [])
-        if len(mine) < SAMPLE_DOCS and held.get(row["lang"], 0) < each:
-            mine.append(row["text"])
-            held[row["lang"]] = held.get(row["lang"], 0) + len(row["text"])
+    for lang, text in rows:
+        mine = out.setdefault(lang, [])
+        if len(mine) < SAMPLE_DOCS and held.get(lang, 0) < each:
+            mine.append(text)
+            held[lang] = held.get(lang, 0) + len(text)
     return out
 
 
-def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Models | None:
-    """The models of the labelled rows of ``docs``; None if there are none with a letter."""
-    samples = {k: v for k, v in training_sample(docs, lang_col, id_col, text_col).items() if any(map(str.strip, v))}
+def training_sample(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> dict[str, list[str]]:
+    """At most ``SAMPLE_DOCS`` labelled texts per language, those of the smallest id hashes, within ``SAMPLE_CHARS`` in all.
+
+    Every label has its equal part of these characters, ``LEAST_CHARS`` at least; a text longer than that gives its beginning.
+    """
+    drawn = _drawn(docs, lang_col, id_col, text_col)
+    return _within(drawn[0].toLocalIterator(), drawn[1]) if drawn else {}
+
+
+def fit_sample(samples: dict[str, list[str]]) -> Models | None:
+    """The models of the languages that have a text with ``ORDER`` characters of letters and spaces."""
+    samples = {k: v for k, v in samples.items() if any(map(str.strip, v))}
     samples = {k: v for k, v in samples.items() if any(len(characters(t)) >= ORDER for t in v)}
     return fit(samples) if samples else None
 
 
+def learn(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Models | None:
+    """The models of the labelled rows of ``docs``; None if there are none with a letter.
+
+    One task fits them from the bounded sample; only the finished tables come to the driver.
+    """
+    drawn = _drawn(docs, lang_col, id_col, text_col)
+    if drawn is None:
+        return None
+    rows, each = drawn
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = ((lang, text) for b in batches for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        models = fit_sample(_within(pairs, each))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(models)], pa.binary())], names=["models"])
+
+    found = rows.coalesce(1).mapInArrow(run, "models binary").collect()
+    return pickle.loads(found[0]["models"]) if found else None
+
+
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("rejected", pa.bool_())])
 
 

@@ -149,3 +149,36 @@ def test_digests_of_the_query(spark, docs, tmp_path):
     out = {r.doc_id: r for r in op1_sentencepiece(spark, str(tmp_path)).collect()}
     assert out[1].ids_sha256 == hashlib.sha256(b"").hexdigest() == out[2].decoded_sha256
     assert out[5].decoded_sha256 == hashlib.sha256(PROSE.encode()).hexdigest()
+
+
+# ---- rows that share an id and differ in text ----------------------------------------
+
+
+def test_line_dedup_keeps_clean_lines_of_a_repeated_id(spark):
+    texts = ["alpha line one here\nshared line of text here", "shared line of text here\nunique clean line nowhere else", "x y z\nalpha line one here"]
+    docs = spark.createDataFrame([(5, texts[0]), (5, texts[1]), (9, texts[2]), (9, texts[2]), (None, "null id line of text")], "doc_id long, text string")
+    got = [r.text for r in line_dedup.dedup_lines(docs).collect()]
+    kept = [line for t in got for line in t.split("\n") if line]
+    assert sorted(kept) == sorted(["alpha line one here", "shared line of text here", "unique clean line nowhere else", "x y z", "x y z", "null id line of text"])
+
+
+def test_near_duplicates_tell_rows_of_an_id_apart(spark):
+    w, v = (" ".join(f"{c}{k}" for k in range(60)) for c in "wv")
+    docs = spark.createDataFrame([(1, w + " end"), (2, w), (2, v), (3, v + " end"), (3, v + " end"), (None, "other")], "doc_id long, text string")
+    got = sorted((r.doc_id or 0, r.class_id or 0, r.links, r.kept) for r in bag_minhash.near_duplicates(docs).collect())
+    assert got == [(0, 0, 0, True), (1, 1, 1, True), (2, 1, 1, False), (2, 2, 1, True), (3, 2, 1, False), (3, 2, 1, False)]
+    assert sorted((r.doc_id or 0, r.text) for r in bag_minhash.one_of_each(docs).collect()) == [(0, "other"), (1, w + " end"), (2, v)]
+
+
+def test_one_of_each_of_equal_rows_and_of_two_texts_under_the_least_id(spark):
+    w = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, w), (1, w + " end"), (1, w), (4, w)], "doc_id long, text string")
+    assert bag_minhash.one_of_each(docs).count() == 1
+    assert {r.class_id for r in bag_minhash.near_duplicates(docs).collect()} == {1}
+
+
+def test_license_labels_stay_with_their_row(spark):
+    phrase = "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"
+    docs = spark.createDataFrame([(1, phrase), (1, "plain text without anything"), (2, None)], "doc_id long, text string")
+    got = {r.n_words: r for r in license_scan.scan(docs).collect()}
+    assert got[4].labels == "" and got[4].score == 0.0 and got[len(phrase.split())].labels == "mit"
