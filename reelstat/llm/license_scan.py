@@ -116,13 +116,13 @@ def _base_starts(words: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """One row per row of ``docs``: base places, base labels, all labels, a score and the template hits.
 
-    A null text counts as empty: no words, no labels (empty strings), score 0. Rows that
-    repeat an id get the labels of all of that id's rows. Other columns are not looked at.
+    A null text counts as empty: no words, no labels (empty strings), score 0. Rows that repeat an id with another text each get
+    the labels of their own text, equal rows the same. Other columns are not looked at.
     ``score`` is 1 where a base phrase stands, else the best share of a verified template's
     indexed weight that agrees on one place.
     """
     spark = docs.sparkSession
-    files = docs_of(docs, id_col, text_col).select("doc_id", words_of(F.col("text")).alias("words"))
+    files = docs_of(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("t"), words_of(F.col("text")).alias("words"))
     idf = term_idf(files, templates)
     postings = rare_index(idf, templates)
     vocabulary = sorted({t for t, *_ in postings})
@@ -144,28 +144,31 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     )
     places = (
         files.where(F.arrays_overlap("words", _quoted(vocabulary)))
-        .select("doc_id", "words", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("joined"))
-        .select("doc_id", present.alias("present"), F.posexplode("words").alias("place", "term"))
+        .select("doc_id", "t", "words", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("joined"))
+        .select("doc_id", "t", present.alias("present"), F.posexplode("words").alias("place", "term"))
         .where(F.col("term").isin(vocabulary))
     )
     votes = (
         places.join(index, "term")
-        .groupBy("doc_id", "present", "template", (F.col("place") - F.col("at")).alias("start"))
-        .agg(F.count_distinct("at").alias("agreeing"), F.sum("weight").alias("weight"))
+        .groupBy("doc_id", "t", "present", "template", (F.col("place") - F.col("at")).alias("start"))
+        .agg(F.sort_array(F.collect_set(F.struct("at", "weight"))).alias("agreed"))  # places of one template: bounded; equal rows agree once
+        .withColumn("agreeing", F.size("agreed"))
+        .withColumn("weight", F.aggregate("agreed", F.lit(0.0), lambda s, x: s + x["weight"]))
     )
     hits = (
         votes.join(rules, "template")
         .where(F.col("agreeing") >= LEAST_SHARE * F.col("places"))
         .where(F.size(F.array_except("keys", "present")) == 0)
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id").alias("hit_id"), F.col("t").alias("hit_t"))
         .agg(
             F.collect_set("label").alias("found"),  # of the templates' labels: bounded
             F.max(F.least(F.lit(1.0), F.col("weight") / F.col("whole"))).alias("best"),
         )
     )
     names = F.array(*[F.lit(label) for _, label in BASE_PHRASES])
-    based = files.select("doc_id", F.size("words").cast("long").alias("n_words"), _base_starts(F.col("words")).alias("b")).select(
+    based = files.select("doc_id", "t", F.size("words").cast("long").alias("n_words"), _base_starts(F.col("words")).alias("b")).select(
         "doc_id",
+        "t",
         "n_words",
         F.size("b").cast("long").alias("n_base"),
         F.array_min(F.transform("b", lambda x: x["place"])).alias("first_word"),
@@ -173,7 +176,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
         F.array_sort(F.array_distinct(F.transform("b", lambda x: F.get(names, x["phrase"])))).alias("base"),
     )
     every = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("found", F.array().cast("array<string>")))))
-    return based.join(hits, "doc_id", "left").select(
+    mine = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("t") == F.col("hit_t"))
+    return based.join(hits, mine, "left").select(
         "doc_id",
         "n_words",
         "n_base",
