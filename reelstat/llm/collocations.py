@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import written
+from reelstat.llm.filters import Filter, build_filter
 from reelstat.llm.shingles import mix
 from reelstat.llm.spans import byte_set, byte_sizes, joined, parts, slices, word_bounds, word_numbers
 
@@ -33,8 +34,6 @@ TRIGGER = 32  # words of a chunk on average
 ABSORBED = 50  # percent of a phrase's occurrences that lie in one longer candidate drop it
 SCALE = 1_000_000
 BATCH_BYTES = 2_000_000
-FILTER_LONGS = 1 << 19  # 4 MB: 4 of 32 million bits per entry; a fuller filter prunes less and changes no result
-PROBES = 4
 
 SPACE, BREAK, OVERLAP = 0x20, 0x0A, 0x09  # within chunks: between words, between pieces, before the following words
 _BREAKS = byte_set((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -152,42 +151,6 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[Grams]:
             yield Grams(lang.slice(a, b - a).to_pylist(), chunk.slice(a, b - a), times.slice(a, b - a).to_numpy())
 
 
-class Filter:
-    """A Bloom filter: a fixed table of bits that holds all entries and, by mistake, some others."""
-
-    def __init__(self, longs: np.ndarray):
-        self.bits = longs.view(np.uint64)
-
-    @staticmethod
-    def places(numbers: np.ndarray) -> list[np.ndarray]:
-        size = np.uint64(FILTER_LONGS * 64)
-        return [mix(numbers + np.uint64(k)) % size for k in range(1, PROBES + 1)]
-
-    def holds(self, numbers: np.ndarray) -> np.ndarray:
-        found = np.ones(len(numbers), bool)
-        for place in self.places(numbers):
-            found &= (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-        return found
-
-
-def build_filter(numbers: DataFrame) -> np.ndarray:
-    """The bits of a filter of all ``number``s, or-ed together by Spark; ``FILTER_LONGS`` rows at most reach the driver."""
-    schema = pa.schema([("slot", pa.int32()), ("bits", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            place = np.concatenate(Filter.places(batch.column(0).to_numpy().view(np.uint64)))
-            slots, back = np.unique(place >> np.uint64(6), return_inverse=True)
-            bits = np.zeros(len(slots), np.uint64)
-            np.bitwise_or.at(bits, back, np.uint64(1) << (place & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(bits.view(np.int64))], schema=schema)
-
-    found = numbers.mapInArrow(run, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(FILTER_LONGS, np.int64)
-    table[found["slot"].to_numpy()] = found["bits"].to_numpy()
-    return table
-
-
 def count_phrases(dictionary: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """((lang, n) of all word occurrences, (lang, n, phrase, f) of the phrases of up to three words with f >= ``least``), written."""
     spark = dictionary.sparkSession

@@ -164,3 +164,43 @@ def test_pipeline_on_a_small_corpus(spark, tmp_path):
     assert set(left["decontamination"]) == ids - {1002, 1003, 1004, 1005}
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in left["tokens"].values())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(left["tokens"])
+
+
+def plain_katz(tokens, held):
+    """(probability of a token after another, known words, contexts) by the textbook, one dictionary per order."""
+    from reelstat.llm import katz_lm
+
+    words, pairs, contexts = collections.Counter(), collections.Counter(), collections.Counter()
+    for d, w in tokens.items():
+        if not held[d]:
+            words.update(w)
+            pairs.update(zip(["begin", *w], w))
+            contexts.update(["begin", *w[:-1]])
+    total = sum(words.values())
+    uni = katz_lm.discounts(collections.Counter(words.values()))
+    bi = katz_lm.discounts(collections.Counter(pairs.values()))
+    mass = lambda kept, r: kept.get(r, r - katz_lm.LARGE_DISCOUNT)
+    p1 = {w: mass(uni, c) / total for w, c in words.items()}
+    unseen = 1 - sum(p1.values())
+    p2 = {vw: mass(bi, c) / contexts[vw[0]] for vw, c in pairs.items() if c >= 2}
+    taken, covered = collections.Counter(), collections.Counter()
+    for (v, w), p in p2.items():
+        taken[v] += p
+        covered[v] += p1[w]
+    alpha = {v: (1 - taken[v]) / (1 - covered[v]) for v in contexts}
+    return lambda v, w: p2.get((v, w)) or alpha.get(v, 1.0) * p1.get(w, unseen), p1, contexts
+
+
+def test_katz_scores_against_a_plain_model(spark, texts):
+    table = {c: c + 32 for c in range(65, 91)}
+    tokens = {d: [*re.findall(r"[^\x20\x09-\x0D]+", t.translate(table)), "\n"] for d, t in texts.items()}
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
+    p, words, contexts = plain_katz(tokens, held)
+    for v in [*sorted(contexts)[:40], "begin", "never seen"]:  # exactly normalised: all known words and the class of all others
+        assert sum(p(v, w) for w in [*words, "no such word"]) == pytest.approx(1)
+    rows = queries.op3_katz(spark, SF_SMALL).collect()
+    for r in rows:
+        w = tokens[r.doc_id]
+        assert r.score == pytest.approx(sum(math.log10(p(v, x)) for v, x in zip(["begin", *w], w)), rel=1e-5)
+    out = [r for r in rows if r.held_out]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)

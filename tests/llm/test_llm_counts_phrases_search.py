@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from conftest import SF_SMALL
-from reelstat.llm import collocations, queries, ranked_search, token_counts
+from reelstat.llm import collocations, filters, queries, ranked_search, token_counts
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 DOC = "doc_id long, text string, lang string, digest string, n_tokens int, score string, rank string, f string"
@@ -116,7 +116,7 @@ def test_phrases_with_full_filters_are_the_same(spark, monkeypatch):
     """A filter that lets everything through prunes nothing and changes nothing."""
     rows = [(k, "aa bb cc aa bb dd, aa bb", "en") for k in range(9)] + [(k, f"w{k} aa bb cc", "en") for k in range(9, 30)]
     want = plain_phrases(rows, 50, 10)
-    monkeypatch.setattr(collocations, "build_filter", lambda numbers: np.full(collocations.FILTER_LONGS, -1, np.int64))
+    monkeypatch.setattr(collocations, "build_filter", lambda numbers: np.full(filters.FILTER_LONGS, -1, np.int64))
     assert sorted(tuple(r) for r in collocations.collocations(frame(spark, rows), top=50).collect()) == want
 
 
