@@ -106,7 +106,8 @@ def _prefix_pairs(unresolved: DataFrame, tokens: Callable[[DataFrame], DataFrame
         listed.join(met, "token", "left")
         .groupBy("id")
         .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("set"))
-        .join(unresolved, "id")
+        .withColumn("size", F.size("set"))
+        .join(unresolved.select("id", "label"), "id")
     )
     first = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
     prefixes = (
@@ -208,8 +209,8 @@ def link_classes(
     """(links, classes) of written members (h, id, size).
 
     ``verify`` takes pairs (a, b) and keeps those that are similar. ``least_ratio`` is the least Jaccard
-    similarity of these, so also the smaller by the larger size that similar members have at least. ``tokens`` takes ids (id)
-    and gives the different tokens (id, token) of their sets, ``size`` of each. ``refine`` takes ids and gives their longer
+    similarity of these, so also the smaller by the larger size that similar members have at least (equal sizes: not known). ``tokens`` takes ids (id)
+    and gives the different tokens (id, token) of their sets. ``refine`` takes ids and gives their longer
     keys (h, id), each once.
     """
     found = _Found(verify)
