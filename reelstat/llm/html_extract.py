@@ -54,8 +54,11 @@ DROPPED_WORDS = frozenset(
 OUTSIDE_ARTICLE = frozenset(("header", "masthead"))
 MAIN = frozenset(("article", "main"))
 
+# A quote opens a value only after "="; one that is never closed is a character like others. What is not closed ends with the page,
+# so that a search never fails after a long way and no place is read twice.
 _markup = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[\"']?))*+)(?:>|\Z)", re.DOTALL
 )
 _attribute = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _name_words = re.compile(r"[a-z]+").findall

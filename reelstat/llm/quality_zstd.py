@@ -4,6 +4,11 @@ A text is rejected when the zstandard ratio (raw bytes / compressed bytes) of th
 document or of any of its fixed chunks leaves the band of its length class. Below
 the band a text is close to incompressible (random characters, encoded data);
 above it, it repeats itself. Longer inputs compress better, so each length class has limits of its own.
+
+There are two bands. The outer one is fixed and holds for documents and chunks. The inner one comes from the corpus: the ratios of
+all its documents are counted in classes of half an octave of length, and a document stays if it is within
+``WIDTH`` robust deviations (from the quartiles, which a minority of bad texts does not move) of its class's median. Classes of fewer than
+``LEAST_ROWS`` documents have the outer band only.
 """
 
 from __future__ import annotations
@@ -15,9 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-from reelstat.llm.common import docs_of
+from reelstat.llm.common import docs_of, written
 
 CHUNK_BYTES = 8192
 LEVEL = 3
@@ -35,6 +41,12 @@ BANDS = (
     (float("inf"), 1.80, 4.2),
 )
 
+CLASSES = 2  # per doubling of the length
+LEAST_ROWS = 100
+WIDTH = 5.0
+LEAST_DEVIATION = 0.02
+BINS = 1_000  # steps of 1 / BINS in which ratios are counted
+
 SCHEMA = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -116,7 +128,7 @@ def compression(raw: bytes, compressor: zstandard.ZstdCompressor, chunk_bytes: i
 
 
 def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands=BANDS) -> DataFrame:
-    """One row per document: the base counts, ratios and ``kept``.
+    """One row per document: the base counts, ratios and ``kept``; ``verdict`` names the band that a text leaves.
 
     A null text counts as empty: no words, ratio 0, ``base_failed``. Repeated
     rows each give a row; other columns of ``docs`` are not looked at. Texts are taken whole, one at a time.
@@ -142,4 +154,35 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *columns], schema=SCHEMA)
 
-    return docs_of(docs, id_col, text_col).mapInArrow(judge, SPARK_SCHEMA)
+    measured = written(docs_of(docs, id_col, text_col).mapInArrow(judge, SPARK_SCHEMA), "compression")
+    limits = corpus_limits(measured)
+    inner = measured.withColumn("length", length_class()).join(F.broadcast(limits), "length", "left")  # a row per length class
+    verdict = (
+        F.when(F.col("verdict") != "kept", F.col("verdict"))
+        .when(F.col("ratio") > F.col("high"), F.lit("repetitive_for_corpus"))
+        .when(F.col("ratio") < F.col("low"), F.lit("incompressible_for_corpus"))
+        .otherwise(F.lit("kept"))
+    )
+    judged = inner.withColumn("verdict", verdict).withColumn("kept", F.col("kept") & (F.col("verdict") == "kept"))
+    return judged.select(*[f.name for f in SCHEMA])
+
+
+def length_class() -> Column:
+    """The class of a length in bytes; null for an empty text."""
+    return F.when(F.col("n_bytes") > 0, F.floor(F.log2("n_bytes") * CLASSES).cast("int"))
+
+
+def corpus_limits(measured: DataFrame) -> DataFrame:
+    """(length, low, high) of the length classes with ``LEAST_ROWS`` documents or more.
+
+    Quartiles are read off exact counts of the ratios in steps of 1 / ``BINS``, so that they do not depend on the order of the rows.
+    """
+    bins = measured.groupBy(length_class().alias("length"), F.floor(F.col("ratio") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bins = written(bins.where("length is not null"), "ratio-bins")
+    up_to = Window.partitionBy("length").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    total = bins.groupBy("length").agg(F.sum("n").alias("total")).where(F.col("total") >= LEAST_ROWS)
+    ranked = bins.withColumn("so_far", F.sum("n").over(up_to)).join(total, "length")
+    quartile = lambda q: F.min(F.when(F.col("so_far") * 4 >= F.col("total") * q, F.col("bin"))) / BINS
+    found = ranked.groupBy("length").agg(quartile(1).alias("q1"), quartile(2).alias("q2"), quartile(3).alias("q3"))
+    deviation = F.greatest(F.lit(LEAST_DEVIATION), (F.col("q3") - F.col("q1")) / 1.349)
+    return found.select("length", (F.col("q2") - WIDTH * deviation).alias("low"), (F.col("q2") + WIDTH * deviation).alias("high"))

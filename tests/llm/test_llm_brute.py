@@ -204,3 +204,46 @@ def test_katz_scores_against_a_plain_model(spark, texts):
         assert r.score == pytest.approx(sum(math.log10(p(v, x)) for v, x in zip(["begin", *w], w)), rel=1e-5)
     out = [r for r in rows if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_quality_verdicts_against_plain_limits(spark, texts, monkeypatch):
+    import zstandard
+
+    from reelstat.llm import quality_zstd
+
+    monkeypatch.setattr(quality_zstd, "LEAST_ROWS", 12)
+    rows = {r.doc_id: r for r in queries.op5_quality(spark, SF_SMALL).collect()}
+    compressor = zstandard.ZstdCompressor(level=quality_zstd.LEVEL)
+    ratio = {d: len(t.encode()) / len(compressor.compress(t.encode())) for d, t in texts.items() if t}
+    classes = collections.defaultdict(list)
+    for d in ratio:
+        classes[math.floor(2 * math.log2(len(texts[d].encode())))].append(math.floor(ratio[d] * 1000))
+    verdicts = set()
+    for d, t in texts.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        windows = collections.Counter(zip(w, w[1:], w[2:]))
+        often = {i + k for i in range(len(w) - 2) for k in range(3) if windows[tuple(w[i : i + 3])] > 1}
+        failed = len(w) < 50 or 100 * len(often) > 50 * len(w)
+        outer = quality_zstd.compression(t.encode(), compressor)[3]
+        inside = True
+        bins = sorted(classes[math.floor(2 * math.log2(len(t.encode())))]) if t else []
+        if len(bins) >= 12:
+            q1, q2, q3 = (bins[math.ceil(len(bins) * q / 4) - 1] / 1000 for q in (1, 2, 3))
+            inside = abs(ratio[d] - q2) <= 5 * max(0.02, (q3 - q1) / 1.349)
+        assert (rows[d].base_failed, rows[d].kept) == (failed, not failed and outer == "kept" and inside)
+        verdicts.add(rows[d].verdict)
+    assert "repetitive_for_corpus" in verdicts
+
+
+def test_pages_with_odd_quotes_and_unclosed_tags():
+    import time
+
+    from reelstat.llm import html_extract
+
+    text = lambda page: [b.text for b in html_extract.parse(page)[1]]
+    assert text("<a title=it's>two</a>") == text('<p title="x>two</p>') == ["two"]
+    assert text('<p class="a>b">x</p>y') == ["x", "y"] and text("1 <2 and <b>3</b> <a") == ["1 <2 and 3"]
+    for piece in ('<a x="', "<a ", "<!", "<p title='", '<a b=c" '):
+        begin = time.time()
+        html_extract.parse(piece * 150_000)  # about a megabyte
+        assert time.time() - begin < 10, piece
