@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.common import written
-from reelstat.llm.linking import small
+from reelstat.llm.linking import BROADCAST_BYTES, small
 
 LEAST_SHARE = 0.5  # of a host's pages that must hold a template token
 LEAST_PAGES = 2
+HOSTS = 1_000  # a host with more than this fraction of the pages is dealt out in parts
 LEAST_TOKENS = 2  # of a valid class in one enclosing class: a token that recurs all alone is no template
 
 # Element names by their role.
@@ -341,27 +342,47 @@ def nested(candidates: list[str]) -> frozenset[str]:
 SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
+def with_templates(shaped: DataFrame) -> DataFrame:
+    """The pages with their host's ``classes`` (null: none).
+
+    Templates of few bytes in all are broadcast. Else both sides are dealt out by host, a host with more than a ``HOSTS``-th of
+    all pages (fewer than ``HOSTS`` hosts can have that) in parts, each of which meets a copy of the template.
+    """
+    found = written(templates(shaped), "templates")
+    size = found.agg(F.sum(F.length(F.to_json("classes")) + F.length("host"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return shaped.join(F.broadcast(found), "host", "left")
+    sizes = shaped.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    total = shaped.count()
+    hot = sizes.where(F.col("n") * HOSTS > total).select("host", F.ceil(F.col("n") * HOSTS / total).cast("int").alias("parts"))
+    hot = F.broadcast(written(hot, "hot-hosts"))  # fewer than HOSTS rows
+    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))).alias("part")
+    dealt = shaped.join(hot, "host", "left").select(*shaped.columns, part)
+    copies = found.join(hot, "host", "left").select(
+        "host", "classes", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).cast("long").alias("part")
+    )
+    return dealt.join(copies, ["host", "part"], "left").drop("part")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages``.
 
     A null html counts as empty: empty text, 0 characters. A null or odd url puts the page
-    with the host of the empty name. Repeated rows each give a row; other columns are not looked at. Pages meet their
-    host's template by a join whose form Spark chooses by the templates' size, so a host of any share of the pages can be split.
+    with the host of the empty name. Repeated rows each give a row; other columns are not looked at; an empty table gives no rows.
     """
     shaped = _shape(pages, id_col, url_col, html_col)
-    met = shaped.join(templates(shaped), "host", "left").select("page_id", "url", "html", "classes")
+    met = with_templates(shaped).select("page_id", "url", "html", "host", "classes")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[tuple[str, ...], ...], frozenset[str]] = {}
+        known: dict[str, frozenset[str]] = {}  # a host has one template
         for batch in batches:
             texts = []
-            for page, classes in zip(batch.column(2), batch.column(3)):
-                key = tuple(map(tuple, classes.as_py() or ()))
-                if key not in known:
+            for page, host, classes in zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4)):
+                if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[key] = template_of(list(key))
-                texts.append(main_text(page.as_py(), known[key]))
+                    known[host] = template_of(classes.as_py() or [])
+                texts.append(main_text(page.as_py(), known[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
                 schema=SCHEMA,

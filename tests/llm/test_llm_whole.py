@@ -166,3 +166,16 @@ def test_every_label_is_learned_and_no_label_rejects_nothing(spark, monkeypatch)
     plain = spark.createDataFrame([(1, "Text", None), (2, "12 !", None), (3, None, None)], "doc_id long, text string, lang string")
     assert langid.learn(plain) is None
     assert [r.doc_id for r in langid.drop_rejected(plain, None).collect()] == [1]
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_pages_meet_their_template_however_it_is_joined(spark, monkeypatch, limit):
+    """Broadcast, or dealt out by host with the large hosts in parts: the same text."""
+    monkeypatch.setattr(html_extract, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(html_extract, "HOSTS", 5)
+    page = "<html><body><div class=top>Same here</div><p>Shared words</p><div>own {0}</div></body></html>"
+    data = [(k, f"http://h{0 if k % 3 else k}/{k}", page.format(k)) for k in range(40)] + [(90, None, None), (91, "http://h0/", None)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert len(got) == 42 and got[90] == got[91] == ""
+    for k in range(40):
+        assert got[k] == (f"own {k}" if k % 3 or k == 0 else f"Same here\nShared words\nown {k}")
