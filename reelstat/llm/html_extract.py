@@ -356,10 +356,10 @@ def with_templates(shaped: DataFrame) -> DataFrame:
     total = shaped.count()
     hot = sizes.where(F.col("n") * HOSTS > total).select("host", F.ceil(F.col("n") * HOSTS / total).cast("int").alias("parts"))
     hot = F.broadcast(written(hot, "hot-hosts"))  # fewer than HOSTS rows
-    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))).alias("part")
+    part = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
     dealt = shaped.join(hot, "host", "left").select(*shaped.columns, part)
     copies = found.join(hot, "host", "left").select(
-        "host", "classes", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).cast("long").alias("part")
+        "host", "classes", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
     )
     return dealt.join(copies, ["host", "part"], "left").drop("part")
 
