@@ -147,8 +147,8 @@ def classes_of(docs: DataFrame) -> DataFrame:
     copied = written(firsts.where("copies > 1").select("node", "first", F.lit(True).alias("many")), "copied")
     # one row per text: rows that are not a copy, and of copies those of the least id
     single = signed.join(small(copied), "node", "left").where("many is null or first <=> doc_id")
-    rows = single.select(F.explode("keys").alias("h"), F.col("node").alias("id"), "size").distinct()
-    members = written(shared_buckets(rows), "members")
+    rows = single.select(F.explode("keys").alias("h"), F.col("node").alias("id"), "size")
+    members = written(shared_buckets(rows).distinct(), "members")  # equal rows give a text's keys more than once
     wanted = written(members.select("id").distinct().join(firsts.select(F.col("node").alias("id"), "first"), "id"), "wanted")
     named = docs.select("doc_id", "text", node().alias("node"))
     mine = (F.col("node") == F.col("id")) & F.col("doc_id").eqNullSafe(F.col("first"))
