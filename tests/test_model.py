@@ -147,3 +147,14 @@ def test_rate_probe_inside_fit_loop(spark):
     assert any(abs(rates[1] - x) < 1e-12 for x in (base * 1.5, base / 1.5, base))
     kv = {x.key: x.value for x in res.run_params.collect()}
     assert kv["mu_bips"] == str(int(res.mu * 10000)) and len(kv["stamp"]) == 9
+
+
+def test_a_step_that_ends_in_nan_is_rolled_back(spark):
+    """F8: a rate so high that the factors overflow; the residuals are NaN and the model before stays."""
+    r = ratings(spark, SF_SMALL)
+    cfg = fit.FitConfig(run="nan", k=2, iterations=1, lr=1e300, tune_freq=100)
+    train = r.where("category in (1, 2, 3, 6)")
+    model = M.epoch(train, M.init_model(r, 2), 3.0, cfg.step_rule(1e300), 2)
+    assert math.isnan(fit.holdout_rmse(r.where("category = 2"), model, 3.0, True, 2))
+    log = fit.fit_adaptive(spark, r, cfg).log_rows
+    assert [row[5] for row in log] == [False] and not math.isnan(log[0][3])
