@@ -151,3 +151,34 @@ def test_blank_line_stops_its_own_file_only(spark, tmpdir_fresh):
             f.write(body)
     got = [(r.user_id, r.row_no) for r in text.read_rating_text(spark, f"{tmpdir_fresh}/t").orderBy("row_no").collect()]
     assert got == [(1, 0), (3, 3), (4, 4)]
+
+
+def test_wide_records_keep_what_ten_bytes_cannot_hold(spark, tmpdir_fresh):
+    schema = "user_id long, movie_id int, date int, rating int, category int"
+    recs = [(i, 1, 1, 5, 1) for i in range(30)] + [(1 << 40, 70_000, -3, 257, 4), (7, 2_000_000, 90_000, 3, 258)] + [(2, 2, 2, 2, 2)]
+    want = [(*r[:3], r[3] % 256, r[4] % 256) for r in recs]
+    for n in (1, 3):
+        df = spark.createDataFrame(recs, schema).coalesce(1) if n == 1 else spark.createDataFrame(recs, schema).repartitionByRange(n, "user_id")
+        binary.write_ratings_bin(df, f"{tmpdir_fresh}/w{n}", wide=True)
+        got = binary.read_ratings_bin(spark, f"{tmpdir_fresh}/w{n}", split_bytes=40)
+        rows = sorted(got.collect(), key=lambda r: r.row_no)
+        assert sorted(tuple(r)[:5] for r in rows) == sorted(want)
+        assert [r.row_no for r in rows] == list(range(len(recs)))
+        assert [r.movie_id for r in got.where("category = 4").collect()] == [70_000]
+    # without such rows the files are plain 10-byte records
+    binary.write_ratings_bin(spark.createDataFrame(recs[:30], schema).coalesce(1), f"{tmpdir_fresh}/plain", wide=True)
+    files = [f for f in os.listdir(f"{tmpdir_fresh}/plain") if f.endswith(".bin")]
+    assert sum(os.path.getsize(f"{tmpdir_fresh}/plain/{f}") for f in files) == 300 and not any(".wide" in f for f in files)
+
+
+def test_binary_queries_take_ids_beyond_a_record(spark, tmpdir_fresh):
+    """A part key beyond u16 was an error of the three queries that store records."""
+    from reelstat.plans.catalog import QUERIES
+
+    spark.createDataFrame([(k, 60_000 + 6_000 * k, 1, 7.0, "1995-03-01") for k in range(6)],
+                          "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, d string").selectExpr(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "cast(d as timestamp) l_shipdate").write.parquet(f"{tmpdir_fresh}/lineitem.parquet")
+    spark.createDataFrame([(k, (1 << 33) + k) for k in range(6)], "o_orderkey long, o_custkey long").write.parquet(f"{tmpdir_fresh}/orders.parquet")
+    assert {r[0] for r in QUERIES["binary_movie_summary"](spark, tmpdir_fresh).collect()} <= {60_000 + 6_000 * k for k in range(6)}
+    assert sum(r.entries for r in QUERIES["binary_roundtrip"](spark, tmpdir_fresh).collect()) == 6
+    assert sorted(r.movie_id for r in QUERIES["narrowed_records"](spark, tmpdir_fresh).collect()) == [60_000 + 6_000 * k for k in range(6)]
