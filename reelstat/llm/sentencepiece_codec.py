@@ -78,7 +78,7 @@ class Vocabulary:
         counts = Counter(self.score.values())
         self.tied = {p for p in self.id_of if counts[self.score[p]] > 1 and len(p) > 1}
         self.sizes = [len(p) for p in self.pieces]
-        self.alone: dict[int, bool] = {}
+        self.alone: list[bool | None] = [None] * n
         self.pairs: dict[int, bool] = {}
         self.joins: dict[str, tuple[str, str] | None] = {}
         # decoding: the bytes of every id; control ids give nothing, the unknown id its surface
@@ -89,6 +89,9 @@ class Vocabulary:
         for i, b in self.byte_of.items():
             self.out[i] = bytes([b])
         self.control = {i for i in range(n) if sp.is_control(i)}
+        self.surfaces = pa.array(self.out, pa.large_binary())
+        self.controls = np.array([sp.is_control(i) for i in range(n)])
+        self.marked = np.array([p.startswith(" ") for p in self.pieces])
         self.ids = Words(self)
 
     def merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
@@ -143,27 +146,28 @@ class Vocabulary:
 
     def encode_word(self, word: str) -> bytes:
         """The ids of one word, as 32-bit numbers one after the other."""
-        last = [-1] * (len(word) + 1)  # the last token of each prefix; -1: none of the vocabulary
-        pairs, alone, sizes, n, known = self.pairs, self.alone, self.sizes, len(self.sizes), 0
+        last = [-1] * len(word)  # the last token of each prefix by its last place; -1: none of the vocabulary
+        last.append(-1)  # also what stands before the first place
+        pairs, alone, sizes, n, known = self.pairs, self.alone, self.sizes, len(self.sizes), -1
         for end, token in self.automaton.iter(word):  # ends rise; the longest piece of an end comes first
-            end += 1
             if end == known:
                 continue
             before = last[end - sizes[token]]
             if before < 0:
-                fits = alone.get(token)
+                fits = alone[token]
                 if fits is None:
                     fits = alone[token] = self.joined(self.pieces[token]) is not None
             else:
-                fits = pairs.get(before * n + token)
-                if fits is None:
+                try:
+                    fits = pairs[before * n + token]
+                except KeyError:
                     fits = self.follows(before, token)
             if fits:
                 last[end] = token
                 known = end
         back, end = [], len(word)
         while end:
-            token = last[end]
+            token = last[end - 1]
             if token < 0:  # a character outside the vocabulary: its bytes
                 back.extend(self.byte_ids[b] for b in reversed(word[end - 1].encode()))
                 end -= 1
@@ -196,6 +200,28 @@ class Vocabulary:
                 pass
         return self._decode_runs(ids, first)
 
+    def decode_all(self, ids: np.ndarray, ends: list[int]) -> list[str]:
+        """``decode`` of many texts whose ids stand one after the other: the bytes of all of them come from one gather."""
+        chunk = self.surfaces.take(pa.array(ids))
+        offsets = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset :]
+        raw, control, marked = chunk.buffers()[2], self.controls[ids], self.marked
+        plain = not control.any()
+        out, begin = [], 0
+        for end in ends:
+            if begin == end:
+                out.append("")
+            elif plain or not control[begin:end].any():
+                # the added space is the first byte
+                skip = 1 if self.prefix and marked[ids[begin]] else 0
+                try:
+                    out.append(str(raw[int(offsets[begin]) + skip : int(offsets[end])], "utf-8"))
+                except UnicodeDecodeError:
+                    out.append(self.decode(ids[begin:end].tolist()))
+            else:
+                out.append(self.decode(ids[begin:end].tolist()))
+            begin = end
+        return out
+
     def _decode_runs(self, ids: list[int], first: int | None) -> str:
         parts, run = [], bytearray()
         for i in [*ids, None]:
@@ -268,7 +294,7 @@ def _codecs(spark: SparkSession, model_path: str) -> tuple[Callable[[Column], Co
         vocabulary = _vocabulary(model.value)
         flat = ids.flatten().to_numpy(zero_copy_only=False)
         ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)).tolist()
-        return pa.array([vocabulary.decode(flat[a:b].tolist()) for a, b in zip([0, *ends], ends)], pa.string())
+        return pa.array(vocabulary.decode_all(flat, ends), pa.string())
 
     return encode, decode
 
