@@ -153,6 +153,19 @@ class Models:
         allowed = mean + REJECT_SIGMAS * deviation * np.maximum(1.0, np.sqrt(500.0 / np.maximum(sizes, 1.0)))
         return np.where(none, -1, best), score, least, none | (least > allowed)
 
+    def judge_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``judge`` of every text (null: empty), with the characters of about ``BATCH_CHARS`` at a time in memory."""
+        parts, group, held = [], [], 0
+        for text in texts:
+            group.append(characters(text.as_py() or ""))
+            held += len(group[-1])
+            if held >= BATCH_CHARS:
+                parts.append(self.judge(group))
+                group, held = [], 0
+        if group or not parts:
+            parts.append(self.judge(group))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
 
 def _row_keys(grams: np.ndarray) -> np.ndarray:
     size = grams.shape[1]
@@ -312,7 +325,7 @@ def predict(docs: DataFrame, models: Models | None, id_col: str = "doc_id", text
                 best, score, bits, rejected = np.full(n, -1), np.zeros(n), np.full(n, np.inf), np.ones(n, bool)
                 names = []
             else:
-                best, score, bits, rejected = models.judge([characters(t.as_py()) for t in batch.column(1)])
+                best, score, bits, rejected = models.judge_all(batch.column(1))
                 names = models.languages
             yield pa.RecordBatch.from_arrays(
                 [
@@ -336,6 +349,6 @@ def drop_rejected(docs: DataFrame, models: Models | None, text_col: str = "text"
     def accepted(texts: pa.Array) -> pa.Array:
         if shared.value is None:
             return pa.array([len(characters(t.as_py() or "")) > 0 for t in texts], pa.bool_())
-        return pa.array(~shared.value.judge([characters(t.as_py() or "") for t in texts])[3], pa.bool_())
+        return pa.array(~shared.value.judge_all(texts)[3], pa.bool_())
 
     return docs.where(accepted(F.col(text_col)))
